@@ -1,0 +1,51 @@
+"""Written intermediate tables.
+
+A few operators need the *same* rows twice (count them per part, then number
+them).  Range partitioning samples its input, so evaluating such a plan twice
+may cut it in two different ways, and a lost executor may cause just that.  The
+rows are therefore written once, to the shared folder the cluster names in
+``spark.checkpoint.dir``, and read back from there.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_FOLDER = "tablewright-stage"
+
+
+class StagingError(RuntimeError):
+    """No shared folder to write an intermediate table to."""
+
+
+def staging_root(spark: SparkSession) -> str:
+    """The shared folder, or a temporary one in local mode if none is named."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir"
+    )
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise StagingError("set spark.checkpoint.dir to a folder all executors can reach")
+        root = tempfile.mkdtemp(prefix="tablewright-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{_FOLDER}"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write the frame once and return the written table."""
+    spark = df.sparkSession
+    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's staged tables; results built on them are gone then."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(
+        f"{staging_root(spark)}/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
