@@ -30,54 +30,51 @@ def utf16_length(c: Column) -> Column:
     return F.floor(F.octet_length(F.encode(c, "UTF-16BE")) / F.lit(2)).cast("int")
 
 
+#: Whole numbers below this have one exact text as integers and as doubles.
+_EXACT_WHOLE = 2.0**53
+
+
 def number_text(c: Column) -> Column:
-    """Shortest plain text of a fractional number.
+    """Shortest plain text of a floating-point number.
 
     ``2.0`` becomes ``2`` and ``1.23456785E7`` becomes ``12345678.5``; an exponent
     is kept only below 1e-6 and from 1e21 on, written ``1e-7`` and ``1e+21``.
+    The common sizes come first, as cheap tests, because this runs on every cell
+    that is searched or exported.
     """
     text = c.cast("string")
-    mantissa = F.substring_index(text, "E", 1)
-    exponent = F.substring_index(text, "E", -1).try_cast("int")
-    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(mantissa, "[-.]", "")
-    digits = F.when(digits.rlike("^0+$"), F.lit("0")).otherwise(F.rtrim(digits, F.lit("0")))
-    size = F.length(digits)
-
-    head, tail = F.substring(digits, 1, 1), F.substr(digits, F.lit(2))
-    scientific = F.concat(
-        head,
-        F.when(size > 1, F.concat(F.lit("."), tail)).otherwise(F.lit("")),
-        F.when(exponent > 0, F.lit("e+")).otherwise(F.lit("e")),
-        exponent.cast("string"),
-    )
-    large = F.when(size <= exponent + 1, F.rpad(digits, exponent + 1, F.lit("0"))).otherwise(
-        F.concat(
-            F.substr(digits, F.lit(1), exponent + 1), F.lit("."), F.substr(digits, exponent + 2)
-        )
-    )
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    shifted = (
-        F.when((exponent > 20) | (exponent < -6), scientific)
-        .when(exponent >= 0, large)
-        .otherwise(small)
-    )
-    plain = F.when(
-        F.contains(text, F.lit(".")), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-    ).otherwise(text)
+    size = F.abs(c)
+    whole = F.endswith(text, F.lit(".0"))
+    scientific = F.replace(F.replace(text, F.lit(".0E"), F.lit("E")), F.lit("E-"), F.lit("e-"))
     return (
-        F.when(c == 0, F.lit("0"))
-        .when(F.contains(text, F.lit("E")), F.concat(sign, shifted))
-        .otherwise(plain)
+        F.when(
+            (size >= 1e-3) & (size < 1e7),
+            F.when(whole, F.substring_index(text, ".", 1)).otherwise(text),
+        )
+        .when(c == 0, F.lit("0"))
+        .when((size < _EXACT_WHOLE) & (c == F.floor(c)), c.cast("bigint").cast("string"))
+        # At most 17 digits are significant, so these decimals hold the text exactly.
+        .when((size >= 1) & (size < 1e21), _fixed_text(text.try_cast("decimal(38,16)")))
+        .when((size < 1) & (size >= 1e-6), _fixed_text(text.try_cast("decimal(38,30)")))
+        .otherwise(F.replace(scientific, F.lit("E"), F.lit("e+")))
     )
 
 
+def _fixed_text(c: Column) -> Column:
+    """Text of a decimal without trailing zeros in its fraction."""
+    text = c.cast("string")
+    bare = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    return F.when(c == 0, F.lit("0")).when(F.contains(text, F.lit(".")), bare).otherwise(text)
+
+
 def raw_text(c: Column, dtype: T.DataType) -> Column:
     """Text of a cell; null stays null."""
     if isinstance(dtype, T.StringType):
         return c
-    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return number_text(c)
+    if isinstance(dtype, T.DecimalType):
+        return _fixed_text(c)
     if isinstance(dtype, T.ArrayType):
         return F.concat_ws(",", F.transform(c, lambda x: cell_text(x, dtype.elementType)))
     if isinstance(dtype, (T.StructType, T.MapType)):

@@ -25,15 +25,17 @@ def nested(name: str, separator: str | None = None) -> Column:
     return c
 
 
-def has_path(schema: T.StructType, name: str, separator: str | None) -> bool:
-    """Whether the schema holds the column or every step of the path."""
+def path_type(
+    schema: T.StructType, name: str, separator: str | None = None
+) -> T.DataType | None:
+    """Type of the column or of the field a path leads to; None if a step is missing."""
     steps = name.split(separator) if separator and separator in name else [name]
     here: T.DataType = schema
     for step in steps:
         if not isinstance(here, T.StructType) or step not in here.names:
-            return False
+            return None
         here = here[step].dataType
-    return True
+    return here
 
 
 def json_path(c: Column, path: str, separator: str = ".") -> Column:

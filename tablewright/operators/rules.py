@@ -17,11 +17,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewright.functions import patterns
 from tablewright.functions.dates import iso_is_utc, iso_precision, iso_timestamp
-from tablewright.functions.text import raw_text, trimmed, utf16_length
+from tablewright.functions.text import trimmed, utf16_length
 
 # Message of each rule; ${name} stands for a parameter.
 MESSAGES = {
@@ -471,18 +470,27 @@ class RecordRules:
 
 def render(template: str, params: Mapping[str, Any], scope: Scope) -> Column:
     """The message with its parameters; references are resolved row by row."""
-    parts, end = [], 0
+    pieces: list[str | Column] = [""]
+    end = 0
+
+    def say(text: str) -> None:
+        if isinstance(pieces[-1], str):
+            pieces[-1] += text
+        else:
+            pieces.append(text)
+
     for found in _PLACEHOLDER.finditer(template):
-        parts.append(F.lit(template[end : found.start()]))
+        say(template[end : found.start()])
         value = params.get(found.group(1))
         if isinstance(value, (Ref, Column)):
-            text = raw_text(scope.resolve(value), T.NullType())
-            parts.append(F.coalesce(text, F.lit("null")))
+            text = scope.resolve(value).cast("string")
+            pieces.append(F.coalesce(text, F.lit("null")))
         else:
-            parts.append(F.lit(_plain(value)))
+            say(_plain(value))
         end = found.end()
-    parts.append(F.lit(template[end:]))
-    return F.concat(*parts)
+    say(template[end:])
+    columns = [F.lit(p) if isinstance(p, str) else p for p in pieces if not isinstance(p, str) or p]
+    return columns[0] if len(columns) == 1 else F.concat(*columns) if columns else F.lit("")
 
 
 def _plain(value) -> str:

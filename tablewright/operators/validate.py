@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.dates import iso_timestamp
+from tablewright.functions.casts import tolerant_cast
+from tablewright.functions.dates import iso_parts, iso_timestamp, timestamp_of
 from tablewright.functions.text import quoted
-from tablewright.operators.cells import nested
+from tablewright.operators.cells import nested, path_type
 from tablewright.operators.rules import (
     MESSAGES,
     Field,
@@ -34,6 +35,8 @@ VALID = "_valid"
 VIOLATIONS = "_violations"
 _CAST = "_tw_cast_"
 _RAW = "_tw_raw_"
+_PARTS = "_tw_parts_"
+_LIST = "array<struct<field:string,rule:string,message:string>>"
 
 
 @dataclass(frozen=True)
@@ -60,7 +63,7 @@ class _Finding:
             F.lit(self.rule).alias("rule"),
             self.message.alias("message"),
         )
-        return F.when(self.broken, said)
+        return F.when(self.broken, F.array(said)).otherwise(F.array().cast(_LIST))
 
 
 class Checker:
@@ -69,18 +72,25 @@ class Checker:
     def __init__(self, df: DataFrame, rules: RecordRules):
         self.df = df
         self.rules = rules
-        raw = {_RAW + f.name: self._raw(f) for f in rules.fields}
-        with_raw = df.withColumns(raw) if raw else df
-        cast = {_CAST + f.name: self._cast(f, ()) for f in rules.fields}
-        self.prepared = with_raw.withColumns(cast) if cast else with_raw
+        # Each step is a projection of its own, so that costly cells, parts of dates
+        # and casts are computed once however many rules look at them.
+        self._types = {f.name: path_type(df.schema, f.name, ".") for f in rules.fields}
+        missing = [name for name, dtype in self._types.items() if dtype is None]
+        if missing:
+            raise RuleError(f"the table has no column {missing[0]!r}")
+        raw = df.withColumns({_RAW + f.name: self._raw(f) for f in rules.fields})
+        dates = [f for f in rules.fields if f.kind == "date" and self._is_text(f)]
+        parts = raw.withColumns({_PARTS + f.name: iso_parts(quoted(_RAW + f.name)) for f in dates})
+        self.prepared = parts.withColumns({_CAST + f.name: self._cast(f, ()) for f in rules.fields})
 
     # -- values ---------------------------------------------------------------
 
     def _raw(self, f: Field) -> Column:
         c = nested(f.name, ".")
-        if self.rules.empty_as_absent and _is_text(self.df, c):
-            c = F.nullif(c, F.lit(""))
-        return c
+        return F.nullif(c, F.lit("")) if self._is_text(f) and self.rules.empty_as_absent else c
+
+    def _is_text(self, f: Field) -> bool:
+        return isinstance(self._types[f.name], T.StringType)
 
     def _cast(self, f: Field, path: tuple[str, ...]) -> Column:
         """The cell after transforms, cast and default; conditions choose among fields."""
@@ -107,12 +117,14 @@ class Checker:
         if f.kind == "string":
             value = value.cast("string")
         elif f.kind == "date":
-            if _is_text(self.df, nested(f.name, ".")):
-                value = iso_timestamp(value)
+            if self._is_text(f):
+                # A branch may turn a field into a date that was none before.
+                ready = f.name in self.rules.names and self.rules[f.name].kind == "date"
+                value = timestamp_of(quoted(_PARTS + f.name)) if ready else iso_timestamp(value)
             else:
                 value = value.cast("timestamp")
         elif f.kind != "mixed":
-            value = value.try_cast(f.kind)
+            value = tolerant_cast(value, self._types[f.name], f.kind)
         if f.is_strict:
             return value
         for change in f.transforms:
@@ -204,8 +216,10 @@ class Checker:
         return reduce(and_, tests) if tests else F.lit(True)
 
     def violations(self) -> Column:
+        # Joined lists stay inside generated code; filtering nulls out of one array
+        # would have every rule interpreted.
         entries = [x.entry() for x in self.all_findings()]
-        return F.array_compact(F.array(*entries))
+        return F.concat(F.array().cast(_LIST), *entries)
 
     def valid_cells(self) -> dict[str, Column | None]:
         """New content of the columns of valid rows; None for a stripped column."""
@@ -227,10 +241,16 @@ class Checker:
 def annotate(df: DataFrame, rules: RecordRules) -> DataFrame:
     """The original rows with ``_valid`` and ``_violations``."""
     checker = Checker(df, rules)
+    kept = [quoted(c) for c in df.columns]
+    checked = checker.prepared.select(*kept, checker.violations().alias(VIOLATIONS))
+    return checked.select(*kept, (F.size(VIOLATIONS) == 0).alias(VALID), quoted(VIOLATIONS))
+
+
+def flag_rows(df: DataFrame, rules: RecordRules) -> DataFrame:
+    """The original rows with ``_valid`` only, which is cheaper than the violations."""
+    checker = Checker(df, rules)
     return checker.prepared.select(
-        *[quoted(c) for c in df.columns],
-        checker.is_valid().alias(VALID),
-        checker.violations().alias(VIOLATIONS),
+        *[quoted(c) for c in df.columns], checker.is_valid().alias(VALID)
     )
 
 
@@ -334,7 +354,3 @@ def _can_fail(f: Field) -> bool:
 
 def _listed(values: Sequence[Any]) -> str:
     return ", ".join(f"Ref({v.key})" if isinstance(v, Ref) else str(v) for v in values)
-
-
-def _is_text(df: DataFrame, c: Column) -> bool:
-    return isinstance(df.select(c).schema[0].dataType, T.StringType)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
 from tablewright.operators import paging, predicates
-from tablewright.operators.cells import code, has_path, nested
+from tablewright.operators.cells import code, nested, path_type
 from tablewright.operators.ordering import Key, cell_key, ordered, with_positions
 from tablewright.plans.spec import ColumnSpec, GridSpec, SpecError
 
@@ -60,7 +60,7 @@ class Grid:
         for c in spec.columns:
             if c.synthetic:
                 columns[c.name] = F.lit(None).cast(c.dtype)
-            elif has_path(source.schema, c.name, spec.path_separator):
+            elif path_type(source.schema, c.name, spec.path_separator) is not None:
                 columns[c.name] = nested(c.name, spec.path_separator)
             elif spec.path_separator and spec.path_separator in c.name:
                 columns[c.name] = F.lit(None).cast(c.dtype)

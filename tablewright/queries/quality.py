@@ -13,6 +13,7 @@ from tablewright.operators.validate import (
     annotate,
     cast_rows,
     first_messages,
+    flag_rows,
     rejected_rows,
     report,
     unknown_keys,
@@ -27,7 +28,7 @@ from tablewright.sources.tables import named_table
 def _flag(df: DataFrame, rules: RecordRules | Field, *keys: str) -> DataFrame:
     """The key columns and whether the row is valid."""
     rules = RecordRules((rules,)) if isinstance(rules, Field) else rules
-    return annotate(df, rules).select(*keys, F.col(VALID).alias("ok"))
+    return flag_rows(df, rules).select(*keys, F.col(VALID).alias("ok"))
 
 
 def _blanked(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,12 +12,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablewright.functions.dates import iso_timestamp
+from tablewright.functions.casts import tolerant_cast
+from tablewright.functions.dates import iso_parts, timestamp_of
 from tablewright.functions.text import quoted, trimmed
 from tablewright.operators.cells import code
 
 REJECTS = "_rejects"
+_CELL = "_tw_cell_"
+_PARTS = "_tw_parts_"
+_TYPED = "_tw_typed_"
 
 
 @dataclass(frozen=True)
@@ -60,29 +65,49 @@ def ingest(
     repairs: Sequence[Repair] = (),
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Typed columns and ``_rejects``, the names of the columns that did not cast."""
+    """Typed columns and ``_rejects``, the names of the columns that did not cast.
+
+    Cells, typed cells and rejects are projections on top of each other, so that
+    a cell that is costly to get at is computed once.
+    """
     df = repaired(df, repairs)
-    outputs, failed = [quoted(k) for k in keep], []
-    for c in columns:
-        raw = _source(df, c)
-        typed = _cast(raw, c)
-        outputs.append(typed.alias(c.name))
-        failed.append(F.when(raw.isNotNull() & typed.isNull(), F.lit(c.name)))
-    return df.select(*outputs, F.array_compact(F.array(*failed)).alias(REJECTS))
+    cells = df.select(
+        *[quoted(k) for k in keep], *[_source(df, c).alias(_CELL + c.name) for c in columns]
+    )
+    cells = cells.withColumns(
+        {
+            _PARTS + c.name: iso_parts(quoted(_CELL + c.name).cast("string"))
+            for c in columns
+            if c.dtype == "timestamp"
+        }
+    )
+    typed = cells.withColumns({_TYPED + c.name: _cast(cells, c) for c in columns})
+    failed = [
+        F.when(
+            quoted(_CELL + c.name).isNotNull() & quoted(_TYPED + c.name).isNull(), F.lit(c.name)
+        )
+        for c in columns
+    ]
+    return typed.select(
+        *[quoted(k) for k in keep],
+        *[quoted(_TYPED + c.name).alias(c.name) for c in columns],
+        F.array_compact(F.array(*failed)).alias(REJECTS),
+    )
 
 
 def _source(df: DataFrame, c: Typed) -> Column:
     source = c.source if c.source is not None else c.name
     cell = source if isinstance(source, Column) else quoted(source)
-    if isinstance(source, Column) or df.schema[source].dataType.simpleString() == "string":
+    if isinstance(source, Column) or isinstance(df.schema[source].dataType, T.StringType):
         return F.nullif(trimmed(cell.cast("string")), F.lit(""))
     return cell
 
 
-def _cast(raw: Column, c: Typed) -> Column:
+def _cast(cells: DataFrame, c: Typed) -> Column:
+    cell = quoted(_CELL + c.name)
     if c.split_on is not None:
-        parts = F.split(raw.cast("string"), c.split_on)
+        parts = F.split(cell.cast("string"), c.split_on)
         return F.filter(F.transform(parts, trimmed), lambda p: p != "")
     if c.dtype == "timestamp":
-        return iso_timestamp(raw.cast("string"))
-    return raw.try_cast(c.dtype)
+        return timestamp_of(quoted(_PARTS + c.name))
+    return tolerant_cast(cell, cells.schema[_CELL + c.name].dataType, c.dtype)
