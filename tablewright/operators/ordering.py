@@ -48,14 +48,22 @@ def cell_key(c: Column, dtype: T.DataType, collation: str = "UNICODE") -> Column
     return c
 
 
-def ordered(df: DataFrame, order: list[Key]) -> DataFrame:
-    """The frame in the given order."""
-    computed = {f"_tw_key{i}": key.expr for i, key in enumerate(order) if key.costly}
+def sort_columns(order: list[Key], names: dict[int, str] | None = None) -> list[Column]:
+    """The keys with their directions; ``names`` holds keys that are columns by now."""
     columns = []
     for i, key in enumerate(order):
-        c = F.col(f"_tw_key{i}") if key.costly else key.expr
+        c = F.col(names[i]) if names and i in names else key.expr
         columns.append(c.desc_nulls_last() if key.descending else c.asc_nulls_first())
-    return df.withColumns(computed).orderBy(*columns).drop(*computed)
+    return columns
+
+
+def ordered(df: DataFrame, order: list[Key]) -> DataFrame:
+    """The frame in the given order."""
+    names = {i: f"_tw_key{i}" for i, key in enumerate(order) if key.costly}
+    if not names:
+        return df.orderBy(*sort_columns(order))
+    computed = df.withColumns({name: order[i].expr for i, name in names.items()})
+    return computed.orderBy(*sort_columns(order, names)).drop(*names.values())
 
 
 def with_positions(df: DataFrame, order: list[Key], name: str = "pos") -> DataFrame:

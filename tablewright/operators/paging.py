@@ -1,20 +1,26 @@
-"""Pages of an ordered table."""
+"""Pages of an ordered table.
+
+What a page costs depends on where it lies.  Near the front or the end it is a
+top-k: every task keeps its own best rows and one task merges these few.  In
+between that merge would grow with the page number, so only the row keys are
+sorted and written, and the page's rows are fetched by their keys.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.text import quoted
-from tablewright.operators.ordering import Key, keys_between, ordered
+from tablewright.operators.ordering import Key, keys_between, ordered, sort_columns
 from tablewright.plans.spec import clamp_page
 
-#: Up to this many leading rows, every task keeps its own best rows and one task
-#: merges them.  Deeper pages would make that merge grow with the page number.
+#: A top-k may hold up to this many rows; no more than that pass through one task.
 SHALLOW_ROWS = 1000
 
 _AT = "_tw_at"
 _AT_KEY = "_tw_at_key"
+_TOTAL = "_tw_total"
 
 
 def page_rows(
@@ -23,10 +29,33 @@ def page_rows(
     row_id: str,
     page: int,
     size: int,
+    total: int | None = None,
     shallow_rows: int = SHALLOW_ROWS,
 ) -> DataFrame:
-    """The rows of one page, in order.  ``order`` must end in the unique ``row_id``."""
-    return rows_at(df, order, row_id, page * size + 1, (page + 1) * size, shallow_rows)
+    """The rows of one page, in order; a page beyond the end gives the last one.
+
+    ``order`` must end in the unique ``row_id``.  Rows are counted only for a page
+    that is neither the first nor near the front, unless ``total`` is given.
+    """
+    if page == 0:
+        return rows_at(df, order, row_id, 1, size, total, shallow_rows)
+    if total is None and (page + 1) * size <= shallow_rows:
+        return _front_page(df, order, page, size)
+    total = df.count() if total is None else total
+    page = clamp_page(total, size, page)
+    return rows_at(df, order, row_id, page * size + 1, (page + 1) * size, total, shallow_rows)
+
+
+def _front_page(df: DataFrame, order: list[Key], page: int, size: int) -> DataFrame:
+    """A page out of the leading rows, which also tell whether the table ends earlier."""
+    leading = ordered(df, order).limit((page + 1) * size)
+    keys = Window.orderBy(*sort_columns(order))
+    held = F.count(F.lit(1)).over(Window.partitionBy())
+    counted = leading.select("*", F.row_number().over(keys).alias(_AT), held.alias(_TOTAL))
+    last_page = F.greatest(F.ceil(F.col(_TOTAL) / size), F.lit(1)) - 1
+    shown = F.least(F.lit(page), last_page)
+    wanted = F.floor((F.col(_AT) - 1) / size) == shown
+    return counted.filter(wanted).orderBy(_AT).limit(size).drop(_AT, _TOTAL)
 
 
 def rows_at(
@@ -35,28 +64,24 @@ def rows_at(
     row_id: str,
     first: int,
     last: int,
+    total: int | None = None,
     shallow_rows: int = SHALLOW_ROWS,
 ) -> DataFrame:
-    """The rows at places ``first`` to ``last`` (from 1, both included), in order.
-
-    Early places are a top-k.  For later ones only the row keys are sorted and
-    written; the keys at the wanted places are read back and fetch their rows.
-    """
+    """The rows at places ``first`` to ``last`` (from 1, both included), in order."""
+    size = last - first + 1
     if last <= shallow_rows:
         front = ordered(df, order)
-        return (front.offset(first - 1) if first > 1 else front).limit(last - first + 1)
+        return (front.offset(first - 1) if first > 1 else front).limit(size)
+    if total is not None and 0 <= total - first < shallow_rows:
+        back = ordered(df, [k.reversed() for k in order]).limit(total - first + 1)
+        return ordered(back, order).limit(size)
     places = keys_between(df, order, row_id, first, last, _AT).withColumnRenamed(row_id, _AT_KEY)
-    if last - first < shallow_rows:
-        places = F.broadcast(places)  # bounded by the number of places
-    found = df.join(places, quoted(row_id) == F.col(_AT_KEY))
-    return found.orderBy(_AT).drop(_AT, _AT_KEY)
-
-
-def effective_page(df: DataFrame, page: int, size: int, total: int | None = None) -> int:
-    """The page to show; rows are counted only if the page may lie beyond the last."""
-    if page == 0:
-        return 0
-    return clamp_page(df.count() if total is None else total, size, page)
+    if size > shallow_rows:
+        found = df.join(places, quoted(row_id) == F.col(_AT_KEY)).orderBy(_AT)
+    else:  # bounded by the places asked for
+        found = df.join(F.broadcast(places), quoted(row_id) == F.col(_AT_KEY))
+        found = found.orderBy(_AT).limit(size)
+    return found.drop(_AT, _AT_KEY)
 
 
 def page_info(df: DataFrame, page: int, size: int, total: int | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
 from tablewright.operators.cells import code
-from tablewright.operators.paging import SHALLOW_ROWS, rows_at
+from tablewright.operators.paging import rows_at
 from tablewright.plans.compiler import Grid
 from tablewright.plans.spec import SpecError
 
@@ -80,7 +80,7 @@ def toggle_displayed(grid: Grid, keys, selectable=None) -> DataFrame:
 def select_range(grid: Grid, first: int, last: int, selectable=None) -> DataFrame:
     """Displayed rows between two places (from 1, both included) that may be selected."""
     low, high = sorted((first, last))
-    rows = rows_at(grid.displayed, grid.order, grid.row_id, low, high, SHALLOW_ROWS)
+    rows = rows_at(grid.displayed, grid.order, grid.row_id, low, high)
     return rows if selectable is None else rows.filter(code(selectable, quoted))
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,7 @@ VIOLATIONS = "_violations"
 _CAST = "_tw_cast_"
 _RAW = "_tw_raw_"
 _PARTS = "_tw_parts_"
+_REPORT = "pos bigint, field string, rule string, failures bigint"
 _LIST = "array<struct<field:string,rule:string,message:string>>"
 
 
@@ -208,6 +209,14 @@ class Checker:
     def all_findings(self) -> list[_Finding]:
         return [x for f in self.rules.fields for x in self.findings(f)]
 
+    def broken_by_rule(self) -> dict[tuple[str, str], Column]:
+        """Where each rule of each field is broken, whichever branch it stands in."""
+        listed: dict[tuple[str, str], Column] = {}
+        for x in self.all_findings():
+            key = (x.field, x.rule)
+            listed[key] = listed[key] | x.broken if key in listed else x.broken
+        return listed
+
     # -- results ------------------------------------------------------------------
 
     def is_valid(self) -> Column:
@@ -241,8 +250,12 @@ class Checker:
 def annotate(df: DataFrame, rules: RecordRules) -> DataFrame:
     """The original rows with ``_valid`` and ``_violations``."""
     checker = Checker(df, rules)
-    kept = [quoted(c) for c in df.columns]
-    checked = checker.prepared.select(*kept, checker.violations().alias(VIOLATIONS))
+    return _annotated(checker, checker.prepared)
+
+
+def _annotated(checker: Checker, prepared: DataFrame) -> DataFrame:
+    kept = [quoted(c) for c in checker.df.columns]
+    checked = prepared.select(*kept, checker.violations().alias(VIOLATIONS))
     return checked.select(*kept, (F.size(VIOLATIONS) == 0).alias(VALID), quoted(VIOLATIONS))
 
 
@@ -290,15 +303,10 @@ def report(df: DataFrame, rules: RecordRules) -> DataFrame:
     One pass, one partial count per rule and task; nothing else is shuffled.
     """
     checker = Checker(df, rules)
-    listed: dict[tuple[str, str], Column] = {}
-    for x in checker.all_findings():
-        key = (x.field, x.rule)
-        listed[key] = listed[key] | x.broken if key in listed else x.broken
-    counts = [F.count_if(broken).alias(f"n{i}") for i, broken in enumerate(listed.values())]
-    if not counts:
-        return df.sparkSession.createDataFrame(
-            [], "pos bigint, field string, rule string, failures bigint"
-        )
+    broken = checker.broken_by_rule()
+    if not broken:
+        return df.sparkSession.createDataFrame([], _REPORT)
+    counted = checker.prepared.agg(*_counts(broken))
     rows = [
         F.struct(
             F.lit(i + 1).cast("bigint").alias("pos"),
@@ -306,9 +314,34 @@ def report(df: DataFrame, rules: RecordRules) -> DataFrame:
             F.lit(rule).alias("rule"),
             F.col(f"n{i}").alias("failures"),
         )
-        for i, (f, rule) in enumerate(listed)
+        for i, (f, rule) in enumerate(broken)
     ]
-    return checker.prepared.agg(*counts).select(F.inline(F.array(*rows)))
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def write_validated(
+    df: DataFrame, rules: RecordRules, folder: str, mode: str = "errorifexists"
+) -> DataFrame:
+    """Write the annotated rows once and return the report, all in one pass.
+
+    Valid rows land in ``_valid=true`` and rejected ones, with their violations, in
+    ``_valid=false``.  The report's counts are taken while the rows are written, so
+    a table too large to read three times is read once.
+    """
+    checker = Checker(df, rules)
+    broken = checker.broken_by_rule()
+    seen = Observation()
+    observed = checker.prepared
+    if broken:
+        observed = observed.observe(seen, *_counts(broken))
+    _annotated(checker, observed).write.mode(mode).partitionBy(VALID).parquet(folder)
+    counts = seen.get if broken else {}
+    rows = [(i + 1, f, rule, counts[f"n{i}"]) for i, (f, rule) in enumerate(broken)]
+    return df.sparkSession.createDataFrame(rows, _REPORT)
+
+
+def _counts(broken: dict[tuple[str, str], Column]) -> list[Column]:
+    return [F.count_if(test).alias(f"n{i}") for i, test in enumerate(broken.values())]
 
 
 def first_messages(violations: Column) -> Column:

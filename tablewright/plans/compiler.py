@@ -146,16 +146,13 @@ class Grid:
             if sort.direction == "none":
                 break
             down = sort.direction == "desc"
-            if c.sort_key is None and self.spec.custom_sort is not None:
-                made = self.spec.custom_sort(c.name, quoted)
-            elif c.sort_key is not None:
-                made = code(c.sort_key, quoted(c.name), quoted)
+            if c.sort_key is not None:
+                keys += _custom_keys(c.sort_key, down, quoted(c.name), quoted)
+            elif self.spec.custom_sort is not None:
+                keys += _custom_keys(self.spec.custom_sort, down, c.name, quoted)
             else:
                 dtype = self.table.schema[c.name].dataType
                 keys.append(Key(cell_key(quoted(c.name), dtype, c.collation), down))
-                continue
-            made = made if isinstance(made, (list, tuple)) else [made]
-            keys += [Key(code(key), down, costly=True) for key in made]
         return [*keys, Key(quoted(self.row_id))]
 
     def sorted(self) -> DataFrame:
@@ -175,10 +172,10 @@ class Grid:
             return self.project(self.displayed)
         if not spec.pagination:
             return self.project(self.sorted())
-        page = paging.effective_page(self.displayed, spec.page, spec.rows_per_page, spec.total)
-        return self.project(
-            paging.page_rows(self.displayed, self.order, self.row_id, page, spec.rows_per_page)
+        rows = paging.page_rows(
+            self.displayed, self.order, self.row_id, spec.page, spec.rows_per_page, spec.total
         )
+        return self.project(rows)
 
     def rows(self) -> DataFrame:
         """All displayed rows, as shown, in no order."""
@@ -201,3 +198,11 @@ class Grid:
     def keys(self) -> DataFrame:
         """Row keys of the displayed rows."""
         return self.displayed.select(quoted(self.row_id))
+
+
+def _custom_keys(made, down: bool, *arguments) -> list[Key]:
+    """Keys out of spec code that gives one expression or several."""
+    if callable(made) and not isinstance(made, Column):
+        made = made(*arguments)
+    made = made if isinstance(made, (list, tuple)) else [made]
+    return [Key(code(key), down, costly=True) for key in made]

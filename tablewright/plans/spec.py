@@ -6,10 +6,12 @@ without a session.  Every change returns a new spec.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import math
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, fields, replace
+from decimal import Decimal
 from typing import Any
 
 DISPLAY_MODES = ("true", "false", "excluded", "always")
@@ -22,6 +24,16 @@ SELECTION_MODES = ("multiple", "single", "none")
 _CODE_FIELDS = ("derive", "derive_late", "drop_when", "sort_key", "facet_label")
 
 
+_GRID_CODE = ("custom_search", "custom_sort")
+
+#: Filter values that JSON has no type for, under the name they are saved by.
+_SAVED_TYPES = {
+    "timestamp": (dt.datetime, dt.datetime.isoformat, dt.datetime.fromisoformat),
+    "date": (dt.date, dt.date.isoformat, dt.date.fromisoformat),
+    "decimal": (Decimal, str, Decimal),
+}
+
+
 class SpecError(ValueError):
     """The spec asks for something the table does not allow."""
 
@@ -103,6 +115,9 @@ class GridSpec:
     ``row_id`` names a unique column of the source.  It fixes the source order,
     breaks ties in sorts and identifies rows in selections.  ``sorts`` holds the
     newest key first: sorting is stable, so earlier sorts still decide ties.
+    ``custom_search`` is SQL text or ``(text, row) -> Column``; ``custom_sort`` is SQL
+    texts or ``(column, row) -> Column | list[Column]``, used for columns without a
+    ``sort_key``.
     """
 
     columns: tuple[ColumnSpec, ...] = ()
@@ -138,6 +153,8 @@ class GridSpec:
             self, "filters", {k: _as_values(v) for k, v in dict(self.filters).items()}
         )
         object.__setattr__(self, "sorts", tuple(self.sorts))
+        if isinstance(self.custom_sort, list):
+            object.__setattr__(self, "custom_sort", tuple(self.custom_sort))
         for name in [*self.filters, *(s.column for s in self.sorts)]:
             self.column(name)
         if self.filter_kind not in FILTER_KINDS:
@@ -300,10 +317,10 @@ class GridSpec:
         state = {f.name: getattr(self, f.name) for f in fields(self)}
         state["columns"] = [_saved_column(c) for c in self.columns]
         state["sorts"] = [{"column": s.column, "direction": s.direction} for s in self.sorts]
-        state["filters"] = {k: list(v) for k, v in self.filters.items()}
+        state["filters"] = {k: [_saved_value(x) for x in v] for k, v in self.filters.items()}
         state["download"] = dict(vars(self.download))
-        for name in ("custom_search", "custom_sort"):
-            if not isinstance(state[name], str):
+        for name in _GRID_CODE:
+            if not _is_text(state[name]):
                 state.pop(name)
         return json.dumps(state, ensure_ascii=False, sort_keys=True)
 
@@ -321,10 +338,13 @@ class GridSpec:
             columns.append(ColumnSpec(**saved))
         state["columns"] = tuple(columns)
         state["sorts"] = tuple(SortKey(**s) for s in state["sorts"])
+        state["filters"] = {
+            k: tuple(_restored_value(x) for x in v) for k, v in state["filters"].items()
+        }
         state["download"] = DownloadSpec(**state["download"])
         state["rows_per_page_options"] = tuple(state["rows_per_page_options"])
         if code is not None:
-            for name in ("custom_search", "custom_sort"):
+            for name in _GRID_CODE:
                 state.setdefault(name, getattr(code, name))
         return cls(**state)
 
@@ -348,6 +368,27 @@ def _same(a, b) -> bool:
 def _saved_column(column: ColumnSpec) -> dict:
     saved = {f.name: getattr(column, f.name) for f in fields(column)}
     for name in _CODE_FIELDS:
-        if saved[name] is not None and not isinstance(saved[name], str):
+        if not _is_text(saved[name]):
             saved.pop(name)
     return saved
+
+
+def _is_text(code) -> bool:
+    """Whether code can be saved: SQL text, several of them, or none at all."""
+    if isinstance(code, (list, tuple)):
+        return all(isinstance(c, str) for c in code)
+    return code is None or isinstance(code, str)
+
+
+def _saved_value(value):
+    for name, (kind, write, _) in _SAVED_TYPES.items():
+        if isinstance(value, kind):
+            return {name: write(value)}
+    return value
+
+
+def _restored_value(value):
+    if isinstance(value, dict):
+        ((name, text),) = value.items()
+        return _SAVED_TYPES[name][2](text)
+    return value

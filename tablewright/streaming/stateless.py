@@ -31,7 +31,7 @@ def stream_rows(source: DataFrame, spec: GridSpec) -> DataFrame:
     return Grid(source, spec).rows()
 
 
-def write_validated(
+def stream_validated(
     source: DataFrame, rules: RecordRules, folder: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
     """Write checked rows to ``folder``, split into ``_valid=true`` and ``_valid=false``.
