@@ -13,7 +13,7 @@ from functools import reduce
 from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +104,8 @@ class Checker:
         inner = (*path, f.name)
 
         def sibling(name: str) -> Column:
+            if name == f.name:
+                return quoted(_RAW + name)
             if name not in self.rules.names:
                 return nested(name, ".")
             return self._cast(self.rules[name], inner)
@@ -340,6 +342,14 @@ def write_validated(
     return df.sparkSession.createDataFrame(rows, _REPORT)
 
 
+def read_validated(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows written by :func:`write_validated`; a filter on ``_valid`` reads one side only.
+
+    Folder names give no booleans, so the flag is cast back.
+    """
+    return spark.read.parquet(folder).withColumn(VALID, F.col(VALID).cast("boolean"))
+
+
 def _counts(broken: dict[tuple[str, str], Column]) -> list[Column]:
     return [F.count_if(test).alias(f"n{i}") for i, test in enumerate(broken.values())]
 
