@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.text import cell_text, contains_text
+from tablewright.functions.text import contains_text, raw_text
 
 #: Which Python values can equal a cell of a type at all.  Matching is strict:
 #: the text "477" never equals the number 477.
@@ -68,21 +68,22 @@ def array_has(c: Column, values: tuple, dtype: T.ArrayType, match_all: bool) ->
 def text_filter(c: Column, values: tuple, dtype: T.DataType, case_sensitive: bool) -> Column:
     """The cell's text contains the filter text."""
     wanted = ",".join("" if v is None else str(v) for v in values)
-    return contains_text(cell_text(c, dtype), wanted, case_sensitive)
+    return search([(c, dtype)], wanted, case_sensitive)
 
 
 def search(
     cells: list[tuple[Column, T.DataType]], text: str, case_sensitive: bool = False
 ) -> Column:
-    """Any of the cells' texts contains the search text."""
-    tests = [contains_text(cell_text(c, t), text, case_sensitive) for c, t in cells]
+    """Any of the cells' texts contains the search text.
+
+    An absent cell holds the empty text only, so it needs no care here.
+    """
+    if not text:
+        return F.lit(bool(cells))
+    tests = [contains_text(raw_text(c, t), text, case_sensitive) for c, t in cells]
     return reduce(or_, tests) if tests else F.lit(False)
 
 
 def keep_unless(dropped: Column) -> Column:
     """Turn a drop test into a keep test; an unknown outcome keeps the row."""
     return ~F.coalesce(dropped, F.lit(False))
-
-
-def all_of(tests: list[Column]) -> Column | None:
-    return reduce(and_, tests) if tests else None

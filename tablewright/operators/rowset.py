@@ -61,7 +61,7 @@ def toggle_displayed(grid: Grid, keys, selectable=None) -> DataFrame:
     """
     if grid.spec.selectable_rows == "none":
         raise SpecError("rows of this table cannot be selected")
-    selected = key_frame(grid.source, grid.row_id, _checked(keys, "multiple")).distinct()
+    selected = key_frame(grid.source, grid.row_id, _checked(keys, "multiple"))
     displayed = grid.displayed
     counts = (
         selected.select(F.lit(1).alias("s"), F.lit(0).alias("d"))
@@ -90,9 +90,13 @@ def selected_count(df: DataFrame, key: str, keys) -> DataFrame:
 
 
 def key_frame(df: DataFrame, key: str, keys) -> DataFrame:
-    """The keys as a frame of one column, of the type the key has in ``df``."""
+    """The distinct keys as a frame of one column, of the type the key has in ``df``.
+
+    A key that is listed very often shrinks to one row per task before it is
+    shuffled, and the join that follows finds the keys where it needs them.
+    """
     if isinstance(keys, DataFrame):
-        return keys.select(quoted(key))
+        return keys.select(quoted(key)).distinct()
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)])
     return df.sparkSession.createDataFrame([(k,) for k in keys], schema)
 

@@ -65,8 +65,8 @@ def csv_header(spark: SparkSession, folder: str) -> DataFrame:
         row_id="s_suppkey",
         sorts=(SortKey("s_nationkey", "desc"),),
     )
-    frame, order = export.csv_frame(Grid(named_table(spark, folder, "supplier"), spec))
-    return with_positions(frame, order).select("pos", "line")
+    csv = export.csv_frame(Grid(named_table(spark, folder, "supplier"), spec))
+    return with_positions(csv.rows, csv.order).select("pos", csv.line)
 
 
 @query(

@@ -102,7 +102,9 @@ _EMAIL = (
 )
 def dq_email(spark: SparkSession, folder: str) -> DataFrame:
     found = F.explode(F.regexp_extract_all("text", F.lit(EMAIL_IN_TEXT), F.lit(0)))
-    emails = named_table(spark, folder, "documents").select("doc_id", found.alias("email"))
+    # A plain search sorts out the texts that cannot hold an address.
+    documents = named_table(spark, folder, "documents").filter(F.contains("text", F.lit("@")))
+    emails = documents.select("doc_id", found.alias("email"))
     email = F.col("email")
     spoilt = F.array(
         email, F.concat(email, F.lit("@")), F.replace(email, F.lit("."), F.lit(".."))

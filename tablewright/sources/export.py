@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ def _cell(grid: Grid, c: ColumnSpec) -> tuple[Column, T.DataType]:
 
 
 def body_line(grid: Grid) -> Column:
+    """The line of a row, out of the row's own columns."""
     cells = [csv_cell(*_cell(grid, c)) for c in export_columns(grid)]
     return csv_line(cells, grid.spec.download.separator)
 
@@ -54,25 +56,31 @@ def csv_lines(grid: Grid) -> DataFrame:
     return export_rows(grid).select(quoted(grid.row_id), body_line(grid).alias("line"))
 
 
-def csv_frame(grid: Grid) -> tuple[DataFrame, list[Key]]:
-    """Header and body lines in one frame, with the keys that put them in order.
+@dataclass(frozen=True)
+class CsvFrame:
+    """Header and body in one frame, the keys that put it in order, and the line.
 
-    The header sorts first by a flag; the body follows in the current sort order.
+    The header is a row of nulls that a flag sorts first; the body follows in the
+    current sort order.  Lines are only made after the sort, so that the sort
+    moves cells, not texts, and sampling for it makes no lines at all.
     """
-    keys = grid.order
-    names = [f"_tw_order{i}" for i in range(len(keys))]
-    body = export_rows(grid).select(
-        F.lit(1).alias(_HEAD),
-        *[k.expr.alias(n) for k, n in zip(keys, names)],
-        body_line(grid).alias("line"),
-    )
-    blanks = [F.lit(None).cast(body.schema[n].dataType).alias(n) for n in names]
-    head = grid.source.sparkSession.range(1).select(
-        F.lit(0).alias(_HEAD), *blanks, header_line(grid).alias("line")
-    )
+
+    rows: DataFrame
+    order: list[Key]
+    line: Column
+
+
+def csv_frame(grid: Grid) -> CsvFrame:
+    rows = export_rows(grid)
+    names = [f"_tw_order{i}" for i in range(len(grid.order))]
+    keys = [k.expr.alias(n) for k, n in zip(grid.order, names)]
+    body = rows.select(F.lit(1).alias(_HEAD), *keys, *[quoted(c) for c in rows.columns])
+    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in body.schema.fields[1:]]
+    head = grid.source.sparkSession.range(1).select(F.lit(0).alias(_HEAD), *blanks)
     order = [Key(F.col(_HEAD))]
-    order += [Key(F.col(n), k.descending) for k, n in zip(keys, names)]
-    return head.unionByName(body), order
+    order += [Key(F.col(n), k.descending) for k, n in zip(grid.order, names)]
+    line = F.when(F.col(_HEAD) == 0, header_line(grid)).otherwise(body_line(grid))
+    return CsvFrame(head.unionByName(body), order, line.alias("line"))
 
 
 def write_csv(
@@ -80,18 +88,20 @@ def write_csv(
     folder: str,
     transform: Callable[[DataFrame], DataFrame | bool] | None = None,
     mode: str = "errorifexists",
-) -> bool:
-    """Write the export as text parts that read in name order give the whole file.
+) -> str | None:
+    """Write the export below ``folder`` under the spec's file name; returns its path.
 
-    ``transform`` gets the lazy frame of ordered lines (column ``line``) and may
-    replace it, or return False to cancel.  Returns whether anything was written.
-    Cells keep line feeds inside them; every line ends with CRLF.
+    Spark writes one text part per task; read in name order they give the whole
+    file.  ``transform`` gets the lazy frame of ordered lines (column ``line``) and
+    may replace it, or return False to cancel.  Cells keep line feeds inside them;
+    every line ends with CRLF.
     """
-    frame, order = csv_frame(grid)
-    lines: DataFrame | bool = ordered(frame, order).select("line")
+    csv = csv_frame(grid)
+    lines: DataFrame | bool = ordered(csv.rows, csv.order).select(csv.line)
     if transform is not None:
         lines = transform(lines)
         if lines is False:
-            return False
-    lines.write.mode(mode).option("lineSep", LINE_END).text(folder)
-    return True
+            return None
+    path = f"{folder.rstrip('/')}/{grid.spec.download.filename}"
+    lines.write.mode(mode).option("lineSep", LINE_END).text(path)
+    return path

@@ -33,6 +33,19 @@ def test_filters_and_columns_reach_the_scan(spark, tables):
     assert "o_orderpriority" not in text and "o_custkey" not in text
 
 
+def test_case_sensitive_text_reaches_the_scan(spark, tables):
+    spec = GridSpec(
+        columns=("p_name",), filter_kind="textField", case_sensitive=True, filters={"p_name": ("x",)}
+    )
+    assert "StringContains(p_name,x)" in plan(Grid(table(spark, tables, "part"), spec).rows())
+
+
+def test_an_often_listed_key_is_thinned_out_before_the_join(spark, tables):
+    orders = table(spark, tables, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    text = plan(select_rows(table(spark, tables, "customer"), "c_custkey", orders))
+    assert text.count("HashAggregate(keys=[c_custkey") == 2
+
+
 def test_early_pages_are_a_top_k(spark, tables):
     spec = GridSpec(columns=("o_orderkey", "o_totalprice"), row_id="o_orderkey")
     for page in (0, 3):

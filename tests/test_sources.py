@@ -143,8 +143,9 @@ def test_csv_file_is_ordered_quoted_and_guarded(notes, folder):
         filters={"n": (1,)},
         sorts=(SortKey("id", "desc"),),
     )
-    assert export.write_csv(Grid(notes, spec), folder + "/out")
-    lines = parts_text(folder + "/out").split("\r\n")
+    out = export.write_csv(Grid(notes, spec), folder)
+    assert out == folder + "/tableDownload.csv"
+    lines = parts_text(out).split("\r\n")
     assert lines == [
         '"\'+key","t","n","d"',
         '"5","\'@""q","4","1e+21"',
@@ -155,7 +156,7 @@ def test_csv_file_is_ordered_quoted_and_guarded(notes, folder):
         '"0","a""b","-5","2"',
         "",
     ]
-    parsed = list(csv.reader(parts_text(folder + "/out").split("\r\n")[1:2]))
+    parsed = list(csv.reader(lines[1:2]))
     assert parsed == [["5", "'@\"q", "4", "1e+21"]]
 
 
@@ -164,21 +165,21 @@ def test_csv_of_many_parts_stays_in_order(spark, folder):
     grid = Grid(df, GridSpec(columns=("k", "id"), row_id="id", sorts=(SortKey("k", "desc"),)))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        export.write_csv(grid, folder + "/out")
+        out = export.write_csv(grid, folder)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(glob.glob(folder + "/out/part-*")) > 1
-    rows = list(csv.reader(parts_text(folder + "/out").split("\r\n")[:-1]))
+    assert len(glob.glob(out + "/part-*")) > 1
+    rows = list(csv.reader(parts_text(out).split("\r\n")[:-1]))
     want = sorted(((i % 7, i) for i in range(3000)), key=lambda t: (-t[0], t[1]))
     assert rows == [["k", "id"], *[[str(k), str(i)] for k, i in want]]
 
 
 def test_export_hook_may_change_or_cancel(notes, folder):
     grid = Grid(notes, GridSpec(columns=("id",), row_id="id"))
-    assert export.write_csv(grid, folder + "/no", lambda lines: False) is False
+    assert export.write_csv(grid, folder + "/no", lambda lines: False) is None
     assert not glob.glob(folder + "/no")
-    export.write_csv(grid, folder + "/yes", lambda lines: lines.filter("line <> '\"3\"'"))
-    assert parts_text(folder + "/yes").count("\r\n") == 6
+    out = export.write_csv(grid, folder, lambda lines: lines.filter("line <> '\"3\"'"))
+    assert parts_text(out).count("\r\n") == 6
 
 
 def test_displayed_rows_and_columns_only(notes):
@@ -191,7 +192,8 @@ def test_displayed_rows_and_columns_only(notes):
     )
     lines = [r["line"] for r in export.csv_lines(Grid(notes, spec)).collect()]
     assert lines == ['"2";;"\'=X";;"0.5"']
-    head = export.csv_frame(Grid(notes, spec))[0].filter("_tw_head = 0").first()["line"]
+    frame = export.csv_frame(Grid(notes, spec))
+    head = frame.rows.filter("_tw_head = 0").select(frame.line).first()["line"]
     assert head == '"id";;"t";;"d"'
 
 
@@ -208,6 +210,21 @@ def test_views_are_saved_and_restored(spark, notes, folder):
     assert spark.sql("SELECT count(*) FROM mine").first()[0] == 2
 
 
+def test_a_cluster_must_name_a_shared_folder():
+    class Cluster:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Cluster()
+        conf = {}
+
+    with pytest.raises(staging.StagingError):
+        staging.staging_root(Session())
+
+
 def test_stage_writes_to_the_checkpoint_folder(spark):
     staged = staging.stage(spark.range(10))
     files = staged.inputFiles()
