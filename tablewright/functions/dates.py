@@ -8,6 +8,9 @@ without a zone are taken as UTC.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,6 +77,25 @@ def millis_of(parts: Column) -> Column:
     return F.when(parts.isNotNull() & (F.abs(total) <= LARGEST_MILLIS), total)
 
 
+def iso_millis_of(text: str) -> int | None:
+    """Milliseconds since 1970 of one constant text, worked out in the driver."""
+    found = re.match(ISO_PATTERN.replace(r"\z", r"\Z"), text, re.ASCII)
+    if not found:
+        return None
+    part = dict(zip(_PARTS, found.groups(default="")))
+    n = {name: int(value) if value.lstrip("+-").isdigit() else 0 for name, value in part.items()}
+    years, month = divmod(max(n["month"], 1) - 1, 12)
+    year = n["year"] + years + (1900 if 0 <= n["year"] <= 99 else 0)
+    if not dt.MINYEAR <= year <= dt.MAXYEAR:
+        return None
+    days = dt.date(year, month + 1, 1).toordinal() - dt.date(1970, 1, 1).toordinal()
+    days += max(n["day"], 1) - 1
+    offset = n["offset_hour"] * 60 + n["offset_minute"]
+    minutes = days * 1440 + n["hour"] * 60 + n["minute"]
+    minutes += -offset if part["sign"] == "+" else offset
+    return (minutes * 60 + n["second"]) * 1000 + int(part["fraction"][:3] or 0)
+
+
 def timestamp_of(parts: Column) -> Column:
     """Timestamp of the parts.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
+from tablewright.sources.literals import small_frame
 
 #: Up to this many single updates become one map literal in the plan.
 MAX_LITERAL_UPDATES = 1000
@@ -80,7 +81,7 @@ def update_cells(
                 column, F.when(known, value.cast(dtype)).otherwise(quoted(column))
             )
         fields = [T.StructField(key, df.schema[key].dataType), T.StructField(column, dtype)]
-        updates = df.sparkSession.createDataFrame(list(updates.items()), T.StructType(fields))
+        updates = small_frame(df.sparkSession, updates.items(), T.StructType(fields))
     newest = F.max_by(column, latest_by) if latest_by else F.max(column)
     changed = updates.groupBy(key).agg(
         newest.cast(dtype).alias("_tw_new"), F.lit(True).alias("_tw_hit")

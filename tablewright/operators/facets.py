@@ -13,6 +13,7 @@ from tablewright.operators.cells import code
 from tablewright.operators.ordering import Key, with_positions
 from tablewright.plans.compiler import Grid
 from tablewright.plans.spec import ColumnSpec
+from tablewright.sources.literals import small_frame
 
 _SCHEMA = "column string, value string, first_seen bigint"
 
@@ -43,7 +44,7 @@ def facet_values(grid: Grid) -> DataFrame:
         )
         parts.insert(0, _distinct(long))
     if not parts:
-        return grid.source.sparkSession.createDataFrame([], _SCHEMA)
+        return small_frame(grid.source.sparkSession, [], _SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -95,4 +96,4 @@ def _elements(grid: Grid, c: ColumnSpec) -> DataFrame:
 
 def _named(grid: Grid, c: ColumnSpec) -> DataFrame:
     rows = [(c.name, None if v is None else str(v), i) for i, v in enumerate(c.facet_names)]
-    return grid.source.sparkSession.createDataFrame(rows, _SCHEMA)
+    return small_frame(grid.source.sparkSession, rows, _SCHEMA)

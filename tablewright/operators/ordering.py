@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
 from tablewright.plans.staging import stage
+from tablewright.sources.literals import small_frame
 
 _SLOT = "_tw_slot"
 _PART = "_tw_part"
@@ -84,7 +85,7 @@ def with_positions(df: DataFrame, order: list[Key], name: str = "pos") -> DataFr
     kept = [quoted(c) for c in df.columns]
     if len(starts) <= 1:
         return staged.select(*kept, place.alias(name))
-    offsets = df.sparkSession.createDataFrame(starts, f"{_PART} bigint, {_BEFORE} bigint")
+    offsets = small_frame(df.sparkSession, starts, f"{_PART} bigint, {_BEFORE} bigint")
     return (
         staged.withColumn(_PART, _part())
         .join(F.broadcast(offsets), _PART)

@@ -13,6 +13,7 @@ from tablewright.operators.cells import code
 from tablewright.operators.paging import rows_at
 from tablewright.plans.compiler import Grid
 from tablewright.plans.spec import SpecError
+from tablewright.sources.literals import small_frame
 
 #: Up to this many listed keys become an IN list, which reaches the scan.
 MAX_LISTED_KEYS = 1000
@@ -98,7 +99,7 @@ def key_frame(df: DataFrame, key: str, keys) -> DataFrame:
     if isinstance(keys, DataFrame):
         return keys.select(quoted(key)).distinct()
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)])
-    return df.sparkSession.createDataFrame([(k,) for k in keys], schema)
+    return small_frame(df.sparkSession, [(k,) for k in keys], schema)
 
 
 def _checked(keys, mode: str):

@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import patterns
-from tablewright.functions.dates import iso_is_utc, iso_precision, iso_timestamp
+from tablewright.functions.dates import iso_is_utc, iso_millis_of, iso_precision
 from tablewright.functions.text import trimmed, utf16_length
+from tablewright.sources.literals import small_frame
 
 # Message of each rule; ${name} stands for a parameter.
 MESSAGES = {
@@ -253,9 +254,13 @@ class Field:
             default = MESSAGES[name]
         else:
 
+            moment = iso_millis_of(bound) if isinstance(bound, str) else None
+            if isinstance(bound, str) and moment is None:
+                raise RuleError(f"{bound!r} is no date")
+
             def check(s: Scope) -> Column:
-                limit = s.resolve(bound)
-                return compare(s.value, iso_timestamp(limit) if isinstance(bound, str) else limit)
+                limit = s.resolve(bound) if moment is None else F.timestamp_millis(F.lit(moment))
+                return compare(s.value, limit)
 
             default = MESSAGES["date_" + name]
         return self.test(name, message or default, check, exclusive=True, **{name: bound})
@@ -460,7 +465,7 @@ class RecordRules:
     def rules_frame(self, spark: SparkSession) -> DataFrame:
         """The rules as a table."""
         rows = [(i, *rule) for i, rule in enumerate(self.describe(), 1)]
-        return spark.createDataFrame(rows, "pos bigint, field string, rule string, params string")
+        return small_frame(spark, rows, "pos bigint, field string, rule string, params string")
 
     def unknown_columns(self, df: DataFrame) -> list[str]:
         """Columns of a frame that no rule names; needs no pass over the data."""

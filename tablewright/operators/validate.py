@@ -30,6 +30,7 @@ from tablewright.operators.rules import (
     Scope,
     render,
 )
+from tablewright.sources.literals import small_frame
 
 VALID = "_valid"
 VIOLATIONS = "_violations"
@@ -307,7 +308,7 @@ def report(df: DataFrame, rules: RecordRules) -> DataFrame:
     checker = Checker(df, rules)
     broken = checker.broken_by_rule()
     if not broken:
-        return df.sparkSession.createDataFrame([], _REPORT)
+        return small_frame(df.sparkSession, [], _REPORT)
     counted = checker.prepared.agg(*_counts(broken))
     rows = [
         F.struct(
@@ -339,7 +340,7 @@ def write_validated(
     _annotated(checker, observed).write.mode(mode).partitionBy(VALID).parquet(folder)
     counts = seen.get if broken else {}
     rows = [(i + 1, f, rule, counts[f"n{i}"]) for i, (f, rule) in enumerate(broken)]
-    return df.sparkSession.createDataFrame(rows, _REPORT)
+    return small_frame(df.sparkSession, rows, _REPORT)
 
 
 def read_validated(spark: SparkSession, folder: str) -> DataFrame:

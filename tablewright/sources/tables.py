@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
 from tablewright.plans.spec import ColumnSpec
+from tablewright.sources.literals import small_frame
 
 FORMATS = ("parquet", "orc", "json", "csv", "text")
 
@@ -62,7 +63,7 @@ def rows_from_literals(
     :func:`rows_from_arrays`.
     """
     texts = [(i, [None if v is None else str(v) for v in row]) for i, row in enumerate(rows)]
-    df = spark.createDataFrame(texts, "_row_id bigint, cells array<string>")
+    df = small_frame(spark, texts, "_row_id bigint, cells array<string>")
     return rows_from_arrays(df, "cells", columns)
 
 

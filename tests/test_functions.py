@@ -125,6 +125,8 @@ def test_iso_timestamps(spark):
         spark, list(DATES), "string", lambda c: dates.timestamp_of(dates.iso_parts(c)).cast("string")
     )
     assert parts == got
+    millis = apply(spark, list(DATES), "string", lambda c: dates.millis_of(dates.iso_parts(c)))
+    assert [dates.iso_millis_of(text) for text in DATES] == millis
 
 
 MANY = 30_000
