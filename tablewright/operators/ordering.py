@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,16 @@ from tablewright.sources.literals import small_frame
 _SLOT = "_tw_slot"
 _PART = "_tw_part"
 _BEFORE = "_tw_before"
+_RANK = "_tw_rank"
+_SIZE = "_tw_size"
+#: Rows in the sample that narrows a range of places down, and how many standard
+#: deviations the sample may be off.
+SAMPLE_ROWS = 50_000
+_SPREADS = 5
+#: Key types whose values can be written into a plan.
+_LITERAL_TYPES = (
+    T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType
+)
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in the low 33 bits
 
 
@@ -94,25 +104,96 @@ def with_positions(df: DataFrame, order: list[Key], name: str = "pos") -> DataFr
 
 
 def keys_between(
-    df: DataFrame, order: list[Key], key: str, first: int, last: int, name: str
+    df: DataFrame,
+    order: list[Key],
+    key: str,
+    first: int,
+    last: int,
+    name: str,
+    total: int,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """Row keys at places ``first`` to ``last`` (from 1, both included), with the place.
 
-    Only the keys are written, and only the places asked for are read back.
+    A sample tells between which two rows these places must lie.  One pass counts
+    the rows before them and writes the keys in between, a few per cent of the
+    table, and only those are sorted.  The count is exact, so it also tells if the
+    sample misled; then, and for small tables, all keys are sorted.
     """
-    staged = _numbered(df, order, [key])
-    wanted, at, before = F.lit(False), F.lit(None).cast("bigint"), 0
+    names = [f"_tw_by{i}" for i in range(len(order))]
+    keys = df.select(quoted(key), *[k.expr.alias(n) for k, n in zip(order, names)])
+    plain = [Key(F.col(n), k.descending) for k, n in zip(order, names)]
+    before = 0
+    simple = all(isinstance(keys.schema[n].dataType, _LITERAL_TYPES) for n in names)
+    if total > sample_rows and simple:
+        low, high = _pivots(keys, plain, first, last, total, sample_rows)
+        if low is not None or high is not None:
+            inside, skipped = _between(keys, plain, low, high)
+            if skipped < first and last <= skipped + inside.count():
+                keys, before = inside, skipped
+    staged = _numbered(keys, plain, [key])
+    wanted, at = F.lit(False), F.lit(None).cast("bigint")
     for part, size in _part_sizes(staged):
-        low, high = max(first - before, 1), min(last - before, size)
-        if low <= high:
+        start, end = max(first - before, 1), min(last - before, size)
+        if start <= end:
             base = part << _ROW_BITS
-            here = F.col(_SLOT).between(base + low - 1, base + high - 1)
+            here = F.col(_SLOT).between(base + start - 1, base + end - 1)
             wanted = wanted | here
             at = F.when(here, F.col(_SLOT) - F.lit(base - before - 1)).otherwise(at)
         before += size
     return staged.filter(wanted).select(quoted(key), at.alias(name))
 
 
+def _pivots(
+    keys: DataFrame, order: list[Key], first: int, last: int, total: int, sample_rows: int
+) -> tuple[list | None, list | None]:
+    """Keys of two sampled rows that almost surely enclose the places; None for no bound."""
+    sample = keys.sample(fraction=sample_rows / total, seed=17)
+    rank = Window.orderBy(*sort_columns(order))  # over the sample only, a bounded set
+    ranked = sample.select(
+        "*",
+        F.row_number().over(rank).alias(_RANK),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias(_SIZE),
+    )
+
+    def expected(place: int, side: int) -> Column:
+        share = place / total
+        spread = F.sqrt(F.col(_SIZE) * F.lit(share * (1 - share)))
+        return F.floor(F.col(_SIZE) * share + side * (_SPREADS * spread + _SPREADS))
+
+    low, high = expected(first - 1, -1), expected(last, 1)
+    found = ranked.filter((F.col(_RANK) == low) | (F.col(_RANK) == high))
+    rows = found.select(*[k.expr for k in order], (F.col(_RANK) == low).alias("is_low")).collect()
+    ends = {row["is_low"]: list(row)[:-1] for row in rows}
+    return ends.get(True), ends.get(False)
+
+
+def _between(
+    keys: DataFrame, order: list[Key], low: list | None, high: list | None
+) -> tuple[DataFrame, int]:
+    """The written rows from ``low`` up to before ``high``, and how many lie before ``low``."""
+    early = F.lit(False) if low is None else comes_before(order, low)
+    late = F.lit(False) if high is None else ~comes_before(order, high)
+    seen = Observation()
+    counted = keys.observe(seen, F.count_if(early).alias("early"))
+    inside = stage(counted.filter(~early & ~late))
+    return inside, seen.get["early"]
+
+
+def comes_before(order: list[Key], values: list) -> Column:
+    """The row stands before a row with these key values; never null."""
+    result, equal = F.lit(False), F.lit(True)
+    for key, value in zip(order, values):
+        c, limit = key.expr, F.lit(value)
+        if key.descending:
+            closer = c.isNotNull() if value is None else F.coalesce(c > limit, F.lit(False))
+        else:
+            closer = F.lit(False) if value is None else F.coalesce(c < limit, F.lit(True))
+        result = result | (equal & closer)
+        equal = equal & c.eqNullSafe(limit)
+    return result
+
+
 def _numbered(df: DataFrame, order: list[Key], keep: list[str]) -> DataFrame:
     """Written rows with a slot: the part in the high bits, the place in it in the low."""
     numbered = ordered(df, order).withColumn(_SLOT, F.monotonically_increasing_id())

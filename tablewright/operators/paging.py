@@ -2,8 +2,9 @@
 
 What a page costs depends on where it lies.  Near the front or the end it is a
 top-k: every task keeps its own best rows and one task merges these few.  In
-between that merge would grow with the page number, so only the row keys are
-sorted and written, and the page's rows are fetched by their keys.
+between that merge would grow with the page number, so a sample narrows the table down
+to the row keys around the page, these are sorted, and the page's rows are
+fetched by their keys.
 """
 
 from __future__ import annotations
@@ -75,7 +76,12 @@ def rows_at(
     if total is not None and 0 <= total - first < shallow_rows:
         back = ordered(df, [k.reversed() for k in order]).limit(total - first + 1)
         return ordered(back, order).limit(size)
-    places = keys_between(df, order, row_id, first, last, _AT).withColumnRenamed(row_id, _AT_KEY)
+    total = df.count() if total is None else total
+    last = min(last, total)
+    if first > last:
+        return df.limit(0)
+    places = keys_between(df, order, row_id, first, last, _AT, total)
+    places = places.withColumnRenamed(row_id, _AT_KEY)
     if size > shallow_rows:
         found = df.join(places, quoted(row_id) == F.col(_AT_KEY)).orderBy(_AT)
     else:  # bounded by the places asked for

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright.operators import ordering
 from tablewright.operators.cells import update_cells
 from tablewright.operators.facets import facet_values, ordered_facets
 from tablewright.operators.ordering import Key, by, keys_between, with_positions
@@ -219,19 +220,66 @@ def test_positions_across_many_parts(skewed, spark):
     assert [r["pos"] for r in sorted(placed, key=lambda r: r["pos"])] == list(range(1, 5001))
 
 
-def test_keys_between_across_many_parts(skewed, spark):
-    order = [Key(F.col("k")), *by("id")]
+@pytest.mark.parametrize("sample_rows", [10, 1000, 10_000])
+@pytest.mark.parametrize("down", [False, True])
+def test_keys_between_across_many_parts(skewed, spark, sample_rows, down):
+    order = [Key(F.col("k"), down), *by("id")]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        rows = keys_between(skewed, order, "id", 990, 3010, "at").collect()
+        rows = keys_between(skewed, order, "id", 990, 1310, "at", 5000, sample_rows).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    everything = sorted((r["k"], r["id"]) for r in skewed.collect())
+    pairs = [(r["k"], r["id"]) for r in skewed.collect()]
+    everything = sorted(pairs, key=lambda t: (-t[0] if down else t[0], t[1]))
     assert sorted((r["at"], r["id"]) for r in rows) == [
-        (i + 1, everything[i][1]) for i in range(989, 3010)
+        (i + 1, everything[i][1]) for i in range(989, 1310)
     ]
 
 
+def test_a_sample_narrows_the_sort(skewed, monkeypatch):
+    sorted_rows = []
+    numbered = ordering._numbered
+
+    def spy(df, order, keep):
+        sorted_rows.append(df.count())
+        return numbered(df, order, keep)
+
+    monkeypatch.setattr(ordering, "_numbered", spy)
+    order = [Key(F.col("k")), *by("id")]
+    for first in (1, 1500, 4990):  # front, inside the hot value, end
+        keys_between(skewed, order, "id", first, first + 10, "at", 5000, 2000).collect()
+    assert all(n < 1500 for n in sorted_rows)
+
+
+def test_a_misleading_sample_does_no_harm(skewed, monkeypatch):
+    order = [Key(F.col("k")), *by("id")]
+    monkeypatch.setattr(ordering, "_pivots", lambda *a: ([100, 0], None))
+    rows = keys_between(skewed, order, "id", 5, 6, "at", 5000, 10).collect()
+    want = [(r["id"]) for r in skewed.orderBy("k", "id").limit(6).collect()][4:]
+    assert [r["id"] for r in sorted(rows, key=lambda r: r["at"])] == want
+
+
+def test_deep_places_in_dictionary_order(spark):
+    letters = F.element_at(F.array(*[F.lit(x) for x in "bAaBéÉzZ"]), (F.col("id") % 8 + 1).cast("int"))
+    df = spark.range(4000).withColumn("t", F.when(F.col("id") % 9 > 0, letters))
+    spec = GridSpec(columns=("t", "id"), row_id="id").sort_by("t", "desc")
+    g = Grid(df, spec)
+    everything = [(r["t"], r["id"]) for r in g.sorted().collect()]
+    places = keys_between(df, g.order, "id", 2000, 2050, "at", 4000, 500).collect()
+    got = [r["id"] for r in sorted(places, key=lambda r: r["at"])]
+    assert got == [i for _, i in everything[1999:2050]]
+
+
+def test_comparing_rows_with_nulls(cells):
+    for down in (False, True):
+        for column in ("text", "num", "n"):
+            order = [Key(F.col(column), down), *by("id")]
+            rows = ordering.ordered(cells, order).collect()
+            for i, row in enumerate(rows):
+                early = cells.filter(ordering.comes_before(order, [row[column], row["id"]]))
+                assert {r["id"] for r in early.collect()} == {r["id"] for r in rows[:i]}
+
+
 @pytest.mark.parametrize("shallow", [1, 60, 10_000])
 def test_pages_cover_the_table_however_they_are_found(skewed, shallow):
     order = [Key(F.col("k")), *by("id")]
