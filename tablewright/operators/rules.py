@@ -60,6 +60,15 @@ MESSAGES = {
 _PLACEHOLDER = re.compile(r"\$\{\s*(\w+)\s*\}")
 
 
+class InvalidRecords(ValueError):
+    """Rows break rules; ``failures`` maps (field, rule) to the number of rows."""
+
+    def __init__(self, failures: dict[tuple[str, str], int]):
+        self.failures = failures
+        listed = ", ".join(f"{f}: {rule} ({n} rows)" for (f, rule), n in failures.items())
+        super().__init__(f"rows break rules - {listed}")
+
+
 class RuleError(ValueError):
     """A rule that cannot be applied to its field."""
 
@@ -409,10 +418,12 @@ class RecordRules:
     """Rules of all fields of a record, in the order violations are listed.
 
     ``empty_as_absent`` treats an empty text as no value, as a form does.
+    ``abort_early`` keeps the first violation of a row only.
     """
 
     fields: tuple[Field, ...] = ()
     empty_as_absent: bool = True
+    abort_early: bool = False
     context: Mapping[str, Any] = field(default_factory=dict)
 
     def __post_init__(self):

@@ -21,9 +21,11 @@ from tablewright.functions.casts import tolerant_cast
 from tablewright.functions.dates import iso_parts, iso_timestamp, timestamp_of
 from tablewright.functions.text import quoted
 from tablewright.operators.cells import nested, path_type
+from tablewright.operators.predicates import comparable
 from tablewright.operators.rules import (
     MESSAGES,
     Field,
+    InvalidRecords,
     RecordRules,
     Ref,
     RuleError,
@@ -187,13 +189,21 @@ class Checker:
         if f.absent:
             add(f.absent[0], missing, f.absent[1])
         if f.allowed:
-            hit = _among(value, f.allowed, scope)
+            hit = self._among(f, f.allowed, scope)
             add("one_of", value.isNotNull() & ~hit, f.allowed_message, values=_listed(f.allowed))
         if f.denied:
-            hit = _among(value, f.denied, scope)
+            hit = self._among(f, f.denied, scope)
             add("not_one_of", value.isNotNull() & hit, f.denied_message, values=_listed(f.denied))
         return found
 
+    def _among(self, f: Field, values: Sequence[Any], scope: Scope) -> Column:
+        """The cell equals a listed value, of its own type; references go row by row."""
+        dtype = self.prepared.schema[_CAST + f.name].dataType
+        fixed = [v for v in values if not isinstance(v, Ref) and comparable(v, dtype)]
+        tests = [scope.value.isin(*fixed)] if fixed else []
+        tests += [scope.value.eqNullSafe(v.column(scope)) for v in values if isinstance(v, Ref)]
+        return F.coalesce(reduce(or_, tests), F.lit(False)) if tests else F.lit(False)
+
     def _second_stage(self, f: Field) -> list[_Finding]:
         scope, value = self._scope(f), self._value(f)
         found = []
@@ -231,7 +241,8 @@ class Checker:
         # Joined lists stay inside generated code; filtering nulls out of one array
         # would have every rule interpreted.
         entries = [x.entry() for x in self.all_findings()]
-        return F.concat(F.array().cast(_LIST), *entries)
+        found = F.concat(F.array().cast(_LIST), *entries)
+        return F.slice(found, 1, 1) if self.rules.abort_early else found
 
     def valid_cells(self) -> dict[str, Column | None]:
         """New content of the columns of valid rows; None for a stripped column."""
@@ -372,25 +383,34 @@ def validate(df: DataFrame, rules: RecordRules, strip_unknown: bool = False) ->
     )
 
 
+def all_valid(df: DataFrame, rules: RecordRules) -> bool:
+    """Whether no row breaks a rule; stops at the first that does."""
+    checker = Checker(df, rules)
+    return checker.prepared.filter(~checker.is_valid()).isEmpty()
+
+
+def require_valid(df: DataFrame, rules: RecordRules) -> DataFrame:
+    """The cast rows, or :class:`InvalidRecords` with the failures of every broken rule."""
+    failures = {(r["field"], r["rule"]): r["failures"] for r in report(df, rules).collect()}
+    failures = {rule: n for rule, n in failures.items() if n}
+    if failures:
+        raise InvalidRecords(failures)
+    return cast_rows(df, rules)
+
+
 def unknown_keys(json_text: Column, declared: Sequence[str]) -> Column:
     """Keys of a JSON object that no rule names, in their order; empty for no object."""
     keys = F.coalesce(F.json_object_keys(json_text), F.array().cast("array<string>"))
     return F.array_except(keys, F.array(*[F.lit(d) for d in declared]).cast("array<string>"))
 
 
-def unknown_message(keys: Column, path: str = "this") -> Column:
-    before, _, after = MESSAGES["no_unknown"].replace("${path}", path).partition("${unknown}")
+def unknown_message(keys: Column, path: str = "this", exact: bool = False) -> Column:
+    """What is said about unknown keys, in the words of the plain or the exact rule."""
+    rule, name = ("exact", "properties") if exact else ("no_unknown", "unknown")
+    before, _, after = MESSAGES[rule].replace("${path}", path).partition("${" + name + "}")
     return F.concat(F.lit(before), F.array_join(keys, ", "), F.lit(after))
 
 
-def _among(value: Column, values: Sequence[Any], scope: Scope) -> Column:
-    """The value equals a listed one; references are compared row by row."""
-    fixed = [v for v in values if not isinstance(v, Ref)]
-    tests = [value.isin(*fixed)] if fixed else []
-    tests += [value.eqNullSafe(v.column(scope)) for v in values if isinstance(v, Ref)]
-    return F.coalesce(reduce(or_, tests), F.lit(False))
-
-
 def _can_fail(f: Field) -> bool:
     """Whether a cell may not cast; every value has a text."""
     return f.kind not in ("string", "mixed")

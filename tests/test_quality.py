@@ -4,16 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import rulesets
-from tablewright.operators.rules import Field, RecordRules, Ref, RuleError
+from tablewright.operators.rules import Field, InvalidRecords, RecordRules, Ref, RuleError
 from tablewright.operators.validate import (
     VALID,
     VIOLATIONS,
+    all_valid,
     annotate,
     cast_rows,
     first_messages,
     read_validated,
     rejected_rows,
     report,
+    require_valid,
     unknown_keys,
     unknown_message,
     valid_rows,
@@ -114,6 +116,27 @@ def test_allowed_and_denied_values(spark):
     assert (moved.allowed, moved.denied) == (("a",), ("b",))
 
 
+def test_values_match_within_their_type_only(spark):
+    df = frame(spark, [(1, "1"), (2, "2")], "n int, s string")
+    assert broken(df, Field("n", "int").one_of([1, "2"])) == [[], ["one_of"]]
+    assert broken(df, Field("s").not_one_of([1, "2"])) == [[], ["not_one_of"]]
+
+
+def test_the_first_violation_may_be_enough(spark):
+    rules = RecordRules((Field("v").min(3).matches("x"),), abort_early=True)
+    assert broken(texts(spark, "a", "xxx"), rules) == [["min"], []]
+
+
+def test_a_whole_table_passes_or_fails(spark):
+    rules = RecordRules((Field("v").trim().max(2).required(),))
+    good, bad = texts(spark, " a ", "b"), texts(spark, "a", "abc", "abcd", None)
+    assert all_valid(good, rules) and not all_valid(bad, rules)
+    assert [r["v"] for r in require_valid(good, rules).collect()] == ["a", "b"]
+    with pytest.raises(InvalidRecords) as failed:
+        require_valid(bad, rules)
+    assert failed.value.failures == {("v", "required"): 1, ("v", "max"): 2}
+
+
 def test_dates(spark):
     df = texts(spark, "2024-01-10", "2024-01-11T00:00:00Z", "2023-12-31", "nope", None)
     rule = Field("v", "date").min("2024-01-01").max("2024-01-10")
@@ -274,6 +297,8 @@ def test_unknown_keys_of_json_records(spark):
     rows = df.select(keys.alias("k"), unknown_message(keys).alias("m")).collect()
     assert [r["k"] for r in rows] == [["b", "c"], [], [], [], []]
     assert rows[0]["m"] == "this field has unspecified keys: b, c"
+    said = df.select(unknown_message(keys, "r", exact=True).alias("m")).first()["m"]
+    assert said == "r object contains unknown properties: b, c"
 
 
 LONG = "x" * 253
