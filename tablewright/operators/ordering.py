@@ -21,6 +21,8 @@ _SIZE = "_tw_size"
 #: deviations the sample may be off.
 SAMPLE_ROWS = 50_000
 _SPREADS = 5
+#: Smaller tables are sorted outright: that takes fewer passes.
+NARROW_FROM = 1_000_000
 #: Key types whose values can be written into a plan.
 _LITERAL_TYPES = (
     T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType
@@ -112,6 +114,7 @@ def keys_between(
     name: str,
     total: int,
     sample_rows: int = SAMPLE_ROWS,
+    narrow_from: int = NARROW_FROM,
 ) -> DataFrame:
     """Row keys at places ``first`` to ``last`` (from 1, both included), with the place.
 
@@ -125,7 +128,7 @@ def keys_between(
     plain = [Key(F.col(n), k.descending) for k, n in zip(order, names)]
     before = 0
     simple = all(isinstance(keys.schema[n].dataType, _LITERAL_TYPES) for n in names)
-    if total > sample_rows and simple:
+    if total >= narrow_from and total > sample_rows and simple:
         low, high = _pivots(keys, plain, first, last, total, sample_rows)
         if low is not None or high is not None:
             inside, skipped = _between(keys, plain, low, high)

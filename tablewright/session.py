@@ -12,6 +12,8 @@ COMMON_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Valid and rejected rows are written side by side, without sorting them apart.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Do not inspect the Python stack on every column operation.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -19,6 +20,6 @@ def small_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructT
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if not rows:
-        return spark.createDataFrame([], schema)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     columns = {f.name: pa.array([row[i] for row in rows]) for i, f in enumerate(schema)}
     return spark.createDataFrame(pa.table(columns), schema)

@@ -226,7 +226,7 @@ def test_keys_between_across_many_parts(skewed, spark, sample_rows, down):
     order = [Key(F.col("k"), down), *by("id")]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        rows = keys_between(skewed, order, "id", 990, 1310, "at", 5000, sample_rows).collect()
+        rows = keys_between(skewed, order, "id", 990, 1310, "at", 5000, sample_rows, 0).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     pairs = [(r["k"], r["id"]) for r in skewed.collect()]
@@ -247,14 +247,14 @@ def test_a_sample_narrows_the_sort(skewed, monkeypatch):
     monkeypatch.setattr(ordering, "_numbered", spy)
     order = [Key(F.col("k")), *by("id")]
     for first in (1, 1500, 4990):  # front, inside the hot value, end
-        keys_between(skewed, order, "id", first, first + 10, "at", 5000, 2000).collect()
+        keys_between(skewed, order, "id", first, first + 10, "at", 5000, 2000, 0).collect()
     assert all(n < 1500 for n in sorted_rows)
 
 
 def test_a_misleading_sample_does_no_harm(skewed, monkeypatch):
     order = [Key(F.col("k")), *by("id")]
     monkeypatch.setattr(ordering, "_pivots", lambda *a: ([100, 0], None))
-    rows = keys_between(skewed, order, "id", 5, 6, "at", 5000, 10).collect()
+    rows = keys_between(skewed, order, "id", 5, 6, "at", 5000, 10, 0).collect()
     want = [(r["id"]) for r in skewed.orderBy("k", "id").limit(6).collect()][4:]
     assert [r["id"] for r in sorted(rows, key=lambda r: r["at"])] == want
 
@@ -265,7 +265,7 @@ def test_deep_places_in_dictionary_order(spark):
     spec = GridSpec(columns=("t", "id"), row_id="id").sort_by("t", "desc")
     g = Grid(df, spec)
     everything = [(r["t"], r["id"]) for r in g.sorted().collect()]
-    places = keys_between(df, g.order, "id", 2000, 2050, "at", 4000, 500).collect()
+    places = keys_between(df, g.order, "id", 2000, 2050, "at", 4000, 500, 0).collect()
     got = [r["id"] for r in sorted(places, key=lambda r: r["at"])]
     assert got == [i for _, i in everything[1999:2050]]
 
