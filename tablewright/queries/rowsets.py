@@ -72,12 +72,12 @@ def select_all_displayed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT c_custkey FROM customer WHERE c_custkey < 20
+    f"""SELECT c_custkey FROM customer WHERE c_nationkey = 3
           AND c_custkey NOT IN (SELECT c_custkey FROM customer WHERE {_SHOWN} AND c_acctbal > 0)"""
 )
 def deselect_displayed(spark: SparkSession, folder: str) -> DataFrame:
     """Something is selected: the displayed selectable rows leave the selection."""
-    selected = named_table(spark, folder, "customer").filter("c_custkey < 20")
+    selected = named_table(spark, folder, "customer").filter("c_nationkey = 3")
     return rowset.toggle_displayed(_shown(spark, folder), selected, "c_acctbal > 0")
 
 
