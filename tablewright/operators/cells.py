@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from tablewright.functions.text import quoted
 from tablewright.sources.literals import small_frame
 
-#: Up to this many single updates become one map literal in the plan.
-MAX_LITERAL_UPDATES = 1000
+#: Up to this many single updates become one CASE in the plan.
+MAX_LITERAL_UPDATES = 100
 
 
 def nested(name: str, separator: str | None = None) -> Column:
@@ -73,13 +73,10 @@ def update_cells(
         if len(updates) <= MAX_LITERAL_UPDATES:
             if not updates:
                 return df
-            known = quoted(key).isin(*updates)
-            value = F.lit(None)
+            value = F
             for k, v in updates.items():
-                value = F.when(quoted(key) == F.lit(k), F.lit(v)).otherwise(value)
-            return df.withColumn(
-                column, F.when(known, value.cast(dtype)).otherwise(quoted(column))
-            )
+                value = value.when(quoted(key) == F.lit(k), F.lit(v).cast(dtype))
+            return df.withColumn(column, value.otherwise(quoted(column)))
         fields = [T.StructField(key, df.schema[key].dataType), T.StructField(column, dtype)]
         updates = small_frame(df.sparkSession, updates.items(), T.StructType(fields))
     newest = F.max_by(column, latest_by) if latest_by else F.max(column)

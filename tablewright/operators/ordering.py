@@ -89,15 +89,23 @@ def with_positions(df: DataFrame, order: list[Key], name: str = "pos") -> DataFr
     key: it keeps equal values apart, so one hot value spreads over many parts.
     """
     staged = _numbered(df, order, df.columns)
-    place = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
     starts, before = [], 0
-    for part, size in _part_sizes(staged):
-        starts.append((part, before))
-        before += size
-    kept = [quoted(c) for c in df.columns]
+    if len(staged.inputFiles()) > 1:  # else there is one part, and nothing before it
+        for part, size in _part_sizes(staged):
+            starts.append((part, before))
+            before += size
+    return _placed(staged, starts, df.columns, name)
+
+
+def _placed(staged: DataFrame, starts: list[tuple], columns: list[str], name: str) -> DataFrame:
+    """The columns and the place; ``starts`` holds the rows before each part."""
+    kept = [quoted(c) for c in columns]
+    place = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
     if len(starts) <= 1:
-        return staged.select(*kept, place.alias(name))
-    offsets = small_frame(df.sparkSession, starts, f"{_PART} bigint, {_BEFORE} bigint")
+        before = starts[0][1] if starts else 0
+        return staged.select(*kept, (place + F.lit(before)).alias(name))
+    # One row per written part.
+    offsets = small_frame(staged.sparkSession, starts, f"{_PART} bigint, {_BEFORE} bigint")
     return (
         staged.withColumn(_PART, _part())
         .join(F.broadcast(offsets), _PART)
@@ -135,16 +143,16 @@ def keys_between(
             if skipped < first and last <= skipped + inside.count():
                 keys, before = inside, skipped
     staged = _numbered(keys, plain, [key])
-    wanted, at = F.lit(False), F.lit(None).cast("bigint")
+    starts, slots = [], []
     for part, size in _part_sizes(staged):
         start, end = max(first - before, 1), min(last - before, size)
         if start <= end:
-            base = part << _ROW_BITS
-            here = F.col(_SLOT).between(base + start - 1, base + end - 1)
-            wanted = wanted | here
-            at = F.when(here, F.col(_SLOT) - F.lit(base - before - 1)).otherwise(at)
+            starts.append((part, before))
+            slots += [(part << _ROW_BITS) + start - 1, (part << _ROW_BITS) + end - 1]
         before += size
-    return staged.filter(wanted).select(quoted(key), at.alias(name))
+    # Slots rise with the order, so the places lie in one stretch of them.
+    wanted = F.col(_SLOT).between(slots[0], slots[-1]) if slots else F.lit(False)
+    return _placed(staged.filter(wanted), starts, [key], name)
 
 
 def _pivots(

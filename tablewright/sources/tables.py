@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
+from tablewright.operators.cells import json_path
 from tablewright.plans.spec import ColumnSpec
 from tablewright.sources.literals import small_frame
 
+_TOP = "_tw_top_"
 FORMATS = ("parquet", "orc", "json", "csv", "text")
 
 
@@ -68,9 +70,17 @@ def rows_from_literals(
 
 
 def rows_from_json(df: DataFrame, text: str, fields: Sequence[str], separator: str = ".") -> DataFrame:
-    """Text columns by path out of a JSON text column; a missing step gives null."""
-    from tablewright.operators.cells import json_path
+    """Text columns by path out of a JSON text column; a missing step gives null.
 
-    kept = [quoted(c) for c in df.columns if c != text]
-    cells: list[Column] = [json_path(quoted(text), f, separator).alias(f) for f in fields]
-    return df.select(*kept, *cells)
+    Several top-level fields are taken out together, so the text is parsed once.
+    """
+    kept = [c for c in df.columns if c != text]
+    flat = [f for f in fields if separator not in f]
+    if len(flat) < 2:
+        flat = []
+    else:
+        df = df.select("*", F.json_tuple(quoted(text), *flat).alias(*[_TOP + f for f in flat]))
+    cells: list[Column] = [
+        quoted(_TOP + f) if f in flat else json_path(quoted(text), f, separator) for f in fields
+    ]
+    return df.select(*[quoted(c) for c in kept], *[c.alias(f) for c, f in zip(cells, fields)])

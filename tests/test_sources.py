@@ -102,6 +102,17 @@ def test_json_paths(spark):
     assert [tuple(r)[1:] for r in rows] == [("x", None, "2"), (None, None, None), (None, None, None)]
 
 
+def test_top_level_json_fields_are_parsed_together(spark):
+    texts = ['{"a":1,"b":"x","c":[1,2],"d":{"e":null,"f":true}}', '{"b":null}', "bad", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, j string")
+    got = rows_from_json(df, "j", ["b", "a", "c", "d.f", "d"])
+    assert got.columns == ["id", "b", "a", "c", "d.f", "d"]
+    one_by_one = {f: rows_from_json(df, "j", [f]).orderBy("id").collect() for f in got.columns[1:]}
+    for i, row in enumerate(got.orderBy("id").collect()):
+        assert tuple(row)[1:] == tuple(one_by_one[f][i][1] for f in got.columns[1:])
+    assert tuple(got.orderBy("id").first()) == (0, "x", "1", "[1,2]", "true", '{"e":null,"f":true}')
+
+
 def test_readers(spark, folder):
     df = spark.range(5).select("id", F.concat(F.lit("n"), "id").alias("n"))
     for fmt in ("parquet", "orc", "json", "csv"):
