@@ -264,7 +264,8 @@ def sort_initial(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- pages --------------------------------------------------------------------
 
-_BY_PRICE = "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders ORDER BY o_totalprice DESC, o_orderkey"
+_BY_PRICE = """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+               ORDER BY o_totalprice DESC, o_orderkey"""
 
 
 def _by_price(page: int, size: int) -> GridSpec:
@@ -291,12 +292,11 @@ def page_deep(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT * FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS n,
-                             count(*) OVER () AS total
-                      FROM orders)
-       WHERE (n - 1) // 15 = (total - 1) // 15""".replace(
-        "SELECT * FROM (", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM ("
-    )
+    """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority
+       FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS n,
+                    count(*) OVER () AS total
+             FROM orders)
+       WHERE (n - 1) // 15 = (total - 1) // 15"""
 )
 def page_last(spark: SparkSession, folder: str) -> DataFrame:
     """A page beyond the end shows the last one."""
