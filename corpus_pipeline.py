@@ -13,12 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, mixing, sharding, simhash
+from tablewright.llm import decontaminate, mixing, sharding, simhash, site_quality
 from tablewright.llm.shared import new_path, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Junk and toxic documents go: sources are hosts, a source's languages the paths below it."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = site_quality.fit(docs, labels)
+    return site_quality.kept_documents(docs, model, F.col("source"), F.col("lang"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the one with the smallest id.
 
@@ -70,6 +77,7 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
     ("simhash near-dedup", near_duplicates),
     ("benchmark decontamination", benchmark_decontamination),
     ("source mix", source_mix),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, mixing, sharding, simhash, warc
+from tablewright.llm import decontaminate, main_text, mixing, sharding, simhash, site_quality, warc
+from tablewright.llm.labelled_pages import PAGES
 from tablewright.llm.shared import new_path
 from tablewright.queries.registry import Query
 
@@ -37,12 +38,24 @@ def op3_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(docs, sharding.text_dimensions(docs))
 
 
+@query
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_texts(table(spark, folder, "pages"), PAGES)
+
+
 @query
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query
+def op8_site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = site_quality.fit(docs, table(spark, folder, "labels"))
+    return site_quality.score(docs, model, F.col("source"), F.col("lang"))
+
+
 @query
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

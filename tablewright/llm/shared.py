@@ -66,10 +66,12 @@ def written(df: DataFrame, name: str) -> Written:
     return Written(spark.read.schema(df.schema).parquet(path), path)
 
 
-def word_chunks(data: bytes, size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
-    """The words of a text, lower-cased in A-Z, in lists made from about ``size`` bytes each.
+def word_chunks(
+    data: bytes, size: int = CHUNK_BYTES, lower: bool = True
+) -> Iterator[list[bytes]]:
+    """The words of a text, in lists made from about ``size`` bytes each.
 
-    Words are what stands between the bytes 0x20 and 0x09 to 0x0D.
+    They are lower-cased in A-Z if wanted. Words are what stands between the bytes 0x20 and 0x09 to 0x0D.
     """
     start, end = 0, len(data)
     while start < end:
@@ -77,7 +79,8 @@ def word_chunks(data: bytes, size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
         if stop < end:
             space = _SPACE.search(data, stop)
             stop = space.start() if space else end
-        words = data[start:stop].lower().split()
+        part = data[start:stop]
+        words = (part.lower() if lower else part).split()
         if words:
             yield words
         start = stop
