@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, main_text, mixing, sharding, simhash, site_quality, suffix_dedup, warc
+from tablewright.llm import context_tree, decontaminate, main_text, mixing, sharding, simhash, site_quality, suffix_dedup, warc
 from tablewright.llm.labelled_pages import PAGES
 from tablewright.llm.shared import new_path
 from tablewright.queries.registry import Query
@@ -71,3 +71,8 @@ def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query
+def op7_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return context_tree.score_documents(table(spark, folder, "documents"))
