@@ -9,6 +9,8 @@ that Spark reaches.
 
 from __future__ import annotations
 
+import gzip
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -16,16 +18,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.llm.shared import written
+
 #: Payloads of fewer bytes are always written in full.
 REVISIT_FROM = 1000
 #: Bytes of payload an archive is meant to hold, and the most records.
 ARCHIVE_BYTES = 32 << 20
 ARCHIVE_RECORDS = 50_000
+#: Bytes of payloads that a reader passes on at a time.
+READ_BYTES = 8 << 20
 
 # Fixed values of the WARC 1.1 format.
 VERSION = "WARC/1.1"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
+GZIP = b"\x1f\x8b"
 
 _ID = "urn:page:"
 
@@ -50,7 +57,8 @@ def resolve(pages: DataFrame, least_bytes: int = REVISIT_FROM) -> DataFrame:
         .where("times > 1 and original is not null")
         .select("digest", "original")
     )
-    joined = headed.join(again, "digest", "left")
+    # Once written its size is known: a small table is sent to the tasks, and payloads stay put.
+    joined = headed.join(written(again, "repeated").table, "digest", "left")
     revisits = ~F.col("original").eqNullSafe(F.col("page_id"))
     return joined.select(
         "page_id", "url", "html", "digest", "size", F.when(revisits, F.col("original")).alias("original")
@@ -109,19 +117,19 @@ def write_archives(
     archive_bytes: int = ARCHIVE_BYTES,
     date: Column | None = None,
 ) -> None:
-    """Write every page as one record into archives below ``path``.
+    """Write every page as one record into archives below ``path``, compressed by gzip.
 
-    The number of archives follows the bytes of the payloads; a record is never
-    split, so one huge page makes one huge archive. Pages are dealt by the hash of
-    their id and url, not by payload, so copies spread.
+    Pages are written where they are read, without a shuffle; a task begins a new
+    archive after so many records as hold ``archive_bytes`` on average. A record is
+    never split, so one huge page makes one huge archive.
     """
-    volume = pages.agg(F.sum(F.octet_length(F.col("html").cast("string")))).first()[0] or 0
-    archives = max(1, -(-volume // archive_bytes))
+    volume, count = pages.agg(F.sum(F.octet_length(F.col("html").cast("string"))), F.count("*")).first()
+    most = max(1, min(ARCHIVE_RECORDS, archive_bytes * count // max(1, volume or 0)))
     (
         records(resolve(pages, least_bytes), date)
-        .repartition(int(archives), F.xxhash64("record"))
         .write.option("lineSep", CRLF)
-        .option("maxRecordsPerFile", ARCHIVE_RECORDS)
+        .option("maxRecordsPerFile", most)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -146,37 +154,67 @@ def parse(data: bytes) -> Iterator[tuple[dict[bytes, bytes], int, int]]:
         at = end + 4
 
 
+def _records(content: bytes) -> Iterator[tuple[str, str, str, str, str | None, bytes | None]]:
+    """Id, type, url, digest, id referred to, and payload (none in a revisit) of each record."""
+    data = gzip.decompress(content) if content.startswith(GZIP) else content
+    for fields, start, end in parse(data):
+        kind = fields[b"warc-type"].decode()
+        at = data.index(_HEADER_END, start, end) + len(_HEADER_END)
+        yield (
+            _bare(fields[b"warc-record-id"]) or "",
+            kind,
+            fields[b"warc-target-uri"].decode(),
+            fields[b"warc-payload-digest"].decode().removeprefix("sha1:"),
+            _bare(fields.get(b"warc-refers-to", b"")),
+            None if kind == "revisit" else data[at:end],
+        )
+
+
+def _bare(name: bytes) -> str | None:
+    return name.decode().strip("<>").removeprefix(_ID) or None
+
+
+def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[] for _ in names]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names
+    )
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["record_id", "record_type", "url", "digest", "refers_to", "html"]
     for batch in batches:
         for content in batch.column(0):
-            data, rows, held = content.as_py(), [], 0
-            for fields, start, end in parse(data):
-                at = data.index(_HEADER_END, start, end) + len(_HEADER_END)
-                kind = fields[b"warc-type"].decode()
-                rows.append(
-                    (
-                        fields[b"warc-record-id"].decode().strip("<>").removeprefix(_ID),
-                        kind,
-                        fields[b"warc-target-uri"].decode(),
-                        fields[b"warc-payload-digest"].decode().removeprefix("sha1:"),
-                        fields.get(b"warc-refers-to", b"").decode().strip("<>").removeprefix(_ID) or None,
-                        None if kind == "revisit" else data[at:end].decode(),
-                    )
-                )
-                held += end - at
-                if held > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows, strict=True)], names=names)
+            rows, held = [], 0
+            for *head, payload in _records(content.as_py()):
+                rows.append((*head, None if payload is None else payload.decode()))
+                held += len(payload or b"")
+                if held > READ_BYTES:
+                    yield _batch(rows, names, [pa.string()] * 6)
                     rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows, strict=True)], names=names)
+            yield _batch(rows, names, [pa.string()] * 6)
+
+
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["record_id", "record_type", "refers_to", "payload_bytes", "payload_digest"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    for batch in batches:
+        for content in batch.column(0):
+            rows = [
+                (name, kind, refers_to, *((None, None) if p is None else (len(p), hashlib.sha1(p).hexdigest())))
+                for name, kind, _, _, refers_to, p in _records(content.as_py())
+            ]
+            yield _batch(rows, names, kinds)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("content")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records of the archives: ``page_id``, ``record_type``, ``url``, ``digest``,
     ``refers_to`` and ``html`` (null for a revisit)."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-    found = files.mapInArrow(
+    found = _files(spark, path).mapInArrow(
         _read,
         "record_id string, record_type string, url string, digest string, refers_to string, html string",
     )
@@ -197,15 +235,22 @@ def resolved_records(spark: SparkSession, path: str) -> DataFrame:
     response it refers to, and has nulls if that is missing. Repeated rows of a
     page give repeated records; a page without an id has a null ``page_id``.
     """
-    read = read_archives(spark, path)
-    revisits = read.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to")
-    responses = read.where("record_type = 'response'").select(
-        "page_id",
-        "record_type",
-        "refers_to",
-        F.octet_length("html").cast("long").alias("payload_bytes"),
-        F.sha1(F.encode("html", "UTF-8")).alias("payload_digest"),
+    read = _files(spark, path).mapInArrow(
+        _measure,
+        "record_id string, record_type string, refers_to string, payload_bytes long, payload_digest string",
     )
+    read = written(
+        read.select(
+            F.expr("try_cast(record_id as bigint)").alias("page_id"),
+            "record_type",
+            F.expr("try_cast(refers_to as bigint)").alias("refers_to"),
+            "payload_bytes",
+            "payload_digest",
+        ),
+        "read",
+    ).table
+    revisits = read.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to")
+    responses = read.where("record_type = 'response'")
     # Repeated rows of one page share its id; any of them will do as the original.
     originals = responses.groupBy(F.col("page_id").alias("refers_to")).agg(
         F.max("payload_bytes").alias("payload_bytes"),
