@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import context_tree, decontaminate, main_text, mixing, sharding, simhash, site_quality, suffix_dedup, warc
+from tablewright.llm import context_tree, decontaminate, main_text, mixing, sharding, simhash, site_quality, suffix_dedup, topk_search, warc
 from tablewright.llm.labelled_pages import PAGES
 from tablewright.llm.shared import new_path
 from tablewright.queries.registry import Query
@@ -76,3 +76,9 @@ def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     return context_tree.score_documents(table(spark, folder, "documents"))
+
+
+@query
+def op2_block_max_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return topk_search.search(docs, docs.where("doc_id % 50 = 0"))
