@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +14,8 @@ from tablewright.operators.ordering import Key, with_positions
 from tablewright.plans.compiler import Grid
 from tablewright.plans.spec import ColumnSpec
 from tablewright.sources.literals import small_frame
+from tablewright.streaming.guard import finished
 
-_SCHEMA = "column string, value string, first_seen bigint"
 
 
 def facet_values(grid: Grid) -> DataFrame:
@@ -26,6 +26,7 @@ def facet_values(grid: Grid) -> DataFrame:
     plain columns share one pass: rows are unpivoted and aggregated per task
     before anything is shuffled, so a hot value costs one row per task.
     """
+    finished(grid.source, "a facet")
     plain, parts = [], []
     for c in grid.spec.columns:
         if not c.filterable:
@@ -38,13 +39,13 @@ def facet_values(grid: Grid) -> DataFrame:
             plain.append(c)
     if plain:
         texts = [raw_text(grid.shown(c), grid.shown_type(c)).alias(c.name) for c in plain]
-        row_id = quoted(grid.row_id).cast("bigint").alias("_tw_row")
+        row_id = quoted(grid.row_id).alias("_tw_row")
         long = grid.derived.select(row_id, *texts).unpivot(
             "_tw_row", [quoted(c.name) for c in plain], "column", "value"
         )
         parts.insert(0, _distinct(long))
     if not parts:
-        return small_frame(grid.source.sparkSession, [], _SCHEMA)
+        return small_frame(grid.source.sparkSession, [], _schema(grid))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -60,21 +61,25 @@ def ordered_facets(grid: Grid) -> DataFrame:
     keys = [Key(quoted("column"))]
     if spec.sort_facets:
         keys.append(Key(natural_key(text), costly=True))
-    keys += [Key(F.col("first_seen")), Key(F.col("value"))]
+    keys += [Key(_listed_place(grid)), Key(F.col("first_seen")), Key(F.col("value"))]
     placed = with_positions(facets, keys, "_tw_place")
-    # One row per column, so this side is as small as the spec.
-    starts = placed.groupBy("column").agg((F.min("_tw_place") - 1).alias("_tw_start"))
+    # One number per column, so this is as small as the spec.
+    sizes = {r["column"]: r["count"] for r in facets.groupBy("column").count().collect()}
+    start, before = F.lit(None).cast("bigint"), 0
+    for name in sorted(sizes, key=str.encode):
+        start = F.when(quoted("column") == name, F.lit(before)).otherwise(start)
+        before += sizes[name]
     label = F.col("value")
     for c in spec.columns:
         if c.facet_label is not None:
             label = F.when(
                 quoted("column") == c.name, code(c.facet_label, F.col("value"))
             ).otherwise(label)
-    return placed.join(F.broadcast(starts), "column").select(
+    return placed.select(
         "column",
         "value",
         label.alias("label"),
-        (F.col("_tw_place") - F.col("_tw_start")).alias("pos"),
+        (F.col("_tw_place") - start).alias("pos"),
     )
 
 
@@ -86,7 +91,7 @@ def _elements(grid: Grid, c: ColumnSpec) -> DataFrame:
     dtype = grid.shown_type(c)
     element = F.explode(grid.shown(c))
     values = grid.derived.select(
-        quoted(grid.row_id).cast("bigint").alias("_tw_row"), element.alias("value")
+        quoted(grid.row_id).alias("_tw_row"), element.alias("value")
     )
     as_text = F.when(
         F.col("value").isNotNull(), cell_text(F.col("value"), dtype.elementType)
@@ -94,6 +99,39 @@ def _elements(grid: Grid, c: ColumnSpec) -> DataFrame:
     return _distinct(values.select("_tw_row", F.lit(c.name).alias("column"), as_text.alias("value")))
 
 
+def _schema(grid: Grid) -> T.StructType:
+    """First seen is a row key, of whatever type that has."""
+    text = T.StringType()
+    key = grid.derived.schema[grid.row_id].dataType
+    return T.StructType().add("column", text).add("value", text).add("first_seen", key)
+
+
 def _named(grid: Grid, c: ColumnSpec) -> DataFrame:
-    rows = [(c.name, None if v is None else str(v), i) for i, v in enumerate(c.facet_names)]
-    return small_frame(grid.source.sparkSession, rows, _SCHEMA)
+    """Listed values; first seen is the place in the list where row keys are numbers, else null."""
+    schema = _schema(grid)
+    counted = isinstance(schema["first_seen"].dataType, T.NumericType)
+    rows = [
+        (c.name, None if v is None else str(v), i if counted else None)
+        for i, v in enumerate(c.facet_names)
+    ]
+    long = T.LongType() if counted else T.NullType()
+    plain = small_frame(
+        grid.source.sparkSession, rows, T.StructType([*schema.fields[:2], T.StructField("first_seen", long)])
+    )
+    return plain.withColumn("first_seen", F.col("first_seen").cast(schema["first_seen"].dataType))
+
+
+def _listed_place(grid: Grid) -> Column:
+    """Place of a value in its column's fixed list, null where the column has none."""
+    place = F.lit(None).cast("bigint")
+    for c in grid.spec.columns:
+        if c.facet_names is not None:
+            names = F.array(*[F.lit(None if v is None else str(v)).cast("string") for v in c.facet_names])
+            found = F.array_position(F.transform(names, _held), _held(F.col("value")))
+            place = F.when(quoted("column") == c.name, found).otherwise(place)
+    return place
+
+
+def _held(text: Column) -> Column:
+    """A text that can be looked for, null too."""
+    return F.coalesce(F.concat(F.lit("="), text), F.lit(""))

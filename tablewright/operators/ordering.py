@@ -4,30 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
-from tablewright.plans.staging import stage
-from tablewright.sources.literals import small_frame
+from tablewright.streaming.guard import finished
 
-_SLOT = "_tw_slot"
 _PART = "_tw_part"
-_BEFORE = "_tw_before"
-_RANK = "_tw_rank"
-_SIZE = "_tw_size"
-#: Rows in the sample that narrows a range of places down, and how many standard
-#: deviations the sample may be off.
-SAMPLE_ROWS = 50_000
-_SPREADS = 5
-#: Smaller tables are sorted outright: that takes fewer passes.
-NARROW_FROM = 1_000_000
+_KEY = "_tw_by"
+#: Sampled rows for each part that a table is cut into, and the most parts.
+SAMPLES_PER_PART = 40
+MOST_PARTS = 400
 #: Key types whose values can be written into a plan.
 _LITERAL_TYPES = (
     T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType
 )
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in the low 33 bits
 
 
 @dataclass(frozen=True)
@@ -79,120 +71,121 @@ def ordered(df: DataFrame, order: list[Key]) -> DataFrame:
     return computed.orderBy(*sort_columns(order, names)).drop(*names.values())
 
 
-def with_positions(df: DataFrame, order: list[Key], name: str = "pos") -> DataFrame:
+def with_positions(
+    df: DataFrame, order: list[Key], name: str = "pos", parts: int | None = None
+) -> DataFrame:
     """Add each row's place (from 1) in the total order ``order``.
 
-    A window over the whole table would bring every row into one task.  Here the
-    rows are range-partitioned and sorted, each row keeps its place within its
-    part, and the sizes of the parts before it are added.  Only the sizes, one
-    number per part, pass through the driver.  ``order`` must end in a unique
-    key: it keeps equal values apart, so one hot value spreads over many parts.
+    A window over the whole table would bring every row into one task.  Here a
+    sample of bounded size gives the bounds of ``parts`` ranges (as many as there
+    are shuffle partitions), one pass counts the rows in each, and rows are numbered
+    within their range, behind the rows of the ranges before.  Bounds and counts are
+    literals in the plan, so a repeated task cuts the table the same way and nothing
+    is written.  ``order`` must end in a unique key: it keeps equal values apart, so
+    one hot value spreads over many ranges.
     """
-    staged = _numbered(df, order, df.columns)
+    finished(df, "positions")
+    keyed, keys = _keyed(df, order)
+    bounds = _bounds(keyed, keys, parts or _default_parts(df))
+    held = keyed.withColumn(_PART, _part_of(keys, bounds))
     starts, before = [], 0
-    if len(staged.inputFiles()) > 1:  # else there is one part, and nothing before it
-        for part, size in _part_sizes(staged):
-            starts.append((part, before))
-            before += size
-    return _placed(staged, starts, df.columns, name)
-
-
-def _placed(staged: DataFrame, starts: list[tuple], columns: list[str], name: str) -> DataFrame:
-    """The columns and the place; ``starts`` holds the rows before each part."""
-    kept = [quoted(c) for c in columns]
-    place = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
-    if len(starts) <= 1:
-        before = starts[0][1] if starts else 0
-        return staged.select(*kept, (place + F.lit(before)).alias(name))
-    # One row per written part.
-    offsets = small_frame(staged.sparkSession, starts, f"{_PART} bigint, {_BEFORE} bigint")
-    return (
-        staged.withColumn(_PART, _part())
-        .join(F.broadcast(offsets), _PART)
-        .select(*kept, (F.col(_BEFORE) + place).alias(name))
-    )
-
-
-def keys_between(
-    df: DataFrame,
-    order: list[Key],
-    key: str,
-    first: int,
-    last: int,
-    name: str,
-    total: int,
-    sample_rows: int = SAMPLE_ROWS,
-    narrow_from: int = NARROW_FROM,
-) -> DataFrame:
-    """Row keys at places ``first`` to ``last`` (from 1, both included), with the place.
-
-    A sample tells between which two rows these places must lie.  One pass counts
-    the rows before them and writes the keys in between, a few per cent of the
-    table, and only those are sorted.  The count is exact, so it also tells if the
-    sample misled; then, and for small tables, all keys are sorted.
-    """
-    names = [f"_tw_by{i}" for i in range(len(order))]
-    keys = df.select(quoted(key), *[k.expr.alias(n) for k, n in zip(order, names)])
-    plain = [Key(F.col(n), k.descending) for k, n in zip(order, names)]
-    before = 0
-    simple = all(isinstance(keys.schema[n].dataType, _LITERAL_TYPES) for n in names)
-    if total >= narrow_from and total > sample_rows and simple:
-        low, high = _pivots(keys, plain, first, last, total, sample_rows)
-        if low is not None or high is not None:
-            inside, skipped = _between(keys, plain, low, high)
-            if skipped < first and last <= skipped + inside.count():
-                keys, before = inside, skipped
-    staged = _numbered(keys, plain, [key])
-    starts, slots = [], []
-    for part, size in _part_sizes(staged):
-        start, end = max(first - before, 1), min(last - before, size)
-        if start <= end:
-            starts.append((part, before))
-            slots += [(part << _ROW_BITS) + start - 1, (part << _ROW_BITS) + end - 1]
+    for size in _part_sizes(held, len(bounds) + 1):
+        starts.append(before)
         before += size
-    # Slots rise with the order, so the places lie in one stretch of them.
-    wanted = F.col(_SLOT).between(slots[0], slots[-1]) if slots else F.lit(False)
-    return _placed(staged.filter(wanted), starts, [key], name)
-
-
-def _pivots(
-    keys: DataFrame, order: list[Key], first: int, last: int, total: int, sample_rows: int
-) -> tuple[list | None, list | None]:
-    """Keys of two sampled rows that almost surely enclose the places; None for no bound."""
-    sample = keys.sample(fraction=sample_rows / total, seed=17)
-    rank = Window.orderBy(*sort_columns(order))  # over the sample only, a bounded set
-    ranked = sample.select(
-        "*",
-        F.row_number().over(rank).alias(_RANK),
-        F.count(F.lit(1)).over(Window.partitionBy()).alias(_SIZE),
-    )
-
-    def expected(place: int, side: int) -> Column:
-        share = place / total
-        spread = F.sqrt(F.col(_SIZE) * F.lit(share * (1 - share)))
-        return F.floor(F.col(_SIZE) * share + side * (_SPREADS * spread + _SPREADS))
-
-    low, high = expected(first - 1, -1), expected(last, 1)
-    found = ranked.filter((F.col(_RANK) == low) | (F.col(_RANK) == high))
-    rows = found.select(*[k.expr for k in order], (F.col(_RANK) == low).alias("is_low")).collect()
-    ends = {row["is_low"]: list(row)[:-1] for row in rows}
-    return ends.get(True), ends.get(False)
-
-
-def _between(
-    keys: DataFrame, order: list[Key], low: list | None, high: list | None
+    within = Window.partitionBy(_PART).orderBy(*sort_columns(keys))
+    start = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts]), F.col(_PART) + 1)
+    place = start + F.row_number().over(within)
+    return held.select(*[quoted(c) for c in df.columns], place.alias(name))
+
+
+def stretch(
+    df: DataFrame, order: list[Key], first: int, last: int, enough: int, parts: int | None = None
 ) -> tuple[DataFrame, int]:
-    """The written rows from ``low`` up to before ``high``, and how many lie before ``low``."""
-    early = F.lit(False) if low is None else comes_before(order, low)
-    late = F.lit(False) if high is None else ~comes_before(order, high)
-    seen = Observation()
-    counted = keys.observe(seen, F.count_if(early).alias("early"))
-    inside = stage(counted.filter(~early & ~late))
-    return inside, seen.get["early"]
+    """Rows around the places ``first`` to ``last`` (from 1), and how many come before them.
+
+    The stretch is narrowed until it holds little more than the places asked for, or
+    ``enough`` rows: a sample gives the bounds of ranges within it, one pass counts
+    their rows, and the ranges that hold the places are the next stretch.  Each pass
+    cuts a stretch to about a ``parts``-th.  Nothing is sorted but the samples, and
+    the counts are exact, so an unlucky sample costs another pass at most.
+    """
+    finished(df, "a page")
+    keyed, keys = _keyed(df, order)
+    skipped, size = 0, None
+    while size is None or size > max(enough, 2 * (last - first + 1)):
+        bounds = _bounds(keyed, keys, parts or _default_parts(df))
+        sizes = _part_sizes(keyed.withColumn(_PART, _part_of(keys, bounds)), len(bounds) + 1)
+        low, end = 0, skipped + sizes[0]
+        while end < first and low < len(bounds):
+            low += 1
+            end += sizes[low]
+        begin, high = end - sizes[low], low
+        while end < last and high < len(bounds):
+            high += 1
+            end += sizes[high]
+        if size is not None and end - begin >= size:
+            break
+        skipped, size = begin, end - begin
+        if low:
+            keyed = keyed.filter(~comes_before(keys, bounds[low - 1]))
+        if high < len(bounds):
+            keyed = keyed.filter(comes_before(keys, bounds[high]))
+    return keyed.drop(*[f"{_KEY}{i}" for i in range(len(order))]), skipped
+
+
+def _keyed(df: DataFrame, order: list[Key]) -> tuple[DataFrame, list[Key]]:
+    """The frame with its sort keys as columns, and these as keys."""
+    names = [f"{_KEY}{i}" for i in range(len(order))]
+    keyed = df.withColumns({n: k.expr for n, k in zip(names, order)})
+    return keyed, [Key(F.col(n), k.descending) for n, k in zip(names, order)]
+
+
+def _default_parts(df: DataFrame) -> int:
+    return max(1, min(MOST_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _bounds(keyed: DataFrame, keys: list[Key], parts: int) -> list[list]:
+    """Keys of up to ``parts - 1`` rows, in order, that cut the table about evenly.
+
+    Only the leading keys whose values can be written into a plan are used: a row
+    never stands before one with smaller leading keys, so that is an order still.
+    """
+    usable = 0
+    for i in range(len(keys)):
+        if not isinstance(keyed.schema[f"{_KEY}{i}"].dataType, _LITERAL_TYPES):
+            break
+        usable += 1
+    if not usable or parts < 2:
+        return []
+    columns = [F.col(f"{_KEY}{i}") for i in range(usable)]
+    # The rows with the smallest random numbers: each task keeps no more than these.
+    sample = keyed.select(*columns).orderBy(F.rand(17)).limit(parts * SAMPLES_PER_PART)
+    rows = [list(r) for r in sample.orderBy(*sort_columns(keys[:usable])).collect()]
+    picked = [rows[len(rows) * i // parts] for i in range(1, parts)] if rows else []
+    return [b for i, b in enumerate(picked) if not i or b != picked[i - 1]]
+
+
+def _part_of(keys: list[Key], bounds: list[list]) -> Column:
+    """How many bounds a row does not stand before, by halving."""
+
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        early = comes_before(keys, bounds[middle])
+        return F.when(early, among(low, middle)).otherwise(among(middle + 1, high))
+
+    return among(0, len(bounds))
+
+
+def _part_sizes(held: DataFrame, parts: int) -> list[int]:
+    """Rows in each part: one number per part comes to the driver."""
+    sizes = {r[_PART]: r["size"] for r in held.groupBy(_PART).agg(F.count("*").alias("size")).collect()}
+    return [sizes.get(i, 0) for i in range(parts)]
 
 
 def comes_before(order: list[Key], values: list) -> Column:
-    """The row stands before a row with these key values; never null."""
+    """The row stands before a row with these (leading) key values; never null."""
     result, equal = F.lit(False), F.lit(True)
     for key, value in zip(order, values):
         c, limit = key.expr, F.lit(value)
@@ -203,19 +196,3 @@ def comes_before(order: list[Key], values: list) -> Column:
         result = result | (equal & closer)
         equal = equal & c.eqNullSafe(limit)
     return result
-
-
-def _numbered(df: DataFrame, order: list[Key], keep: list[str]) -> DataFrame:
-    """Written rows with a slot: the part in the high bits, the place in it in the low."""
-    numbered = ordered(df, order).withColumn(_SLOT, F.monotonically_increasing_id())
-    return stage(numbered.select(*[quoted(c) for c in keep], _SLOT))
-
-
-def _part() -> Column:
-    return F.shiftright(F.col(_SLOT), _ROW_BITS)
-
-
-def _part_sizes(staged: DataFrame) -> list[tuple[int, int]]:
-    """Rows per written part, in order; as many entries as there were write tasks."""
-    sizes = staged.groupBy(_part().alias(_PART)).agg(F.count(F.lit(1)).alias("size"))
-    return sorted((row[_PART], row["size"]) for row in sizes.collect())

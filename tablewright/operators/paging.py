@@ -2,9 +2,8 @@
 
 What a page costs depends on where it lies.  Near the front or the end it is a
 top-k: every task keeps its own best rows and one task merges these few.  In
-between that merge would grow with the page number, so a sample narrows the table down
-to the row keys around the page, these are sorted, and the page's rows are
-fetched by their keys.
+between that merge would grow with the page number, so samples narrow the table down
+to the rows around the page, and only these are sorted.
 """
 
 from __future__ import annotations
@@ -12,22 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import quoted
-from tablewright.operators.ordering import Key, keys_between, ordered, sort_columns
+from tablewright.operators.ordering import Key, ordered, sort_columns, stretch
 from tablewright.plans.spec import clamp_page
+from tablewright.streaming.guard import finished
 
 #: A top-k may hold up to this many rows; no more than that pass through one task.
 SHALLOW_ROWS = 1000
 
 _AT = "_tw_at"
-_AT_KEY = "_tw_at_key"
 _TOTAL = "_tw_total"
 
 
 def page_rows(
     df: DataFrame,
     order: list[Key],
-    row_id: str,
     page: int,
     size: int,
     total: int | None = None,
@@ -35,16 +32,17 @@ def page_rows(
 ) -> DataFrame:
     """The rows of one page, in order; a page beyond the end gives the last one.
 
-    ``order`` must end in the unique ``row_id``.  Rows are counted only for a page
+    ``order`` must end in a unique key.  Rows are counted only for a page
     that is neither the first nor near the front, unless ``total`` is given.
     """
+    finished(df, "a page")
     if page == 0:
-        return rows_at(df, order, row_id, 1, size, total, shallow_rows)
+        return rows_at(df, order, 1, size, total, shallow_rows)
     if total is None and (page + 1) * size <= shallow_rows:
         return _front_page(df, order, page, size)
     total = df.count() if total is None else total
     page = clamp_page(total, size, page)
-    return rows_at(df, order, row_id, page * size + 1, (page + 1) * size, total, shallow_rows)
+    return rows_at(df, order, page * size + 1, (page + 1) * size, total, shallow_rows)
 
 
 def _front_page(df: DataFrame, order: list[Key], page: int, size: int) -> DataFrame:
@@ -62,7 +60,6 @@ def _front_page(df: DataFrame, order: list[Key], page: int, size: int) -> DataFr
 def rows_at(
     df: DataFrame,
     order: list[Key],
-    row_id: str,
     first: int,
     last: int,
     total: int | None = None,
@@ -76,22 +73,13 @@ def rows_at(
     if total is not None and 0 <= total - first < shallow_rows:
         back = ordered(df, [k.reversed() for k in order]).limit(total - first + 1)
         return ordered(back, order).limit(size)
-    total = df.count() if total is None else total
-    last = min(last, total)
-    if first > last:
-        return df.limit(0)
-    places = keys_between(df, order, row_id, first, last, _AT, total)
-    places = places.withColumnRenamed(row_id, _AT_KEY)
-    if size > shallow_rows:
-        found = df.join(places, quoted(row_id) == F.col(_AT_KEY)).orderBy(_AT)
-    else:  # bounded by the places asked for
-        found = df.join(F.broadcast(places), quoted(row_id) == F.col(_AT_KEY))
-        found = found.orderBy(_AT).limit(size)
-    return found.drop(_AT, _AT_KEY)
+    around, skipped = stretch(df, order, first, last, shallow_rows)
+    return ordered(around, order).offset(first - 1 - skipped).limit(size)
 
 
 def page_info(df: DataFrame, page: int, size: int, total: int | None = None) -> DataFrame:
     """One row: total rows, pages, the page shown, and its first and last place."""
+    finished(df, "a footer")
     if total is None:
         counted = df.agg(F.count(F.lit(1)).alias("total"))
     else:

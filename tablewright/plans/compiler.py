@@ -50,6 +50,11 @@ class Grid:
             raise SpecError("set row_id, or add a key at ingest with with_row_id")
         return self._row_id
 
+    @property
+    def _total(self) -> int | None:
+        """The caller's row count, which counts only where no filter or search is applied here."""
+        return self.spec.total if self.spec.passthrough or not self.filter_tests() else None
+
     # -- rows ------------------------------------------------------------
 
     @cached_property
@@ -173,7 +178,7 @@ class Grid:
         if not spec.pagination:
             return self.project(self.sorted())
         rows = paging.page_rows(
-            self.displayed, self.order, self.row_id, spec.page, spec.rows_per_page, spec.total
+            self.displayed, self.order, spec.page, spec.rows_per_page, self._total
         )
         return self.project(rows)
 
@@ -183,7 +188,7 @@ class Grid:
 
     def page_info(self) -> DataFrame:
         spec = self.spec
-        return paging.page_info(self.displayed, spec.page, spec.rows_per_page, spec.total)
+        return paging.page_info(self.displayed, spec.page, spec.rows_per_page, self._total)
 
     def project(self, rows: DataFrame, *extra: str) -> DataFrame:
         """Visible columns in order, under their labels; ``extra`` columns go along."""

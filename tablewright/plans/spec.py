@@ -251,7 +251,7 @@ class GridSpec:
                 merged[name] = values
             else:
                 merged.pop(name, None)
-        return replace(self, filters=merged, page=0)
+        return replace(self, filters=merged, page=0, total=None)
 
     def toggle_filter_value(self, name: str, value) -> GridSpec:
         """Add the value to the column's set, or take it out if it is there."""
@@ -263,21 +263,22 @@ class GridSpec:
         """Remove one chosen value; ``update(filters, name, value)`` may rewrite all."""
         if update is not None:
             rewritten = {k: _as_values(v) for k, v in update(dict(self.filters), name, value).items()}
-            return replace(self, filters={k: v for k, v in rewritten.items() if v}, page=0)
+            kept = {k: v for k, v in rewritten.items() if v}
+            return replace(self, filters=kept, page=0, total=None)
         kept = tuple(v for v in self.filters.get(name, ()) if not _same(v, value))
         return self.with_filter(name, kept)
 
     def reset_filters(self) -> GridSpec:
         """Clear every column filter; search text and page stay."""
-        return replace(self, filters={})
+        return replace(self, filters={}, total=None)
 
     # -- search -----------------------------------------------------------
 
     def with_search(self, text: str | None) -> GridSpec:
-        return replace(self, search_text=text or None, page=0)
+        return replace(self, search_text=text or None, page=0, total=None)
 
     def close_search(self) -> GridSpec:
-        return replace(self, search_text=None)
+        return replace(self, search_text=None, total=None)
 
     # -- sorts ------------------------------------------------------------
 
@@ -319,6 +320,7 @@ class GridSpec:
         state["sorts"] = [{"column": s.column, "direction": s.direction} for s in self.sorts]
         state["filters"] = {k: [_saved_value(x) for x in v] for k, v in self.filters.items()}
         state["download"] = dict(vars(self.download))
+        state.pop("total")  # the table may have grown by the time the view is opened
         for name in _GRID_CODE:
             if not _is_text(state[name]):
                 state.pop(name)

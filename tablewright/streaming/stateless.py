@@ -14,10 +14,7 @@ from tablewright.operators.rules import RecordRules
 from tablewright.operators.validate import VALID, annotate
 from tablewright.plans.compiler import Grid
 from tablewright.plans.spec import GridSpec
-
-
-class NeedsWholeTable(ValueError):
-    """The spec asks for something only a finished table can give."""
+from tablewright.streaming.guard import NeedsWholeTable
 
 
 def stream_rows(source: DataFrame, spec: GridSpec) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import ordering
 from tablewright.operators.cells import update_cells
 from tablewright.operators.facets import facet_values, ordered_facets
-from tablewright.operators.ordering import Key, by, keys_between, with_positions
+from tablewright.operators.ordering import Key, by, stretch, with_positions
 from tablewright.operators.paging import page_info, page_rows, rows_at
 from tablewright.operators.rowset import (
     delete_rows,
@@ -220,43 +220,26 @@ def test_positions_across_many_parts(skewed, spark):
     assert [r["pos"] for r in sorted(placed, key=lambda r: r["pos"])] == list(range(1, 5001))
 
 
-@pytest.mark.parametrize("sample_rows", [10, 1000, 10_000])
+@pytest.mark.parametrize("parts", [2, 7, 50])
 @pytest.mark.parametrize("down", [False, True])
-def test_keys_between_across_many_parts(skewed, spark, sample_rows, down):
+def test_a_stretch_holds_its_places(skewed, parts, down):
     order = [Key(F.col("k"), down), *by("id")]
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        rows = keys_between(skewed, order, "id", 990, 1310, "at", 5000, sample_rows, 0).collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     pairs = [(r["k"], r["id"]) for r in skewed.collect()]
     everything = sorted(pairs, key=lambda t: (-t[0] if down else t[0], t[1]))
-    assert sorted((r["at"], r["id"]) for r in rows) == [
-        (i + 1, everything[i][1]) for i in range(989, 1310)
-    ]
-
-
-def test_a_sample_narrows_the_sort(skewed, monkeypatch):
-    sorted_rows = []
-    numbered = ordering._numbered
-
-    def spy(df, order, keep):
-        sorted_rows.append(df.count())
-        return numbered(df, order, keep)
-
-    monkeypatch.setattr(ordering, "_numbered", spy)
-    order = [Key(F.col("k")), *by("id")]
-    for first in (1, 1500, 4990):  # front, inside the hot value, end
-        keys_between(skewed, order, "id", first, first + 10, "at", 5000, 2000, 0).collect()
-    assert all(n < 1500 for n in sorted_rows)
+    for first, last in ((1, 10), (990, 1310), (1800, 1801), (4990, 5200)):
+        rows, skipped = stretch(skewed, order, first, last, 100, parts)
+        got = sorted(((r["k"], r["id"]) for r in rows.collect()), key=lambda t: (-t[0] if down else t[0], t[1]))
+        assert got == everything[skipped : skipped + len(got)]
+        assert skipped < first and skipped + len(got) >= min(last, 5000)
+        assert len(got) < 5000 // parts + 700
 
 
 def test_a_misleading_sample_does_no_harm(skewed, monkeypatch):
     order = [Key(F.col("k")), *by("id")]
-    monkeypatch.setattr(ordering, "_pivots", lambda *a: ([100, 0], None))
-    rows = keys_between(skewed, order, "id", 5, 6, "at", 5000, 10, 0).collect()
+    monkeypatch.setattr(ordering, "_bounds", lambda *a: [[100, 0]])
+    rows = rows_at(skewed, order, 5, 6, shallow_rows=1)
     want = [(r["id"]) for r in skewed.orderBy("k", "id").limit(6).collect()][4:]
-    assert [r["id"] for r in sorted(rows, key=lambda r: r["at"])] == want
+    assert [r["id"] for r in rows.collect()] == want
 
 
 def test_deep_places_in_dictionary_order(spark):
@@ -265,9 +248,10 @@ def test_deep_places_in_dictionary_order(spark):
     spec = GridSpec(columns=("t", "id"), row_id="id").sort_by("t", "desc")
     g = Grid(df, spec)
     everything = [(r["t"], r["id"]) for r in g.sorted().collect()]
-    places = keys_between(df, g.order, "id", 2000, 2050, "at", 4000, 500, 0).collect()
-    got = [r["id"] for r in sorted(places, key=lambda r: r["at"])]
-    assert got == [i for _, i in everything[1999:2050]]
+    got = rows_at(g.displayed, g.order, 2000, 2050, shallow_rows=10).collect()
+    assert [r["id"] for r in got] == [i for _, i in everything[1999:2050]]
+    placed = {r["id"]: r["pos"] for r in g.with_positions().collect()}
+    assert [placed[i] for _, i in everything] == list(range(1, 4001))
 
 
 def test_comparing_rows_with_nulls(cells):
@@ -289,18 +273,18 @@ def test_pages_cover_the_table_however_they_are_found(skewed, shallow):
     pages = []
     for page in range(5):
         rows = page_rows(
-            skewed.filter("id < 130"), order, "id", page, 30, shallow_rows=shallow
+            skewed.filter("id < 130"), order, page, 30, shallow_rows=shallow
         ).collect()
         pages += [(r["k"], r["id"]) for r in rows]
     assert pages == everything
-    beyond = page_rows(skewed.filter("id < 130"), order, "id", 9, 30, shallow_rows=shallow)
+    beyond = page_rows(skewed.filter("id < 130"), order, 9, 30, shallow_rows=shallow)
     assert [(r["k"], r["id"]) for r in beyond.collect()] == everything[120:]
 
 
 @pytest.mark.parametrize("shallow", [1, 10_000])
 def test_page_of_an_empty_table(skewed, shallow):
     empty = skewed.filter("id < 0")
-    assert page_rows(empty, by("id"), "id", 3, 10, shallow_rows=shallow).count() == 0
+    assert page_rows(empty, by("id"), 3, 10, shallow_rows=shallow).count() == 0
     info = page_info(empty, 3, 10).first()
     assert tuple(info) == (0, 1, 0, 0, 0)
 
@@ -312,7 +296,7 @@ def test_page_info_clamps(skewed):
 
 
 def test_rows_at_a_long_stretch(skewed):
-    rows = rows_at(skewed, [Key(F.col("k")), *by("id")], "id", 11, 2500, shallow_rows=5)
+    rows = rows_at(skewed, [Key(F.col("k")), *by("id")], 11, 2500, shallow_rows=5)
     everything = [(r["k"], r["id"]) for r in skewed.orderBy("k", "id").collect()]
     assert [(r["k"], r["id"]) for r in rows.collect()] == everything[10:2500]
 
