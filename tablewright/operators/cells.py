@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 from tablewright.functions.text import quoted
 from tablewright.sources.literals import small_frame
 
-#: Up to this many single updates become one CASE in the plan.
-MAX_LITERAL_UPDATES = 100
-
 
 def nested(name: str, separator: str | None = None) -> Column:
     """The column, or the field a separated path leads to; null at a missing step."""
@@ -65,27 +62,31 @@ def update_cells(
     """Replace cells of one column, row by row key.
 
     ``updates`` maps keys to new values, or is a frame of ``key`` and ``column``.
-    A frame may hold a key more than once: ``latest_by`` names the column that
-    tells which value came last, without it the largest value is taken.
+    A frame may hold a key more than once if ``latest_by`` names the column that
+    tells which value came last; without it a doubled key is an error, raised when
+    the rows are computed.
     """
     dtype = df.schema[column].dataType
+    fresh, hit = "_tw_new", "_tw_of"
     if isinstance(updates, Mapping):
-        if len(updates) <= MAX_LITERAL_UPDATES:
-            if not updates:
-                return df
-            value = F
-            for k, v in updates.items():
-                value = value.when(quoted(key) == F.lit(k), F.lit(v).cast(dtype))
-            return df.withColumn(column, value.otherwise(quoted(column)))
-        fields = [T.StructField(key, df.schema[key].dataType), T.StructField(column, dtype)]
-        updates = small_frame(df.sparkSession, updates.items(), T.StructType(fields))
-    newest = F.max_by(column, latest_by) if latest_by else F.max(column)
-    changed = updates.groupBy(key).agg(
-        newest.cast(dtype).alias("_tw_new"), F.lit(True).alias("_tw_hit")
-    )
-    replaced = F.when(F.col("_tw_hit"), F.col("_tw_new")).otherwise(quoted(column))
-    return (
-        df.join(changed, key, "left")
-        .withColumn(column, replaced)
-        .select(*[quoted(c) for c in df.columns])
+        if not updates:
+            return df
+        fields = [T.StructField(hit, df.schema[key].dataType), T.StructField(fresh, dtype)]
+        changed = small_frame(df.sparkSession, updates.items(), T.StructType(fields))
+    else:
+        given = updates.select(
+            quoted(key).alias(hit),
+            quoted(column).cast(dtype).alias(fresh),
+            *([quoted(latest_by).alias("_tw_when")] if latest_by else []),
+        )
+        if latest_by:
+            changed = given.groupBy(hit).agg(F.max_by(fresh, "_tw_when").alias(fresh))
+        else:
+            message = F.concat(F.lit("more than one update of key "), F.col(hit).cast("string"))
+            only = F.when(F.count("*") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+            changed = given.groupBy(hit).agg(F.any_value(fresh).alias(fresh), only.alias("_tw_only"))
+            changed = changed.filter("_tw_only").drop("_tw_only")
+    replaced = F.when(F.col(hit).isNotNull(), F.col(fresh)).otherwise(quoted(column))
+    return df.join(changed, quoted(key) == F.col(hit), "left").select(
+        *[replaced.alias(c) if c == column else quoted(c) for c in df.columns]
     )

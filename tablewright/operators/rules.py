@@ -377,6 +377,54 @@ class Field:
         condition = Condition(tuple(Ref(k) for k in keys), is_, then, otherwise)
         return replace(self, conditions=(*self.conditions, condition))
 
+    def when_built(self, keys: str | Iterable[str], build: Callable[..., Field]) -> Field:
+        """Rules made from other fields: ``build(field, *references)`` gives the field.
+
+        A reference stands for the sibling's value in each row, so it can be a rule's
+        parameter (``lambda f, least: f.min(least)``).
+        """
+        keys = (keys,) if isinstance(keys, str) else tuple(keys)
+        return build(self, *[Ref(k) for k in keys])
+
+    def merged(self) -> Merged | None:
+        """The field's rules under all its conditions, each listed once with where it holds.
+
+        None if a condition changes more than rules (the type, a transform, a default),
+        has conditions of its own, or if several change the listed values; then the
+        field is taken apart by :meth:`branches`.
+        """
+        base = replace(self, conditions=())
+        rules = [Guarded(t) for t in base.tests]
+        absents, listed = [Guarded(base.absent)], [Guarded(base)]
+        for i, condition in enumerate(self.conditions):
+            before, made_rules, made_absents, made_listed = list(rules), [], [], []
+            known = tuple(r.rule for r in before)
+            for side, change in ((True, condition.then), (False, condition.otherwise)):
+                if change is None:
+                    continue
+                probe = replace(base, tests=known, absent=_PROBE)
+                made = change(probe)
+                if any(getattr(made, n) is not getattr(probe, n) for n in _MORE_THAN_RULES):
+                    return None
+                at = (i, side)
+                if made.absent is not _PROBE:
+                    made_absents.append(Guarded(made.absent, at))
+                if made.allowed is not probe.allowed or made.denied is not probe.denied:
+                    made_listed.append(Guarded(made, at))
+                for r in before:
+                    if not any(t is r.rule for t in made.tests):
+                        r.unless.append(at)
+                new = [t for t in made.tests if not any(t is k for k in known)]
+                made_rules += [Guarded(t, at) for t in new]
+            if made_listed and len(listed) > 1:
+                return None
+            for earlier, later in ((absents, made_absents), (listed, made_listed)):
+                for e in earlier:
+                    e.unless.extend(x.where for x in later)
+                earlier += later
+            rules += made_rules
+        return Merged(base, absents, listed, rules)
+
     def branches(self) -> tuple[Condition, Field, Field] | None:
         """The first condition with the field in either case, or None if there is none."""
         if not self.conditions:
@@ -413,6 +461,32 @@ class Field:
             raise RuleError(f"this rule is not for a {self.kind} field")
 
 
+#: Stands for "whatever was there" while a condition is tried out.
+_PROBE = ("", "")
+_MORE_THAN_RULES = (
+    "name", "kind", "title", "type_message", "transforms", "fill", "is_strict", "stripped", "conditions"
+)
+
+
+@dataclass
+class Guarded:
+    """A rule, the side of the condition it is from, and the sides that take it away."""
+
+    rule: Any
+    where: tuple[int, bool] | None = None
+    unless: list[tuple[int, bool]] = field(default_factory=list)
+
+
+@dataclass(frozen=True)
+class Merged:
+    """A field without its conditions, and what they make of its rules."""
+
+    base: Field
+    absents: list[Guarded]
+    listed: list[Guarded]
+    rules: list[Guarded]
+
+
 @dataclass(frozen=True)
 class RecordRules:
     """Rules of all fields of a record, in the order violations are listed.

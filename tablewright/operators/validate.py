@@ -8,7 +8,7 @@ is only built for rows that are rejected.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_, or_
 from typing import Any
@@ -25,7 +25,9 @@ from tablewright.operators.predicates import comparable
 from tablewright.operators.rules import (
     MESSAGES,
     Field,
+    Guarded,
     InvalidRecords,
+    Merged,
     RecordRules,
     Ref,
     RuleError,
@@ -103,6 +105,8 @@ class Checker:
         branches = f.branches()
         if branches is None:
             return self._cast_plain(f)
+        if f.merged() is not None:
+            return self._cast_plain(f)
         condition, then, otherwise = branches
         inner = (*path, f.name)
 
@@ -160,6 +164,9 @@ class Checker:
         is broken, the stages need not be told apart (``staged=False``)."""
         branches = f.branches()
         if branches is not None:
+            merged = f.merged()
+            if merged is not None:
+                return self._merged_findings(f, merged, staged)
             condition, then, otherwise = branches
             holds = condition.holds(self._scope(f))
             return [
@@ -171,6 +178,34 @@ class Checker:
             second = self._guarded(second, ~reduce(or_, [x.broken for x in first]))
         return [*first, *second]
 
+    def _merged_findings(self, f: Field, merged: Merged, staged: bool) -> list[_Finding]:
+        """Findings of a field with conditions, as many as there are rules in all of them."""
+        scope = self._scope(f)
+        holds = [c.holds(scope) for c in f.conditions]
+
+        def active(rule: Guarded, findings: Sequence[_Finding]) -> list[_Finding]:
+            sides = [(rule.where, True)] if rule.where is not None else []
+            sides += [(at, False) for at in rule.unless]
+            for (i, side), wanted in sides:
+                findings = self._guarded(findings, holds[i] if side == wanted else ~holds[i])
+            return list(findings)
+
+        bare = replace(merged.base, absent=None, allowed=(), denied=(), tests=())
+        typed = self._first_stage(bare)
+        first = list(typed)
+        for rule in merged.absents:
+            if rule.rule:
+                first += active(rule, self._first_stage(replace(bare, absent=rule.rule))[len(typed) :])
+        for rule in merged.listed:
+            listed = replace(rule.rule, absent=None, tests=())
+            first += active(rule, self._first_stage(listed)[len(typed) :])
+        second = [
+            x for rule in merged.rules for x in active(rule, self._second_stage(replace(bare, tests=(rule.rule,))))
+        ]
+        if staged and first and second:
+            second = self._guarded(second, ~reduce(or_, [x.broken for x in first]))
+        return [*first, *second]
+
     def _first_stage(self, f: Field) -> list[_Finding]:
         scope, value = self._scope(f), self._value(f)
         raw = quoted(_RAW + f.name)
