@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -11,19 +10,73 @@ from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
 
-# A word is a run of digits (with an ordinal ending), of capitals, or of small
-# letters behind at most one capital; the last of several capitals in front of a
-# small letter belongs to the next word.
-_UPPER, _LOWER = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
-_WORD = re.compile(
-    rf"\d*(?:1st|2nd|3rd|[04-9]th)(?![{_LOWER}])|\d*(?:1ST|2ND|3RD|[04-9]TH)(?![{_UPPER}])"
-    rf"|\d+|[{_UPPER}]+(?![{_LOWER}])|[{_UPPER}]?[{_LOWER}]+"
-    rf"|[^\W\d_{_UPPER}{_LOWER}]+"
-)
+# Endings that a number or a word keeps.
+ORDINAL_ENDINGS = ("st", "nd", "rd", "th")
+CONTRACTIONS = ("d", "ll", "m", "re", "s", "t", "ve")
+APOSTROPHES = "'\u2019"
+
+
+def _kind(character: str) -> str:
+    """What a character is to a word: digit, capital, small letter, other letter or nothing."""
+    if character.isdigit():
+        return "digit"
+    if character.isalpha():
+        return "capital" if character.isupper() else "small" if character.islower() else "letter"
+    return ""
+
+
+def _runs(name: str) -> list[tuple[str, str]]:
+    """Stretches of characters of one kind."""
+    runs: list[tuple[str, str]] = []
+    for character in name:
+        kind = _kind(character)
+        if runs and runs[-1][0] == kind:
+            runs[-1] = (kind, runs[-1][1] + character)
+        else:
+            runs.append((kind, character))
+    return runs
+
+
+def _is_ordinal(number: str, ending: str) -> bool:
+    """Whether a number's last digit takes the ending: 1st, 22nd, 3rd, 4th, 11st."""
+    if ending.lower() not in ORDINAL_ENDINGS or not (ending.islower() or ending.isupper()):
+        return False
+    return ending.lower() == {"1": "st", "2": "nd", "3": "rd"}.get(number[-1], "th")
 
 
 def words(name: str) -> list[str]:
-    return _WORD.findall(name)
+    """The words of a name.
+
+    A word is a run of digits, with the ending of an ordinal; a run of capitals; or a run
+    of small letters behind at most one capital, so that the last of several capitals
+    belongs to the small letters after it. A contraction is one word with its
+    apostrophe.
+    """
+    runs, found = _runs(name), []
+    i = 0
+    while i < len(runs):
+        kind, text = runs[i]
+        following = runs[i + 1] if i + 1 < len(runs) else ("", "")
+        i += 1
+        if not kind:
+            continue
+        if kind == "digit" and following[0] in ("small", "capital") and _is_ordinal(text, following[1]):
+            text += following[1]
+            i += 1
+        elif kind == "capital" and following[0] == "small":
+            if len(text) > 1:
+                found.append(text[:-1])
+            text = text[-1] + following[1]
+            i += 1
+        if kind != "digit" and i + 1 < len(runs) and runs[i][1] in APOSTROPHES:
+            # Only a whole ending of one case counts, not the beginning of another word.
+            ending = runs[i + 1][1]
+            last = i + 2 >= len(runs) or runs[i + 2][0] not in ("small", "capital")
+            if last and ending.lower() in CONTRACTIONS and runs[i + 1][0] in ("small", "capital"):
+                text += runs[i][1] + ending
+                i += 2
+        found.append(text)
+    return found
 
 
 def snake_case(name: str) -> str:
