@@ -9,6 +9,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from tablewright.queries import (  # noqa: F401
         cells,
+        edges,
         export,
         filters,
         order,

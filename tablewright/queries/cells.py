@@ -202,7 +202,7 @@ def cell_update(spark: SparkSession, folder: str) -> DataFrame:
        FROM orders LEFT JOIN changed ON o_orderkey = l_orderkey"""
 )
 def cell_update_many(spark: SparkSession, folder: str) -> DataFrame:
-    """New values come from another table."""
+    """New values come from another table; of several for one key the last in their order stays."""
     orders = named_table(spark, folder, "orders").select(
         "o_orderkey", "o_orderpriority", "o_orderstatus"
     )
@@ -210,4 +210,4 @@ def cell_update_many(spark: SparkSession, folder: str) -> DataFrame:
     updates = lines.select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus")
     )
-    return update_cells(orders, "o_orderkey", "o_orderstatus", updates)
+    return update_cells(orders, "o_orderkey", "o_orderstatus", updates, latest_by="o_orderstatus")

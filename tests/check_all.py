@@ -18,7 +18,7 @@ from tablewright.session import local_session  # noqa: E402
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark, db = local_session(8), oracle.connect(folder)
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     bad = 0
     for name in names:
         start = time.time()
