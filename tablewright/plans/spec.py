@@ -115,6 +115,8 @@ class GridSpec:
     ``row_id`` names a unique column of the source.  It fixes the source order,
     breaks ties in sorts and identifies rows in selections.  ``sorts`` holds the
     newest key first: sorting is stable, so earlier sorts still decide ties.
+    ``all_label`` is the dropdown's choice that clears its filter; None if a column
+    holds that text.
     ``custom_search`` is SQL text or ``(text, row) -> Column``; ``custom_sort`` is SQL
     texts or ``(column, row) -> Column | list[Column]``, used for columns without a
     ``sort_key``.
@@ -141,6 +143,7 @@ class GridSpec:
     total: int | None = None
     selectable_rows: str = "multiple"
     sort_facets: bool = True
+    all_label: str | None = "All"
     download: DownloadSpec = field(default_factory=DownloadSpec)
 
     def __post_init__(self):
@@ -247,6 +250,8 @@ class GridSpec:
         for name, values in chosen.items():
             self.column(name)
             values = _as_values(values)
+            if self.kind_of(name) == "dropdown" and values == (self.all_label,):
+                values = ()  # the choice that stands for no choice
             if values:
                 merged[name] = values
             else:

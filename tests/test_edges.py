@@ -146,3 +146,10 @@ print("fine")
     env = os.environ | {"SPARK_CONF_DIR": folder}
     done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
     assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
+def test_the_choice_of_all_clears_a_dropdown():
+    spec = GridSpec(columns=("a", "b"), row_id="a").with_filters({"a": 1, "b": ["x", "y"]})
+    assert dict(spec.with_filter("a", "All").filters) == {"b": ("x", "y")}
+    kept = GridSpec(columns=("a",), row_id="a", all_label=None).with_filter("a", "All")
+    assert dict(kept.filters) == {"a": ("All",)}
