@@ -81,4 +81,151 @@ def op7_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_block_max_search(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return topk_search.search(docs, docs.where("doc_id % 50 = 0"))
+    found = topk_search.search(docs, docs.where("doc_id % 50 = 0"))
+    return found.withColumn("score", F.round("score", 6))
+
+
+def _apportion(parties: str, party: str, votes: str) -> str:
+    """SQL of the seats of each party of a group ``g``, all open quotients ranked outright."""
+    return f"""(
+    WITH shared AS (
+      SELECT *, sum({votes}) OVER (PARTITION BY g) AS whole,
+             CASE WHEN sum({votes}) OVER (PARTITION BY g) > 0
+                  THEN CAST(floor({votes} * seats / sum({votes}) OVER (PARTITION BY g) + 0.5) AS BIGINT) ELSE 0 END AS near
+      FROM {parties}),
+    opened AS (
+      SELECT *, CAST(CASE WHEN whole > 0 THEN seats ELSE 0 END - sum(near) OVER (PARTITION BY g) AS BIGINT) AS open FROM shared),
+    tried AS (
+      SELECT g, {party}, open, step,
+             {votes} / (2.0 * (CASE WHEN open > 0 THEN near + step ELSE near - step + 1 END) - 1) AS quotient
+      FROM (SELECT *, unnest(range(1, CASE WHEN open > 0 THEN open ELSE least(-open, near) END + 1)) AS step
+            FROM opened WHERE open <> 0)),
+    moved AS (
+      SELECT g, {party}, sum(sign(open)) AS moved
+      FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY CASE WHEN open > 0 THEN -quotient ELSE quotient END,
+                                         {party} NULLS LAST, step) AS place FROM tried)
+      WHERE place <= abs(open) GROUP BY g, {party})
+    SELECT opened.*, CAST(near + coalesce(moved, 0) AS BIGINT) AS quota
+    FROM opened LEFT JOIN moved ON opened.g IS NOT DISTINCT FROM moved.g
+                               AND opened.{party} IS NOT DISTINCT FROM moved.{party})"""
+
+
+def _mix_sql() -> str:
+    """The mix in SQL, with every window over whole tables."""
+    seeded = f"md5(concat_ws('/', '{mixing.SEED}', CAST(doc_id AS VARCHAR)))"
+    started = f"md5(concat_ws('/', '{mixing.SEED}', source, CAST(shard AS VARCHAR)))"
+
+    def overlap(first: str, last: str) -> str:
+        return f"greatest(0, least(high, {last}) - greatest(low, {first}))"
+
+    low, middle, high = mixing.WEIGHTS
+    sources = _apportion("wanted", "source", "target")
+    shards = _apportion("parts", "shard", "ring")
+    return f"""
+    WITH sized AS (
+      SELECT doc_id, source, {seeded} AS seeded,
+             CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+      FROM documents),
+    facts AS (
+      SELECT CAST(sum(size) AS BIGINT) AS total, count(DISTINCT coalesce(source, '')) AS n FROM sized),
+    scale AS (
+      SELECT shards, greatest(1, total // (n * shards * {mixing.BLOCKS_PER_SHARD})) AS block
+      FROM (SELECT *, least({mixing.MOST_SHARDS}, greatest(1, (total + {mixing.SHARD_TOKENS - 1})
+                                                              // {mixing.SHARD_TOKENS})) AS shards FROM facts)),
+    keyed AS (SELECT sized.*, CAST('0x' || substr(seeded, 1, 8) AS BIGINT) % shards AS shard FROM sized, scale),
+    rings AS (SELECT source, shard, CAST(sum(size) AS BIGINT) AS ring FROM keyed GROUP BY ALL),
+    turns AS (
+      SELECT source, CAST(sum(ring) AS BIGINT) AS size,
+             [{low}, {middle}, {high}][row_number() OVER (ORDER BY source NULLS LAST) % 3
+                                        + CASE WHEN row_number() OVER (ORDER BY source NULLS LAST) % 3 = 0 THEN 3 ELSE 0 END] AS weight
+      FROM rings GROUP BY source),
+    ranked AS (SELECT *, size * {mixing.MOST_PASSES} / weight AS ratio FROM turns),
+    levels AS (
+      SELECT *, (sum(size) OVER () * {mixing.SHARE_PERCENT} - {100 * mixing.MOST_PASSES} * coalesce(sum(size) OVER
+                  (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / 100.0
+                / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM ranked),
+    targets AS (
+      SELECT source, size AS source_size, least(CAST(size * {mixing.MOST_PASSES} AS DOUBLE), coalesce(weight * CAST(
+               (SELECT max(level) FROM levels WHERE level <= ratio) AS DOUBLE), CAST(size * {mixing.MOST_PASSES} AS DOUBLE))) AS target
+      FROM levels),
+    wanted AS (
+      SELECT 1 AS g, targets.*, CAST(round(sum(target) OVER () / block) AS BIGINT) AS seats FROM targets, scale),
+    parts AS (
+      SELECT rings.source AS g, rings.shard, rings.ring, source_size, target, quota AS seats
+      FROM rings JOIN {sources} AS s ON rings.source IS NOT DISTINCT FROM s.source),
+    runs AS (
+      SELECT g AS source, shard, ring, source_size, target, least(quota * block, ring * {mixing.MOST_PASSES}) AS run, block
+      FROM {shards}, scale),
+    started AS (
+      SELECT *, CAST('0x' || substr({started}, 1, 8) AS BIGINT) % greatest(1, ring // block) * block AS start FROM runs),
+    placed AS (
+      SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY seeded, doc_id, size ROWS UNBOUNDED PRECEDING) AS high
+      FROM keyed),
+    joined AS (
+      SELECT p.doc_id, p.source, p.size, s.source_size, s.target, p.high - p.size AS low, p.high, s.ring, s.start,
+             s.run // greatest(s.ring, 1) AS passes, s.run % greatest(s.ring, 1) AS rest
+      FROM placed AS p JOIN started AS s ON p.source IS NOT DISTINCT FROM s.source AND p.shard = s.shard)
+    SELECT doc_id, size, source_size, target, source,
+           CAST(passes * size + {overlap('start', 'start + rest')} + {overlap('0', 'start + rest - ring')} AS BIGINT) AS taken
+    FROM joined"""
+
+
+ORACLES["op5_source_mix"] = _mix_sql()
+
+ORACLES["op10_warc_revisits"] = f"""
+    WITH paged AS (
+      SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS size FROM pages),
+    originals AS (SELECT html, max(page_id) AS original FROM paged WHERE size >= {warc.REVISIT_FROM} GROUP BY html)
+    SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(paged.html) AS payload_digest,
+           CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN original <> page_id THEN original END AS refers_to
+    FROM paged LEFT JOIN originals ON paged.html = originals.html AND size >= {warc.REVISIT_FROM}"""
+
+
+def _words(text: str) -> str:
+    """SQL of the words of a text, lower-cased in A-Z only."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+')"
+
+
+def _grams(words: str, size: str) -> str:
+    """SQL of the distinct shingles of a list of words."""
+    places = f"range(1, CAST(len({words}) - {size} + 2 AS BIGINT))"
+    return f"list_distinct([array_to_string({words}[i : i + {size} - 1], ' ') for i in {places}])"
+
+
+ORACLES["op9_benchmark_decontamination"] = f"""
+    WITH items AS (SELECT item_id, {_words("text")} AS words FROM benchmark),
+    sized AS (SELECT item_id, words, least(len(words), {decontaminate.SHINGLE_WORDS}) AS n FROM items WHERE len(words) > 0),
+    wanted AS (SELECT item_id, n, unnest({_grams("words", "n")}) AS gram FROM sized),
+    counted AS (SELECT item_id, n, count(*) AS item_shingles FROM wanted GROUP BY ALL),
+    split AS (SELECT doc_id, {_words("text")} AS words FROM documents),
+    held AS (
+      SELECT DISTINCT doc_id, n, unnest({_grams("words", "n")}) AS gram
+      FROM split, (SELECT DISTINCT n FROM sized) AS sizes WHERE len(words) >= n),
+    met AS (
+      SELECT doc_id, wanted.item_id, count(*) AS shared
+      FROM held JOIN wanted ON held.n = wanted.n AND held.gram = wanted.gram GROUP BY ALL)
+    SELECT doc_id, met.item_id, item_shingles, shared, shared / item_shingles AS containment
+    FROM met JOIN counted ON met.item_id = counted.item_id
+    WHERE shared >= {decontaminate.THRESHOLD} * item_shingles"""
+
+ORACLES["op2_block_max_search"] = f"""
+    WITH words AS (SELECT doc_id, unnest({_words("text")}) AS word FROM documents),
+    times AS (SELECT doc_id, word, count(*) AS tf FROM words GROUP BY ALL),
+    sizes AS (SELECT documents.doc_id, len({_words("text")}) AS size FROM documents),
+    facts AS (SELECT count(*) AS n, avg(size) AS mean FROM sizes),
+    terms AS (SELECT word, count(*) AS df FROM times GROUP BY word),
+    scored AS (
+      SELECT q.doc_id AS query_id, t.doc_id,
+             sum(CAST(q.tf * ln(1 + (n - df + 0.5) / (df + 0.5)) * t.tf * {topk_search.K1 + 1}
+                      / (t.tf + {topk_search.K1} * ({1 - topk_search.B} + {topk_search.B} * size / mean))
+                      AS DECIMAL(38, 12))) AS score
+      FROM times AS q JOIN terms ON q.word = terms.word JOIN times AS t ON t.word = q.word
+           JOIN sizes ON sizes.doc_id = t.doc_id, facts
+      WHERE q.doc_id % 50 = 0 GROUP BY q.doc_id, t.doc_id),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 8) DESC, doc_id) AS rank FROM scored)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(CAST(score AS DOUBLE), 6) AS score
+    FROM ranked WHERE rank <= {topk_search.TOP}"""
