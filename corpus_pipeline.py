@@ -19,6 +19,11 @@ from tablewright.llm.shared import new_path, written
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """Each row as one column, so that no name of the table clashes with one used here."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Junk and toxic documents go: sources are hosts, a source's languages the paths below it."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -35,17 +40,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = written(simhash.near_duplicates(docs), "near-duplicates").table
     leaders = (
         found.where("doc_id = component_id")
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.count("*").alias("_rows"))
+        .groupBy(F.col("doc_id").alias("leader"))
+        .agg(F.count("*").alias("rows"))
     )
-    led = docs.join(leaders, F.col("doc_id") == F.col("_id"))
-    single = led.where("_rows = 1").select(docs.columns)
+    packed = _packed(docs)
+    led = packed.join(leaders, F.col("row.doc_id") == F.col("leader"))
+    single = led.where("rows = 1").select("row")
     # Few rows share an id; only those are compared.
-    repeated = led.where("_rows > 1").select(docs.columns).dropDuplicates(["doc_id"])
-    alone = found.where("component_id is null").select(F.col("fp").alias("_fp"), "root").distinct()
-    nameless = docs.where("doc_id is null").withColumn("_print", simhash.fingerprint_of("text"))
-    nameless = nameless.join(alone, F.col("_print") == F.col("_fp")).dropDuplicates(["root"])
-    return single.unionByName(repeated).unionByName(nameless.select(docs.columns))
+    repeated = led.where("rows > 1").dropDuplicates(["leader"]).select("row")
+    alone = found.where("component_id is null").select("fp", "root").distinct()
+    nameless = packed.where("row.doc_id is null").withColumn("print", simhash.fingerprint_of("row.text"))
+    nameless = nameless.join(alone, F.col("print") == F.col("fp")).dropDuplicates(["root"]).select("row")
+    return single.unionByName(repeated).unionByName(nameless).select("row.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,19 +62,17 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's run covers its first word: never, once or twice."""
-    key = F.coalesce("doc_id", F.xxhash64("text", "source"))
-    size = mixing.word_count(F.col("text"))
-    keyed = docs.withColumns({"_key": key, "_size": size})
+    key = F.coalesce("row.doc_id", F.xxhash64("row.text", "row.source"))
+    keyed = _packed(docs).select("row", key.alias("key"), mixing.word_count(F.col("row.text")).alias("size"))
     # Rows that share an id are told apart by their place among them.
-    keyed = keyed.withColumn("_nth", F.row_number().over(W.partitionBy("_key").orderBy("_size", "source")))
-    mixed = mixing.mix(docs.withColumn("_key", key), id_col="_key").select(
-        F.col("doc_id").alias("_of"), F.col("size").alias("_of_size"), "copies", F.col("source").alias("_of_source")
-    )
+    keyed = keyed.withColumn("nth", F.row_number().over(W.partitionBy("key").orderBy("size", "row.source")))
+    sized = _packed(docs).select(key.alias("key"), F.col("row.text").alias("text"), F.col("row.source").alias("source"))
+    mixed = mixing.mix(sized, id_col="key").select(F.col("doc_id").alias("of"), "size", "source", "copies")
     mixed = mixed.withColumn(
-        "_of_nth", F.row_number().over(W.partitionBy("_of").orderBy("_of_size", "_of_source"))
+        "of_nth", F.row_number().over(W.partitionBy("of").orderBy("size", "source"))
     ).where("copies > 0")
-    taken = keyed.join(mixed, F.col("_key") == F.col("_of")).where("_nth = _of_nth")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
+    taken = keyed.join(mixed.select("of", "of_nth", "copies"), F.col("key") == F.col("of")).where("nth = of_nth")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
