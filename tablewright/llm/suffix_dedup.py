@@ -21,14 +21,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.shared import written
+
 #: Bytes of a window, and of the short strings it is assigned by.
 LENGTH = 200
 SHORT = 32
 #: Occurrences of one short string that a shard takes.
-SHARD_STRETCHES = 4096
-#: Bytes of stretches that are sorted at a time, and of texts that are hashed at a time.
-SORT_BYTES = 4 << 20
-HASH_BITS = 20
+SHARD_STRETCHES = 4000
+#: Bytes of different stretches that are sorted at a time (a shard more at most), bytes
+#: of stretches passed on at a time, and bytes of texts that are hashed at a time.
+SORT_BYTES, PASS_BYTES = 512 << 10, 4 << 20
+HASH_BITS = 17
+#: Bits of the hash that index the filter of short strings that repeat: a fixed sixteen
+#: megabytes. A fuller filter lets strings through that occur once; none is held back.
+FILTER_BITS = 27
+#: Bits that a position among the sorted bytes fits in, so that two ranks and a position
+#: are one number; longer inputs are sorted through an index.
+PLACE_BITS = 21
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIXER = np.uint64(0xD6E8FEB86659FD93)
@@ -61,10 +70,10 @@ def _pieces(sizes: np.ndarray) -> Iterator[tuple[list[int], list[int], list[int]
 
 def short_hashes(data: np.ndarray) -> np.ndarray:
     """A hash of the ``SHORT`` bytes from every position on."""
-    hashes, power, step = data.astype(np.uint64) + np.uint64(1), _MULTIPLIER, 1
+    hashes, power, step = data.astype(np.uint64) + np.uint64(1), int(_MULTIPLIER), 1
     while step < SHORT:
-        hashes = hashes[:-step] * power + hashes[step:]
-        power, step = power * power, 2 * step
+        hashes = hashes[:-step] * np.uint64(power) + hashes[step:]
+        power, step = power * power % (1 << 64), 2 * step
     hashes ^= hashes >> np.uint64(32)
     hashes *= _MIXER
     hashes ^= hashes >> np.uint64(29)
@@ -99,56 +108,63 @@ def _assign(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return text, first - starts[text], last - starts[text], hashes[chosen[first]]
 
 
+def _runs_of(batch: pa.RecordBatch, column: int) -> Iterator[tuple[list[bytes], np.ndarray, ...]]:
+    """The texts of a batch, and of each run of windows the text, first and last start, hash."""
+    texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
+    for docs, first, last in _pieces(np.array([len(t) for t in texts], np.int64)):
+        joined = b"".join(texts[d][a:b] for d, a, b in zip(docs, first, last, strict=True))
+        sizes = np.array(last) - np.array(first)
+        text, low, high, hashes = _assign(
+            np.frombuffer(joined, np.uint8), np.concatenate([[0], np.cumsum(sizes)])
+        )
+        base = np.array(first)[text]
+        yield texts, np.array(docs)[text], low + base, high + base, hashes
+
+
 def _short_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
-        keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
-        for docs, first, last in _pieces(np.array([len(t) for t in texts], np.int64)):
-            joined = b"".join(texts[d][a:b] for d, a, b in zip(docs, first, last, strict=True))
-            sizes = np.array(last) - np.array(first)
-            text, low, high, hashes = _assign(
-                np.frombuffer(joined, np.uint8), np.concatenate([[0], np.cumsum(sizes)])
-            )
-            of = np.array(docs)[text]
-            base = np.array(first)[text]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes.view(np.int64)),
-                    pa.array(keys[0][of]),
-                    pa.array(keys[1][of]),
-                    pa.array((low + base).astype(np.int64)),
-                    pa.array((high + base).astype(np.int64)),
-                ],
-                names=["short", "id_key", "text_key", "low", "high"],
-            )
-
-
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["short", "part", "stretch", "id_key", "text_key", "low"]
+        for *_, hashes in _runs_of(batch, 0):
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["short"])
+
+
+def _filter(shorts: DataFrame) -> np.ndarray:
+    """One bit for each leading ``FILTER_BITS`` bits that a listed hash begins with."""
+    lead = F.shiftrightunsigned("short", 64 - FILTER_BITS)
+    bit = f"bit_or(shiftleft(1L, cast(shiftrightunsigned(short, {64 - FILTER_BITS}) & 63 as int)))"
+    rows = shorts.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.expr(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    table[rows.column(0).to_numpy()] = rows.column(1).to_numpy()  # 2**21 rows at most
+    return table.view(np.uint64)
+
+
+def _stretches(table):
+    names = ["short", "stretch", "id_key", "text_key", "low"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         columns = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
         )
 
-    for batch in batches:
-        rows, held = [], 0
-        ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        texts = batch.column(2).cast(pa.binary())
-        for i in range(batch.num_rows):
-            data = texts[i].as_py()
-            # A repeated row has its places once for each; they are the same.
-            places = {(p["low"], p["high"], p["short"], p["part"]) for p in batch.column(3)[i].as_py()}
-            for low, high, short, part in sorted(places):
-                rows.append((short, part, data[low : high + LENGTH], ids[i], keys[i], low))
-                held += high + LENGTH - low
-                if held >= SORT_BYTES:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            ids, keys, rows, held = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], 0
+            for texts, of, low, high, hashes in _runs_of(batch, 2):
+                at = hashes >> np.uint64(64 - FILTER_BITS)
+                again = (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+                found = (x[again].tolist() for x in (of, low, high, hashes.view(np.int64)))
+                for i, a, b, short in zip(*found, strict=True):
+                    rows.append((short, texts[i][a : b + LENGTH], ids[i], keys[i], a))
+                    held += b + LENGTH - a
+                if held >= PASS_BYTES:
                     yield out(rows)
                     rows, held = [], 0
-        if rows:
-            yield out(rows)
+            if rows:
+                yield out(rows)
+
+    return run
 
 
 def _words(data: np.ndarray) -> np.ndarray:
@@ -170,39 +186,59 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(begins, np.diff(np.append(begins, len(keys)))), company
 
 
-def sort_windows(words: np.ndarray, is_start: np.ndarray) -> np.ndarray:
+def _sorted(keys: np.ndarray, among: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, and what is ``among`` them, each a number of ``PLACE_BITS`` bits.
+
+    A key of ``bits`` bits and its place in one number sort several times faster than
+    through an index.
+    """
+    if bits + PLACE_BITS > 64 or len(keys) > 1 << PLACE_BITS:
+        order = np.argsort(keys)
+        return keys[order], among[order]
+    packed = np.sort((keys << np.uint64(PLACE_BITS)) | np.arange(len(keys), dtype=np.uint64))
+    order = (packed & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    return packed >> np.uint64(PLACE_BITS), among[order]
+
+
+def sort_windows(words: np.ndarray, is_start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Window starts by the ``LENGTH`` bytes from there, by Larsson-Sadakane refinement.
 
-    Suffixes are sorted by eight bytes, and groups of equal ones again and again by
+    Suffixes are sorted by five bytes, and groups of equal ones again and again by
     the ranks of what follows, which doubles the depth; sorted groups are left
-    alone. The last step reaches just ``LENGTH`` and takes window starts only.
+    alone. The last step reaches just ``LENGTH`` and takes window starts only. Also
+    gives which of the starts, in order, share all ``LENGTH`` bytes with another.
     """
     size = len(is_start)
-    order = np.argsort(words[:size])
-    begins, company = _groups(words[:size][order])
+    rank_bits = max(1, int(size + LENGTH).bit_length())
+    keys, order = _sorted(words[:size] >> np.uint64(24), np.arange(size), 40)
+    begins, company = _groups(keys)
     rank = np.zeros(size + LENGTH, np.uint64)
     rank[order] = begins
     slots = np.flatnonzero(company)
-    depth = 8
+    depth = 5
     while depth < LENGTH and len(slots):
         offset = min(depth, LENGTH - depth)
         among = order[slots]
         if depth + offset == LENGTH:
+            # Only starts count now; within a group they take the first slots.
             wanted = is_start[among]
-            # Groups keep the slots of their starts; the others follow, in any order.
-            shuffle = np.lexsort((~wanted, rank[among]))
-            order[slots] = among = among[shuffle]
-            wanted = wanted[shuffle]
-            slots, among = slots[wanted], among[wanted]
-        keys = (rank[among] << np.uint64(32)) | rank[among + offset]
-        by_key = np.argsort(keys)
-        among = among[by_key]
+            groups = rank[among]
+            among = np.concatenate([among[wanted], among[~wanted]])
+            by_group = np.argsort(np.concatenate([groups[wanted], groups[~wanted]]), kind="stable")
+            order[slots] = among[by_group]
+            chosen = by_group < int(wanted.sum())
+            slots, among = slots[chosen], among[by_group][chosen]
+        keys = (rank[among] << np.uint64(rank_bits)) | rank[among + offset]
+        keys, among = _sorted(keys, among, 2 * rank_bits)
         order[slots] = among
-        begins, company = _groups(keys[by_key])
+        begins, company = _groups(keys)
         rank[among] = slots[begins]
         slots = slots[company]
         depth += offset
-    return order[is_start[order]]
+    alike = np.zeros(size, bool)
+    alike[slots] = True
+    at = np.flatnonzero(is_start[order])
+    return order[at], alike[at]
 
 
 def common_prefixes(words: np.ndarray, starts: np.ndarray, counts: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -233,9 +269,8 @@ def common_prefixes(words: np.ndarray, starts: np.ndarray, counts: np.ndarray, o
         open_ = np.flatnonzero((other >= 0) & (known < LENGTH))
         while len(open_):
             differ = words[at[open_] + known[open_]] ^ words[other[open_] + known[open_]]
-            same = np.full(len(open_), 8, np.int64)
-            for byte in range(7, -1, -1):
-                same[differ >= np.uint64(1) << np.uint64(8 * (7 - byte))] = byte
+            bytes_ = differ.astype(">u8").view(np.uint8).reshape(-1, 8) != 0
+            same = np.where(differ == 0, 8, bytes_.argmax(axis=1))
             known[open_] += same
             open_ = open_[(same == 8) & (known[open_] < LENGTH)]
         known = np.where(other >= 0, np.minimum(known, LENGTH), 0)
@@ -243,14 +278,35 @@ def common_prefixes(words: np.ndarray, starts: np.ndarray, counts: np.ndarray, o
     return shared[order]
 
 
-def repeated_windows(stretches: list[bytes]) -> list[np.ndarray]:
-    """For each stretch, whether the window from each start on occurs twice among all."""
+def repeated_windows(stretches: list[bytes], shorts: list[int]) -> list[np.ndarray]:
+    """For each stretch, whether the window from each start on occurs twice among all.
+
+    Equal stretches speak for each other. Only where a stretch stands alone beside
+    others of its short string are suffixes sorted.
+    """
     known: dict[bytes, int] = {}
     of = np.array([known.setdefault(s, len(known)) for s in stretches])
     times = np.bincount(of, minlength=len(known))
-    joined = b"\0".join(known) + bytes(LENGTH + 8)
+    short = np.zeros(len(known), np.int64)
+    short[of] = shorts
+    _, group = np.unique(short, return_inverse=True)
+    alone = np.bincount(group, times == 1)
+    open_ = np.flatnonzero((alone > 0)[group] & (np.bincount(group) > 1)[group])
+    masks = [np.full(len(s) - LENGTH + 1, t > 1) for s, t in zip(known, times.tolist(), strict=True)]
+    if len(open_):
+        texts = list(known)
+        found = _sorted_out([texts[i] for i in open_])
+        for i, mask in zip(open_.tolist(), found, strict=True):
+            if times[i] == 1:
+                masks[i] = mask
+    return [masks[i] for i in of]
+
+
+def _sorted_out(stretches: list[bytes]) -> list[np.ndarray]:
+    """:func:`repeated_windows` of different stretches, by their suffix array."""
+    joined = b"\0".join(stretches) + bytes(LENGTH + 8)
     data = np.frombuffer(joined, np.uint8)
-    sizes = np.array([len(s) for s in known])
+    sizes = np.array([len(s) for s in stretches])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     counts = sizes - LENGTH + 1
     steps = np.zeros(len(data) - LENGTH - 8 + 1, np.int8)
@@ -258,17 +314,23 @@ def repeated_windows(stretches: list[bytes]) -> list[np.ndarray]:
     steps[starts + counts] -= 1
     is_start = np.cumsum(steps[:-1], dtype=np.int8) > 0
     words = _words(data)
-    order = sort_windows(words, is_start)
-    shared = common_prefixes(words, starts, counts, order)
+    order, alike = sort_windows(words, is_start)
     twice = np.zeros(len(is_start), bool)
-    at = np.flatnonzero(shared >= LENGTH)
-    twice[order[at]] = True
-    twice[order[at - 1]] = True
-    masks = [
-        np.ones(c, bool) if t > 1 else twice[s : s + c]
-        for s, c, t in zip(starts.tolist(), counts.tolist(), times.tolist(), strict=True)
-    ]
-    return [masks[i] for i in of]
+    # Prefixes are followed in the stretches that have a window like another.
+    candidate = np.zeros(len(is_start), np.int64)
+    candidate[order[alike]] = 1
+    wanted = np.add.reduceat(np.append(candidate, 0), starts) > 0
+    if wanted.any():
+        kept_steps = np.zeros(len(is_start) + 1, np.int8)
+        kept_steps[starts[wanted]] += 1
+        kept_steps[starts[wanted] + counts[wanted]] -= 1
+        kept = np.cumsum(kept_steps[:-1], dtype=np.int8) > 0
+        order = order[kept[order]]
+        shared = common_prefixes(words, starts[wanted], counts[wanted], order)
+        at = np.flatnonzero(shared >= LENGTH)
+        twice[order[at]] = True
+        twice[order[at - 1]] = True
+    return [twice[s : s + c] for s, c in zip(starts.tolist(), counts.tolist(), strict=True)]
 
 
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -284,7 +346,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def resolve(rows: dict[str, list]) -> pa.RecordBatch:
         out: list[tuple] = []
         told: set[tuple[int, int, bytes]] = set()
-        masks = repeated_windows(rows["stretch"])
+        masks = repeated_windows(rows["stretch"], rows["short"])
         for i, mask in enumerate(masks):
             key, low = (rows["id_key"][i], rows["text_key"][i]), rows["low"][i]
             for a, b in zip(*_runs(mask), strict=True):
@@ -308,21 +370,21 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     fields = ["short", "part", "stretch", "id_key", "text_key", "low"]
     held: dict[str, list] = {f: [] for f in fields}
+    known: set[bytes] = set()
     size = 0
     for batch in batches:
-        for i, f in enumerate(fields):
-            held[f] += batch.column(i).to_pylist()
-        size += sum(map(len, held["stretch"][-batch.num_rows :])) if batch.num_rows else 0
-        if size >= SORT_BYTES:
-            # All but the last shard, which may go on.
-            last = len(held["short"]) - 1
-            shard = (held["short"][last], held["part"][last])
-            while last and (held["short"][last - 1], held["part"][last - 1]) == shard:
-                last -= 1
-            if last:
-                yield resolve({f: held[f][:last] for f in fields})
-                held = {f: held[f][last:] for f in fields}
-                size = sum(map(len, held["stretch"]))
+        new = {f: batch.column(i).to_pylist() for i, f in enumerate(fields)}
+        begin = 0
+        for i, stretch in enumerate(new["stretch"]):
+            shard = (new["short"][i], new["part"][i])
+            before = (new["short"][i - 1], new["part"][i - 1]) if i else held["short"] and (held["short"][-1], held["part"][-1])
+            if size >= SORT_BYTES and shard != before:
+                yield resolve({f: held[f] + new[f][begin:i] for f in fields})
+                held, known, size, begin = {f: [] for f in fields}, set(), 0, i
+            if stretch not in known:
+                known.add(stretch)
+                size += len(stretch)
+        held = {f: held[f] + new[f][begin:] for f in fields}
     if held["short"]:
         yield resolve(held)
 
@@ -396,27 +458,26 @@ def remove_repeats(
         F.coalesce("doc_id", F.lit(0)).alias("id_key"), F.xxhash64("text").alias("text_key"), "text", "doc_id"
     )
     long_enough = keyed.where(F.octet_length("text") >= LENGTH)
-    shorts = long_enough.select("id_key", "text_key", "text").mapInArrow(
-        _short_strings, "short long, id_key long, text_key long, low long, high long"
-    )
+    shorts = long_enough.select("text").mapInArrow(_short_strings, "short long")
     again = shorts.groupBy("short").agg(F.count("*").alias("times")).where("times > 1")
-    parts = F.ceil(F.col("times") / shard_stretches)
-    spread = F.when(F.col("times") > shard_stretches, F.pmod(F.xxhash64("id_key", "text_key"), parts)).otherwise(-1)
-    places = (
-        shorts.join(again, "short")
-        .select("id_key", "text_key", F.struct("low", "high", "short", spread.cast("int").alias("part")).alias("place"))
-        .groupBy("id_key", "text_key")
-        .agg(F.collect_list("place").alias("places"))
+    again = written(again, "short").table
+    table = docs.sparkSession.sparkContext.broadcast(_filter(again))  # of fixed size
+    stretches = long_enough.select("id_key", "text_key", "text").mapInArrow(
+        _stretches(table), "short long, stretch binary, id_key long, text_key long, low long"
     )
-    stretches = keyed.join(places, ["id_key", "text_key"]).select("id_key", "text_key", "text", "places")
-    stretches = stretches.mapInArrow(
-        _stretches, "short long, part int, stretch binary, id_key long, text_key long, low long"
+    # Strings for more than one shard; written, so that Spark knows how few they are.
+    crowded = written(again.where(F.col("times") > shard_stretches).withColumnRenamed("short", "crowd"), "crowded").table
+    parts = F.ceil(F.col("times") / shard_stretches)
+    part = F.when(F.col("crowd").isNull(), -1).otherwise(F.pmod(F.xxhash64("id_key", "text_key"), parts))
+    stretches = stretches.join(crowded, F.col("short") == F.col("crowd"), "left").select(
+        "short", part.cast("int").alias("part"), "stretch", "id_key", "text_key", "low"
     )
     found = (
         stretches.repartition("short", "part")
         .sortWithinPartitions("short", "part")
         .mapInArrow(_shards, "id_key long, text_key long, first long, last long, of_shard long, digest binary")
     )
+    found = written(found, "found").table
     within = found.where("digest is null").select("id_key", "text_key", "first", "last")
     digests = found.where("digest is not null").select(
         "digest", "id_key", "text_key", F.coalesce("first", F.lit(-1)).alias("first")

@@ -73,14 +73,19 @@ def test_windows_of_stretches():
     times = Counter()
     for s in stretches:
         times.update(s[i : i + 200] for i in range(len(s) - 199))
-    for s, mask in zip(stretches, sd.repeated_windows(stretches)):
+    for s, mask in zip(stretches, sd.repeated_windows(stretches, [1] * len(stretches))):
         assert mask.tolist() == [times[s[i : i + 200]] > 1 for i in range(len(s) - 199)]
 
 
+def test_long_inputs_are_sorted_through_an_index(monkeypatch):
+    monkeypatch.setattr(sd, "PLACE_BITS", 4)
+    test_windows_of_stretches()
+
+
 def test_long_texts_in_parts(spark):
     rng = random.Random(4)
-    long = "".join(rng.choice("abcdefgh ") for _ in range((1 << 20) + 5000))
-    at = (1 << 20) - 150
+    long = "".join(rng.choice("abcdefgh ") for _ in range((1 << sd.HASH_BITS) * 3))
+    at = (1 << sd.HASH_BITS) - 150
     docs = [(1, long), (2, "START|" + long[at : at + 320] + "|END"), (3, "|" + long[10:260] + "|")]
     got = {r.doc_id: r for r in sd.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got[1].n_removed == 570 and got[1].n_spans == 2
