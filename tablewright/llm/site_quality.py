@@ -28,13 +28,14 @@ from tablewright.llm.shared import word_chunks, written
 TRAIN_ROWS = 20_000
 #: Telling words per kind of badness, and the documents one must be in.
 TELLING_WORDS, LEAST_DOCS = 128, 3
-#: Bytes of a word's beginning, which may tell where its endings vary.
-STEM_BYTES = 6
+#: Bytes of a word's beginnings, which may tell where its endings vary.
+STEM_BYTES = (4, 6)
 #: Likelihood ratio statistic that a telling word must reach.
 LEAST_G2 = 15.0
-PENALTY = 1.0
-#: A document is rejected when it is more likely bad than not.
-REJECT_FROM = 0.5
+PENALTY = 0.3
+#: A document is rejected from this probability of being bad on; a little under even,
+#: as a bad document kept does more harm than a clean one lost.
+REJECT_FROM = 0.4
 
 KINDS = ("junk", "toxic")
 _MARKS = b"!#$%&*+<=>@^_`{|}~"
@@ -87,7 +88,7 @@ def _vocabulary(data: bytes) -> set[bytes]:
     for part in word_chunks(data):
         found.update(part)
     words = {w.strip(_EDGES) for w in found}
-    return words | {w[:STEM_BYTES] + b"*" for w in words if len(w) > STEM_BYTES}
+    return words | {w[:n] + b"*" for n in STEM_BYTES for w in words if len(w) > n}
 
 
 class Model(NamedTuple):
@@ -338,7 +339,8 @@ def score(
 
     One row per document. ``evidence`` is the classifier's probability of being bad,
     the rates are the posteriors of its host and path, ``bad`` joins them:
-    odds(evidence) / odds(base rate) * odds(path rate). ``keep`` is false from 0.5 on.
+    odds(evidence) / odds(base rate) * odds(path rate). ``keep`` is false from
+    ``REJECT_FROM`` on.
     A null host or path is a site like any other. A null or empty text is judged by
     its form like any text. Repeated rows count each, and get a row each; an empty
     table gives an empty result.

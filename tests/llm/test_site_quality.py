@@ -80,7 +80,7 @@ def test_query_scores_every_row(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     assert got.count() == docs.count()
     for r in got.collect():
-        assert 0 <= r.bad <= 1 and r.keep == (r.bad < 0.5)
+        assert 0 <= r.bad <= 1 and r.keep == (r.bad < sq.REJECT_FROM)
 
 
 def test_edges(spark):
