@@ -26,7 +26,7 @@ PLACE_BITS, TIE_BITS = 30, 32
 #: Bits that one pass over the points narrows a median by.
 STEP_BITS = 16
 #: A group of equal texts heavier than this part of a shard's target is dealt by row.
-GROUP_PARTS = 32
+GROUP_PARTS = 8
 #: Rows that a numbering task is meant to get.
 SLOT_ROWS = 20_000
 
@@ -82,8 +82,9 @@ def _placed(raw: DataFrame, names: Sequence[str], heavy: float) -> DataFrame:
         .withColumn("apart", F.col("of_size") * F.col("copies") > heavy)
         .drop("copies")
     )
+    # Once written its size is known: a small table is sent to the tasks, and no row of a hot group moves.
     joined = placed.join(
-        groups, (F.col("crc") == F.col("of_crc")) & (F.col("size") == F.col("of_size")), "left"
+        written(groups, "groups").table, (F.col("crc") == F.col("of_crc")) & (F.col("size") == F.col("of_size")), "left"
     )
     own = F.crc32(F.concat_ws("/", F.col("doc_id").cast("string"), F.col("crc").cast("string")).cast("binary"))
     return joined.select(
@@ -214,7 +215,7 @@ def shard_documents(
 
     ``size`` is the text's UTF-8 bytes plus one (one for a null). The law is
     ``bytes``: shards are near equal in bytes, as near as the document on a cut
-    allows. Equal texts stay together, save for groups heavier than a 32nd of a
+    allows. Equal texts stay together, save for groups heavier than an eighth of a
     shard, which are dealt by row.
     Rows without an id are placed like others; repeated rows are separate rows and
     get slots of their own. A shard is empty only where there are fewer rows than
