@@ -5,9 +5,23 @@ from __future__ import annotations
 from tablewright.functions.text import trimmed
 from tablewright.operators.rules import Field, Ref, RecordRules
 
+# Bounds of the account forms, and what they say.
 LONGEST_TEXT = 255
 LONGEST_PASSWORD = 10
 CODE_LENGTH = 4
+SAID = {
+    "email": "Must be a valid email",
+    "email required": "Email is required",
+    "password required": "Password is required",
+    "password padded": "Password can not start or end with spaces",
+    "password long": "Password must be less than 10 characters",
+    "firstname required": "First Name is required",
+    "lastname required": "Last Name is required",
+    "confirm required": "Confirm Password is required",
+    "confirm equal": "Both Password must be match!",
+    "code length": "OTP must be exactly 4 digits",
+    "code required": "OTP is required",
+}
 
 
 def not_padded(f: Field, message: str) -> Field:
@@ -27,23 +41,23 @@ def equal_to(f: Field, other: str, message: str) -> Field:
 def email_field() -> Field:
     return (
         Field("email")
-        .email("Must be a valid email")
+        .email(SAID["email"])
         .max(LONGEST_TEXT)
-        .required("Email is required")
+        .required(SAID["email required"])
     )
 
 
 def password_field() -> Field:
-    f = Field("password").required("Password is required")
-    f = not_padded(f, "Password can not start or end with spaces")
-    return f.max(LONGEST_PASSWORD, "Password must be less than 10 characters")
+    f = Field("password").required(SAID["password required"])
+    f = not_padded(f, SAID["password padded"])
+    return f.max(LONGEST_PASSWORD, SAID["password long"])
 
 
 def register_rules() -> RecordRules:
     return RecordRules(
         (
-            Field("firstname").max(LONGEST_TEXT).required("First Name is required"),
-            Field("lastname").max(LONGEST_TEXT).required("Last Name is required"),
+            Field("firstname").max(LONGEST_TEXT).required(SAID["firstname required"]),
+            Field("lastname").max(LONGEST_TEXT).required(SAID["lastname required"]),
             email_field(),
             password_field(),
         )
@@ -59,15 +73,15 @@ def forgot_rules() -> RecordRules:
 
 
 def reset_rules() -> RecordRules:
-    confirm = Field("confirmPassword").required("Confirm Password is required")
+    confirm = Field("confirmPassword").required(SAID["confirm required"])
     return RecordRules(
         (
-            Field("password").max(LONGEST_TEXT).required("Password is required"),
-            equal_to(confirm, "password", "Both Password must be match!"),
+            Field("password").max(LONGEST_TEXT).required(SAID["password required"]),
+            equal_to(confirm, "password", SAID["confirm equal"]),
         )
     )
 
 
 def code_rules() -> RecordRules:
-    code = Field("otp").length(CODE_LENGTH, "OTP must be exactly 4 digits")
-    return RecordRules((code.required("OTP is required"),))
+    code = Field("otp").length(CODE_LENGTH, SAID["code length"])
+    return RecordRules((code.required(SAID["code required"]),))

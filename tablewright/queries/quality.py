@@ -85,6 +85,7 @@ def dq_matches(spark: SparkSession, folder: str) -> DataFrame:
     return _flag(_blanked(spark, folder), rule, "c_custkey")
 
 
+# What an e-mail address is to the rule, as SQL.
 _EMAIL = (
     r"[a-zA-Z0-9.!#$%&''*+/=?^_`{|}~-]+@[a-zA-Z0-9](?:[a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?"
     r"(?:\.[a-zA-Z0-9](?:[a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?)*"
@@ -121,6 +122,7 @@ _HOST = (
     rf"(?:(?:[a-z\d{_WIDE}]|[a-z\d{_WIDE}][a-z\d._~{_WIDE}-]*[a-z\d{_WIDE}])\.)+"
     rf"(?:[a-z{_WIDE}]|[a-z{_WIDE}][a-z\d._~{_WIDE}-]*[a-z{_WIDE}])\.?"
 )
+# What a URL is to the rule, as SQL.
 _URL = (
     rf"(?:(?:https?|ftp):)?//{_HOST}(?::\d*)?(?:/(?:{_CHAR}+(?:/{_CHAR}*)*)?)?"
     rf"(?:\?(?:{_CHAR}|/|\?)*)?(?:#(?:{_CHAR}|/|\?)*)?"
@@ -358,7 +360,7 @@ def customer_rules() -> RecordRules:
     )
 
 
-# Every broken rule of every customer.  The length of a segment is only tested
+# Every broken rule of every customer.  Fixed values: the messages are the rules' own.  The length of a segment is only tested
 # where the segment is an allowed one.
 _FINDINGS = f"""
   WITH b AS ({_BLANKED}),
