@@ -32,8 +32,8 @@ SHARD_STRETCHES = 4000
 #: of stretches passed on at a time, and bytes of texts that are hashed at a time.
 SORT_BYTES, PASS_BYTES = 512 << 10, 4 << 20
 HASH_BITS = 17
-#: Bits of the hash that index the filter of short strings that repeat: a fixed sixteen
-#: megabytes. A fuller filter lets strings through that occur once; none is held back.
+#: Low bits of the hash that index the filter of short strings that repeat: a fixed
+#: sixteen megabytes (the high ones are small in every least hash). A fuller filter lets strings through that occur once; none is held back.
 FILTER_BITS = 27
 #: Bits that a position among the sorted bytes fits in, so that two ranks and a position
 #: are one number; longer inputs are sorted through an index.
@@ -128,10 +128,10 @@ def _short_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _filter(shorts: DataFrame) -> np.ndarray:
-    """One bit for each leading ``FILTER_BITS`` bits that a listed hash begins with."""
-    lead = F.shiftrightunsigned("short", 64 - FILTER_BITS)
-    bit = f"bit_or(shiftleft(1L, cast(shiftrightunsigned(short, {64 - FILTER_BITS}) & 63 as int)))"
-    rows = shorts.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.expr(bit).alias("bits")).toArrow()
+    """One bit for each ending of ``FILTER_BITS`` bits that a listed hash has."""
+    place = F.col("short").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bit = F.expr("bit_or(shiftleft(1L, cast(short & 63 as int)))")
+    rows = shorts.groupBy(F.shiftright(place, 6).alias("word")).agg(bit.alias("bits")).toArrow()
     table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     table[rows.column(0).to_numpy()] = rows.column(1).to_numpy()  # 2**21 rows at most
     return table.view(np.uint64)
@@ -152,7 +152,7 @@ def _stretches(table):
         for batch in batches:
             ids, keys, rows, held = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], 0
             for texts, of, low, high, hashes in _runs_of(batch, 2):
-                at = hashes >> np.uint64(64 - FILTER_BITS)
+                at = hashes & np.uint64((1 << FILTER_BITS) - 1)
                 again = (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
                 found = (x[again].tolist() for x in (of, low, high, hashes.view(np.int64)))
                 for i, a, b, short in zip(*found, strict=True):
@@ -278,8 +278,8 @@ def common_prefixes(words: np.ndarray, starts: np.ndarray, counts: np.ndarray, o
     return shared[order]
 
 
-def repeated_windows(stretches: list[bytes], shorts: list[int]) -> list[np.ndarray]:
-    """For each stretch, whether the window from each start on occurs twice among all.
+def repeated_windows(stretches: list[bytes], shorts: list[int]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different stretches' number for each, and which of their windows occur twice among all.
 
     Equal stretches speak for each other. Only where a stretch stands alone beside
     others of its short string are suffixes sorted.
@@ -299,7 +299,7 @@ def repeated_windows(stretches: list[bytes], shorts: list[int]) -> list[np.ndarr
         for i, mask in zip(open_.tolist(), found, strict=True):
             if times[i] == 1:
                 masks[i] = mask
-    return [masks[i] for i in of]
+    return of, masks
 
 
 def _sorted_out(stretches: list[bytes]) -> list[np.ndarray]:
@@ -346,16 +346,19 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def resolve(rows: dict[str, list]) -> pa.RecordBatch:
         out: list[tuple] = []
         told: set[tuple[int, int, bytes]] = set()
-        masks = repeated_windows(rows["stretch"], rows["short"])
-        for i, mask in enumerate(masks):
+        of, masks = repeated_windows(rows["stretch"], rows["short"])
+        spans = [
+            [(0, len(m))] if m.all() else list(zip(*(x.tolist() for x in _runs(m)), strict=True)) for m in masks
+        ]
+        for i, number in enumerate(of.tolist()):
             key, low = (rows["id_key"][i], rows["text_key"][i]), rows["low"][i]
-            for a, b in zip(*_runs(mask), strict=True):
-                out.append((*key, low + int(a), low + int(b) - 1 + LENGTH, None, None))
+            for a, b in spans[number]:
+                out.append((*key, low + a, low + b - 1 + LENGTH, None, None))
             if rows["part"][i] < 0:
                 continue
             # One digest for every distinct window of this shard; where it stands if it is single.
             data = rows["stretch"][i]
-            for start, again in enumerate(mask.tolist()):
+            for start, again in enumerate(masks[number].tolist()):
                 digest = hashlib.blake2b(data[start : start + LENGTH], digest_size=16).digest()
                 if again:
                     if (rows["short"][i], rows["part"][i], digest) in told:

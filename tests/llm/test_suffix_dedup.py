@@ -73,8 +73,9 @@ def test_windows_of_stretches():
     times = Counter()
     for s in stretches:
         times.update(s[i : i + 200] for i in range(len(s) - 199))
-    for s, mask in zip(stretches, sd.repeated_windows(stretches, [1] * len(stretches))):
-        assert mask.tolist() == [times[s[i : i + 200]] > 1 for i in range(len(s) - 199)]
+    of, masks = sd.repeated_windows(stretches, [1] * len(stretches))
+    for s, number in zip(stretches, of):
+        assert masks[number].tolist() == [times[s[i : i + 200]] > 1 for i in range(len(s) - 199)]
 
 
 def test_long_inputs_are_sorted_through_an_index(monkeypatch):
