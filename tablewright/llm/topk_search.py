@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 from typing import NamedTuple
 
@@ -36,6 +37,8 @@ QUERY_TERMS = 1 << 20
 FILTER_BITS = 24
 #: Blocks that are scored before the first look at the bounds of the others.
 FIRST_BLOCKS = 4
+#: One shard in so many is searched first.
+PILOT_PARTS = 8
 
 
 def terms_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -129,11 +132,13 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(len(of)) + np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes), of
 
 
-def best(shard: Shard, terms: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, int]:
+def best(
+    shard: Shard, terms: np.ndarray, weights: np.ndarray, top: int, floor: float = 0.0
+) -> tuple[np.ndarray, np.ndarray, int]:
     """Ids and scores of the shard's best documents for a query, and the blocks scored.
 
-    Only documents that share a term with the query count; of equal scores the
-    smaller id comes first.
+    Only documents that share a term with the query count, and none below ``floor``;
+    of equal scores the smaller id comes first.
     """
     none = np.zeros(0, np.int64), np.zeros(0), 0
     if not len(shard.terms) or not len(terms):
@@ -150,9 +155,10 @@ def best(shard: Shard, terms: np.ndarray, weights: np.ndarray, top: int) -> tupl
     bounds *= 1 + 1e-9
     queue = np.argsort(-bounds, kind="stable")
     queue = queue[bounds[queue] > 0]
-    ids, scores, scored, take = none[0], none[1], 0, FIRST_BLOCKS
+    # Where a floor is known the first look need not be a small one.
+    ids, scores, scored, take = none[0], none[1], 0, FIRST_BLOCKS if not floor else len(queue)
     while scored < len(queue):
-        level = scores[top - 1] if len(scores) >= top else 0.0
+        level = max(floor, scores[top - 1] if len(scores) >= top else 0.0)
         turn = queue[scored : scored + take]
         turn = turn[bounds[turn] >= level]
         if not len(turn):
@@ -164,7 +170,7 @@ def best(shard: Shard, terms: np.ndarray, weights: np.ndarray, top: int) -> tupl
         postings, of_entry = _ranges(shard.firsts[picked], shard.firsts[picked + 1])
         docs = shard.docs[postings]
         sums = np.bincount(docs, weights[of[chosen]][of_entry] * shard.gains[postings])
-        new = np.flatnonzero(sums > 0)
+        new = np.flatnonzero((sums > 0) & (sums >= floor))
         ids, scores = np.concatenate([ids, shard.ids[new]]), np.concatenate([scores, sums[new]])
         order = np.lexsort((ids, -scores))[:top]
         ids, scores = ids[order], scores[order]
@@ -175,14 +181,14 @@ def best(shard: Shard, terms: np.ndarray, weights: np.ndarray, top: int) -> tupl
 
 def _search(queries, mean_length: float, top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, offsets, terms, weights = queries.value
+        numbers, offsets, terms, weights, floors = queries.value
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = load({f: batch.column(j)[i].as_py() for j, f in enumerate(_FIELDS)}, mean_length)
                 of, ids, scores = [], [], []
                 for q, number in enumerate(numbers.tolist()):
                     a, b = offsets[q], offsets[q + 1]
-                    found, values, _ = best(shard, terms[a:b], weights[a:b], top)
+                    found, values, _ = best(shard, terms[a:b], weights[a:b], top, floors[q])
                     of.append(np.full(len(found), number, np.int64))
                     ids.append(found)
                     scores.append(values)
@@ -256,7 +262,8 @@ def search(
     all shards: the work is queries times shards, as the task is.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    index = written(texts.where("doc_id is not null").mapInArrow(_index, _INDEX), "index").table
+    index = texts.where("doc_id is not null").mapInArrow(_index, _INDEX)
+    index = written(index.withColumn("shard", F.xxhash64("ids")), "index").table
     asked = (
         queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(text_col).cast("string").alias("text"))
         .where("query_id is not null")
@@ -278,23 +285,35 @@ def search(
     known = frequencies.groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log1p((F.lit(count) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = terms.join(known, "term").select("query", "term", (F.col("times") * idf).alias("weight"))
+    by_score = W.partitionBy("query").orderBy(F.desc("score"), "doc_id")
     # Lots by the hash of the query: about as many terms each.
     total = terms.count()
     lots = max(1, -(-total * 5 // (query_terms * 4)))
     weighted = written(weighted.withColumn("lot", F.pmod(F.xxhash64("query"), F.lit(lots))), "weights").table
-    results = None
+    mean = length / count if count else 0.0
+    pilot = F.pmod(F.xxhash64("shard"), F.lit(PILOT_PARTS)) == 0
+    found: list[DataFrame] = []
+
+    def ask(shards: DataFrame, asked_now: tuple) -> DataFrame:
+        task = _search(context.broadcast(asked_now), mean, top)
+        hits = shards.select(*_FIELDS).mapInArrow(task, "query long, doc_id long, score double")
+        return written(hits, "found").table
+
     for lot in range(lots):
         rows = weighted.where(F.col("lot") == lot).select("query", "term", "weight").toArrow()
         columns = [rows.column(i).to_numpy() for i in range(3)]
         order = np.lexsort((columns[1].view(np.uint64), columns[0]))
         numbers, starts = np.unique(columns[0][order], return_index=True)
-        offsets = np.append(starts, len(order))
-        lot_queries = context.broadcast((numbers, offsets, columns[1][order].view(np.uint64), columns[2][order]))
-        mean = length / count if count else 0.0
-        # Shards are heavy and few: one to a task.
-        found = written(index.mapInArrow(_search(lot_queries, mean, top), "query long, doc_id long, score double"), "found")
-        results = found.table if results is None else results.unionByName(found.table)
-    by_score = W.partitionBy("query").orderBy(F.desc("score"), "doc_id")
+        lot_terms = (numbers, np.append(starts, len(order)), columns[1][order].view(np.uint64), columns[2][order])
+        # A part of the shards tells how good a document must be to be worth a row elsewhere.
+        first = ask(index.where(pilot), (*lot_terms, np.zeros(len(numbers))))
+        ranked = first.withColumn("rank", F.row_number().over(by_score))
+        known = ranked.where(F.col("rank") == top).select("query", "score").toArrow()
+        floors = np.zeros(len(numbers))
+        floors[np.searchsorted(numbers, known.column(0).to_numpy())] = known.column(1).to_numpy()
+        # The same sum in another shard may differ in its last digits.
+        found += [first, ask(index.where(~pilot), (*lot_terms, floors * (1 - 1e-9)))]
+    results = reduce(DataFrame.unionByName, found)
     ranked = results.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top)
     return ranked.join(asked.select("query", "query_id").distinct(), "query").select("query_id", "rank", "doc_id", "score")
 
