@@ -4,6 +4,10 @@ Tokens are handed out in equal blocks. Sources get whole numbers of blocks by
 highest quotients, then each source's number is shared among its shards the same
 way. In a shard the documents of a source, in seeded order, form a ring of tokens;
 the shard's quota is that many neighbouring blocks of the ring from a seeded start.
+
+The block suits sources of a fair size. A source whose runs would miss its target by
+more than ``MOST_MISSED_PERCENT``, as its rings hold few blocks or it has no seat, is
+one ring instead, its shards behind one another, and its run is its target to the token.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ SHARD_TOKENS = 250_000
 MOST_SHARDS = 1 << 16
 #: Blocks that a shard of an average source is cut into.
 BLOCKS_PER_SHARD = 64
+#: Share of a source's target by which its blocks may miss it.
+MOST_MISSED_PERCENT = 1
 SEED = "mix-1"
 
 #: Words: what stands between 0x20 and 0x09 to 0x0D.
@@ -184,18 +190,33 @@ def mix_sized(sized: DataFrame, seed: str = SEED) -> DataFrame:
         "_seats",
     )
     run = F.least(F.col("quota") * F.lit(block), F.col("ring") * MOST_PASSES)
-    start = F.conv(
-        F.substring(F.md5(F.concat_ws("/", F.lit(seed), "source", "_shard").cast("binary")), 1, 8), 16, 10
-    ).cast("long")
+
+    def seeded_start(*of: str) -> Column:
+        digits = F.md5(F.concat_ws("/", F.lit(seed), *of).cast("binary"))
+        return F.conv(F.substring(digits, 1, 8), 16, 10).cast("long")
+
+    # Where blocks miss the target, the source's shards behind one another are its ring.
+    of_source = W.partitionBy("source")
+    before = of_source.orderBy("_shard").rowsBetween(W.unboundedPreceding, -1)
+    missed = F.abs(F.sum(run).over(of_source) - F.col("target"))
+    shared = shared.withColumn("_whole", missed * 100 > F.col("target") * MOST_MISSED_PERCENT)
     blocks = F.greatest(F.lit(1), F.floor(F.col("ring") / F.lit(block)))
+
+    def either(whole: Column, by_shard: Column) -> Column:
+        return F.when(F.col("_whole"), whole).otherwise(by_shard)
+
     runs = shared.select(
         F.col("source").alias("_source"),
         F.col("_shard").alias("_ring"),
         "source_size",
         "target",
-        "ring",
-        run.alias("_run"),
-        ((start % blocks) * F.lit(block)).alias("_start"),
+        either(F.col("source_size"), F.col("ring")).alias("ring"),
+        either(F.round("target").cast("long"), run).alias("_run"),
+        either(
+            seeded_start("source") % F.greatest(F.lit(1), F.col("source_size")),
+            (seeded_start("source", "_shard") % blocks) * F.lit(block),
+        ).alias("_start"),
+        either(F.coalesce(F.sum("ring").over(before), F.lit(0)), F.lit(0)).alias("_offset"),
     )
     # The place of each document in its ring.
     seeded = W.partitionBy("source", "_shard").orderBy("_order", "doc_id", "size")
@@ -206,7 +227,8 @@ def mix_sized(sized: DataFrame, seed: str = SEED) -> DataFrame:
     ring = F.greatest(F.col("ring"), F.lit(1))
     passes = F.floor(F.col("_run") / ring)
     rest = F.col("_run") - passes * ring
-    low, high = F.col("_end") - F.col("size"), F.col("_end")
+    high = F.col("_offset") + F.col("_end")
+    low = high - F.col("size")
 
     def overlap(first: Column, last: Column) -> Column:
         return F.greatest(F.lit(0), F.least(high, last) - F.greatest(low, first))

@@ -89,3 +89,38 @@ def test_copies_follow_taken(spark):
         copied[r.source] += r.copies * r.size
         assert 0 <= r.copies <= 2
     assert all(abs(taken[s] - copied[s]) < 0.02 * taken[s] + 60 for s in taken)
+
+
+def test_small_sources_beside_a_hot_one(spark):
+    hot = spark.range(40_000).selectExpr("id AS doc_id", "'hot' AS source", "2000L AS size")
+    tiny = spark.range(100).selectExpr("id + 50000 AS doc_id", "'tiny' AS source", "400L AS size")
+    short = spark.range(3000).selectExpr("id + 60000 AS doc_id", "'short' AS source", "10L + id % 7 AS size")
+    seatless = spark.range(2).selectExpr("id + 70000 AS doc_id", "CAST(NULL AS STRING) AS source", "50L AS size")
+    rows = mixing.mix_sized(hot.unionAll(tiny).unionAll(short).unionAll(seatless)).collect()
+    assert len(rows) == 43_102
+    sizes, taken, copied = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in rows:
+        assert 0 <= r.taken <= 2 * r.size and 0 <= r.copies <= 2
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+        copied[r.source] += r.copies * r.size
+    target = brute_targets(sizes)
+    for s in ("tiny", "short", None):
+        assert abs(taken[s] - target[s]) <= 0.5, (s, taken[s], target[s])
+        assert abs(copied[s] - target[s]) <= 400
+    assert abs(taken["hot"] - target["hot"]) <= 0.01 * target["hot"]
+
+
+def test_runs_across_shards_hit_the_target(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_MISSED_PERCENT", -1)  # every source is one ring
+    sized = spark.range(6000).selectExpr("id AS doc_id", "concat('s', id % 7) AS source", "100L + id % 50 AS size")
+    rows = mixing.mix_sized(sized).collect()
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in rows:
+        assert 0 <= r.taken <= 2 * r.size
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+    target = brute_targets(sizes)
+    assert sum(sizes.values()) > 2 * mixing.SHARD_TOKENS
+    assert any(t < 1.9 * sizes[s] for s, t in target.items())
+    assert all(abs(taken[s] - t) <= 0.5 for s, t in target.items())
