@@ -55,9 +55,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go."""
+    """Documents that contain a benchmark item go.
+
+    Rows are judged by id and text, so those without an id are searched as well and
+    texts that share an id each by itself.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return docs.join(decontaminate.contaminated(docs, items).select("doc_id").distinct(), "doc_id", "left_anti")
+    keyed = _packed(docs).select("row", F.xxhash64("row.doc_id", "row.text").alias("key"))
+    texts = keyed.select("key", F.col("row.text").alias("text"))
+    leaked = decontaminate.contaminated(texts, items, id_col="key").select(F.col("doc_id").alias("leaked")).distinct()
+    return keyed.join(leaked, F.col("key") == F.col("leaked"), "left_anti").select("row.*")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,3 +106,12 @@ def test_edges(spark, tables):
             ids = sorted((r.doc_id or 0, r.text or "") for r in got)
             assert [i for i, _ in ids] == [0, 1, 2, 4]  # blank texts are one group, the nameless pair another
         assert stage(spark, docs.where("false"), tables).collect() == []
+
+
+def test_decontamination_judges_rows(spark, tables):
+    item = spark.read.parquet(f"{tables}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").first().text
+    rows = [(None, f"before {item} after", "en", "s", 1), (None, "clean without a name", "en", "s", 2),
+            (7, f"{item} again", "en", "s", 3), (7, "clean under the same id", "en", "s", 4), (8, None, "en", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = STAGES["benchmark decontamination"](spark, docs.withColumn("key", F.lit("clash")), tables)
+    assert sorted(r.n_chars for r in kept.collect()) == [2, 4, 5]
