@@ -38,16 +38,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     then, as where an id is repeated, one of them stays.
     """
     found = written(simhash.near_duplicates(docs), "near-duplicates").table
-    leaders = (
-        found.where("doc_id = component_id")
-        .groupBy(F.col("doc_id").alias("leader"))
-        .agg(F.count("*").alias("rows"))
+    leads = F.col("doc_id") == F.col("component_id")
+    ids = found.groupBy(F.col("doc_id").alias("leader")).agg(
+        F.count("*").alias("rows"), F.max(leads).alias("leads")
     )
+    leaders = ids.where("leads").select("leader", "rows")
     packed = _packed(docs)
     led = packed.join(leaders, F.col("row.doc_id") == F.col("leader"))
     single = led.where("rows = 1").select("row")
-    # Few rows share an id; only those are compared.
-    repeated = led.where("rows > 1").dropDuplicates(["leader"]).select("row")
+    # Few rows share an id; only those are compared, as some may lead and others not.
+    shared = found.where(leads).join(leaders.where("rows > 1"), F.col("doc_id") == F.col("leader"))
+    shared = shared.groupBy(F.col("doc_id").alias("of"), "root").agg(F.min("fp").alias("fp"))
+    repeated = led.where("rows > 1").withColumn("print", simhash.fingerprint_of("row.text"))
+    repeated = repeated.join(shared, (F.col("leader") == F.col("of")) & (F.col("print") == F.col("fp")))
+    repeated = repeated.dropDuplicates(["root"]).select("row")
     alone = found.where("component_id is null").select("fp", "root").distinct()
     nameless = packed.where("row.doc_id is null").withColumn("print", simhash.fingerprint_of("row.text"))
     nameless = nameless.join(alone, F.col("print") == F.col("fp")).dropDuplicates(["root"]).select("row")

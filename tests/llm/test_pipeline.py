@@ -115,3 +115,13 @@ def test_decontamination_judges_rows(spark, tables):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = STAGES["benchmark decontamination"](spark, docs.withColumn("key", F.lit("clash")), tables)
     assert sorted(r.n_chars for r in kept.collect()) == [2, 4, 5]
+
+
+def test_near_duplicates_keep_one_row_of_each_component(spark, tables):
+    a, b, c = ("one two three four five six", "red green blue white black grey", "north east south west up down")
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, c), (5, c), (5, "a text of its own under five"), (5, None), (None, c), (None, "nameless and alone here")]
+    docs = spark.createDataFrame([(*r, "en", "s", i) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = STAGES["simhash near-dedup"](spark, docs, tables)
+    assert len({brute_print(t) for _, t in rows}) == 6
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert got == Counter([(1, a), (1, b), (3, c), (5, rows[6][1]), (5, None), (None, rows[9][1])])
