@@ -155,6 +155,22 @@ def _regression(rows: np.ndarray, truth: np.ndarray) -> np.ndarray:
     return weights
 
 
+def _bounded(labelled: DataFrame, most: int) -> DataFrame:
+    """``most`` of the rows, each distinct by ``_id`` and ``_print``; all ids' first rows come before others.
+
+    Ids and hashes alone are ordered, and at most ``most`` of them sent to the tasks.
+    """
+    firsts = labelled.groupBy("_id").agg(F.min("_print").alias("_first"))
+    picked = (
+        labelled.select("_id", "_print")
+        .join(firsts, "_id")
+        .orderBy(F.col("_print") != F.col("_first"), F.xxhash64("_id", "_print"), "_id", "_print")
+        .limit(most)
+        .select("_id", "_print")
+    )
+    return labelled.join(F.broadcast(picked), ["_id", "_print"])
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -166,8 +182,10 @@ def fit(
 
     ``labels`` holds ``doc_id``, ``quality`` (0 is junk) and ``toxic`` (1 is toxic);
     rows with a null are left out, and of labels that contradict each other the bad
-    one counts. Which rows are taken depends on their ids alone. Without labelled
-    rows, or with rows of one kind only, that kind's probability is constant.
+    one counts. Repeated rows of a document (same id, same text) are one row. Which
+    rows are taken depends on ids and texts alone: a text of each labelled id comes
+    before further texts of any. Without labelled rows, or with rows of one kind
+    only, that kind's probability is constant.
     """
     wanted = (
         labels.select(
@@ -183,9 +201,12 @@ def fit(
     )
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
     # At most train_rows rows of three numbers.
-    sample = written(
-        texts.join(F.broadcast(wanted), F.col("_id") == F.col("_of")).select("text", *KINDS), "labelled"
-    ).table
+    labelled = texts.join(F.broadcast(wanted), F.col("_id") == F.col("_of"))
+    labelled = labelled.select("_id", F.xxhash64("text").alias("_print"), "text", *KINDS)
+    labelled = written(labelled.dropDuplicates(["_id", "_print"]), "labelled").table
+    if labelled.count() > train_rows:
+        labelled = written(_bounded(labelled, train_rows), "bounded").table
+    sample = labelled.select("text", *KINDS)
     counts = sample.agg(F.count("*"), *[F.sum(k) for k in KINDS]).first()
     total, of_kind = counts[0], [c or 0 for c in counts[1:]]
     forms = len(_shape(b""))

@@ -95,3 +95,19 @@ def test_edges(spark):
     blank = sq.fit(docs, labels.where("false"))
     assert all(r.keep for r in sq.score(docs, blank, F.col("host"), F.col("_path")).collect())
     assert not math.isnan(sum(r.bad for r in sq.score(docs, blank, F.col("host"), F.col("_path")).collect()))
+
+
+def test_training_rows_are_bounded_where_an_id_repeats(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(sq, "_regression", lambda rows, truth: seen.append((len(rows), truth.sum())) or np.zeros(rows.shape[1]))
+    docs = spark.range(600).selectExpr("IF(id < 500, 7L, id) AS doc_id", "concat('text number ', IF(id < 100, 0, id)) AS text")
+    labels = spark.range(600).selectExpr("id AS doc_id", "IF(id = 7, 0, 1) AS quality", "CAST(id % 2 AS INT) AS toxic")
+    sq.fit(docs, labels, train_rows=1000)
+    # One id with 401 different texts, and a hundred others.
+    assert seen[0] == (501, 401)
+    seen.clear()
+    sq.fit(docs, labels.where("doc_id = 7 OR doc_id >= 500"), train_rows=150)
+    assert seen[0] == (150, 50)
+    seen.clear()
+    model = sq.fit(docs, labels.where("doc_id IN (7, 500)"), train_rows=20)
+    assert [n for n, _ in seen] == [20, 20] and abs(model.base - 19 / 20) < 1e-9
