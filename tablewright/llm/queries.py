@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import context_tree, decontaminate, main_text, mixing, sharding, simhash, site_quality, suffix_dedup, topk_search, warc
+from tablewright.llm import context_tree, decontaminate, main_text, mixing, quality_rules, sharding, simhash, site_quality, suffix_dedup, topk_search, warc
 from tablewright.llm.labelled_pages import PAGES
 from tablewright.llm.shared import new_path
 from tablewright.queries.registry import Query
@@ -85,6 +85,11 @@ def op2_block_max_search(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
+@query
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents")).drop("failed_rules")
+
+
 def _apportion(parties: str, party: str, votes: str) -> str:
     """SQL of the seats of each party of a group ``g``, all open quotients ranked outright."""
     return f"""(
@@ -229,3 +234,46 @@ ORACLES["op2_block_max_search"] = f"""
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 8) DESC, doc_id) AS rank FROM scored)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(CAST(score AS DOUBLE), 6) AS score
     FROM ranked WHERE rank <= {topk_search.TOP}"""
+
+
+def _rules_sql() -> str:
+    """The counts and the table of rules in SQL; windows are counted by grouping them."""
+    word, space = "[^\\x20\\x09-\\x0D]+", "[\\x20\\x09-\\x0D]"
+    forms = ", ".join(f"'{w}'" for w in sorted({*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)}))
+    edges = quality_rules.EDGES.replace("'", "''")
+    holds = []
+    for rule in quality_rules.RULES:
+        per = rule.per or "1"
+        if rule.least is not None:
+            holds.append(f"{rule.count} >= CAST('{rule.least}' AS DOUBLE) * {per}")
+        if rule.most is not None:
+            holds.append(f"{rule.count} <= CAST('{rule.most}' AS DOUBLE) * {per}")
+    window = quality_rules.WINDOW
+    gram = ", ".join(f"words[i + {k}]" for k in range(window))
+    return f"""
+    WITH held AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+    split AS (
+      SELECT *, regexp_extract_all(text, '{word}') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines
+      FROM held),
+    windows AS (
+      SELECT n, i, [{gram}] AS gram
+      FROM (SELECT n, words, unnest(range(1, len(words) - {window - 2})) AS i FROM split WHERE len(words) > {window})),
+    repeated AS (SELECT n, gram FROM windows GROUP BY ALL HAVING count(*) > 1),
+    covered AS (
+      SELECT n, count(DISTINCT i + k) AS n_repeat_words
+      FROM windows JOIN repeated USING (n, gram), (SELECT unnest(range(0, {window})) AS k) GROUP BY n),
+    counts AS (
+      SELECT doc_id, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+             len(regexp_extract_all(text, '[{quality_rules.SYMBOLS}]')) AS n_symbols, len(lines) AS n_lines,
+             len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             len(list_filter(words, lambda w: trim(w, '{edges}') IN ({forms}))) AS n_stop_words
+      FROM split LEFT JOIN covered USING (n)),
+    judged AS (
+      SELECT *, n_words < {quality_rules.LEAST_WORDS}
+                OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED_PERCENT} * n_words AS base_failed
+      FROM counts)
+    SELECT *, NOT base_failed AND {" AND ".join(holds)} AS kept FROM judged"""
+
+
+ORACLES["op12_quality_rules"] = _rules_sql()
