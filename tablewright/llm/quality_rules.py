@@ -60,49 +60,88 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def repeated_words(words: Column, window: int = WINDOW) -> Column:
+def _covered(places: Column, window: int) -> Column:
+    """How many places the windows that start at some places cover."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
+    return F.aggregate(
+        F.sort_array(places),
+        start,
+        lambda acc, p: F.struct(
+            (acc["n"] + p + window - F.greatest(acc["end"], p)).alias("n"), (p + window).alias("end")
+        ),
+        lambda acc: acc["n"],
+    )
+
+
+def _next_to_equal(ordered: Column, pairs: Column, place: Callable[[Column], Column]) -> Column:
+    """The places of those that equal a neighbour; ``pairs`` is 1 where the next one is equal."""
+    either = F.transform(
+        ordered,
+        lambda x, i: F.when(
+            (F.get(pairs, i) == 1) | F.coalesce(F.get(pairs, i - 1) == 1, F.lit(False)), place(x).cast("int")
+        ),
+    )
+    return F.filter(either, lambda p: p.isNotNull())
+
+
+def repeated_words(words: Column, window: int = WINDOW, place_bits: int = 24) -> Column:
     """How many words lie in a window of so many words that is found twice or more in the list.
 
-    The windows are sorted, by a hash first and then word by word, so equal ones are
-    neighbours; the places of those with an equal neighbour, in order, cover the words.
+    Each window is a long, a hash above its place; sorted, windows of one hash are
+    neighbours, and their words are compared. Should two different windows share a hash,
+    or a list be too long for its places, the windows themselves are sorted instead.
+    The places of those with an equal neighbour, in order, cover the words.
     """
+    places = (1 << place_bits) - 1
+
+    def word(at: Column, k: int) -> Column:
+        return F.get(words, at.cast("int") + k)
+
+    def packed(i: Column) -> Column:
+        hashed = F.xxhash64(*[word(i, k) for k in range(window)])
+        return hashed.bitwiseAND(F.lit(~places)).bitwiseOR(i.cast("long"))
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(places))
+
+    def pair(x: Column, y: Column) -> Column:
+        equal = F.lit(True)
+        for k in range(window):
+            equal = equal & (word(place(x), k) == word(place(y), k))
+        apart = F.coalesce(F.shiftright(x.bitwiseXOR(y), place_bits) != 0, F.lit(True))
+        return F.when(apart, 0).when(equal, 1).otherwise(2)
+
+    def by_hash(ordered: Column) -> Column:
+        def counted(pairs: Column) -> Column:
+            mixed = F.exists(pairs, lambda p: p == 2)
+            found = _covered(_next_to_equal(ordered, pairs, place), window)
+            return F.when(mixed, _by_words(words, window)).otherwise(found)
+
+        return _let(F.zip_with(ordered, F.slice(ordered, 2, F.size(ordered)), pair), counted)
+
+    starts = F.sequence(F.lit(0), F.size(words) - window)
+    quick = _let(F.sort_array(F.transform(starts, packed)), by_hash)
+    counted = F.when(F.size(words) > places, _by_words(words, window)).otherwise(quick)
+    return F.when(F.size(words) > window, counted).otherwise(0).cast("long")
+
+
+def _by_words(words: Column, window: int) -> Column:
+    """:func:`repeated_words` by sorting the windows word by word."""
 
     def at(i: Column) -> Column:
-        parts = [F.get(words, i + k) for k in range(window)]
-        return F.struct(F.xxhash64(*parts).alias("hash"), *[p.alias(f"w{k}") for k, p in enumerate(parts)], i.alias("at"))
+        return F.struct(*[F.get(words, i + k).alias(f"w{k}") for k in range(window)], i.alias("at"))
 
-    def same(x: Column, y: Column) -> Column:
-        equal = x["hash"] == y["hash"]
+    def pair(x: Column, y: Column) -> Column:
+        equal = F.lit(True)
         for k in range(window):
             equal = equal & (x[f"w{k}"] == y[f"w{k}"])
-        return F.coalesce(equal, F.lit(False))
-
-    def covered(places: Column) -> Column:
-        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
-        return F.aggregate(
-            F.sort_array(places),
-            start,
-            lambda acc, p: F.struct(
-                (acc["n"] + p + window - F.greatest(acc["end"], p)).alias("n"), (p + window).alias("end")
-            ),
-            lambda acc: acc["n"],
-        )
-
-    def doubled(windows: Column) -> Column:
-        after = F.zip_with(windows, F.slice(windows, 2, F.size(windows)), same)
-
-        def places(pairs: Column) -> Column:
-            either = F.transform(
-                windows,
-                lambda x, i: F.when(F.get(pairs, i) | F.coalesce(F.get(pairs, i - 1), F.lit(False)), x["at"]),
-            )
-            return F.filter(either, lambda p: p.isNotNull())
-
-        return covered(_let(after, places))
-
-    windows = F.transform(F.sequence(F.lit(0), F.size(words) - window), at)
-    counted = _let(F.sort_array(windows), doubled)
-    return F.when(F.size(words) > window, counted).otherwise(0).cast("long")
+        return F.when(F.coalesce(equal, F.lit(False)), 1).otherwise(0)
+
+    def counted(ordered: Column) -> Column:
+        pairs = F.zip_with(ordered, F.slice(ordered, 2, F.size(ordered)), pair)
+        return _let(pairs, lambda p: _covered(_next_to_equal(ordered, p, lambda x: x["at"]), window))
+
+    return _let(F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - window), at)), counted)
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -170,7 +209,7 @@ def judge(
     alike. A null or empty text has no words, fails the base test and is not kept;
     a null id stays null; an empty table gives an empty result. Other columns are
     not read, whatever they are called. A text is held whole with its words and
-    windows, in about 150 bytes of memory a word. A ratio that equals its bound
+    windows, in some 100 bytes of memory a word. A ratio that equals its bound
     holds. Stop words of all languages form one list, so a wrong or missing language
     does not matter.
     """

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import context_tree, decontaminate, main_text, mixing, quality_rules, sharding, simhash, site_quality, suffix_dedup, topk_search, warc
+from tablewright.llm import context_tree, decontaminate, main_text, merkle, mixing, quality_rules, sharding, simhash, site_quality, suffix_dedup, topk_search, warc, whitening
 from tablewright.llm.labelled_pages import PAGES
 from tablewright.llm.shared import new_path
 from tablewright.queries.registry import Query
@@ -85,11 +85,34 @@ def op2_block_max_search(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
+#: Rows whose id has a checksum that this divides are tampered with.
+TAMPERED = 7
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    n_chars = F.col("n_chars")
+
+    def leaf(chars: Column) -> Column:
+        return merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), chars, F.col("text"))
+
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED == 0
+    tampered = F.when(chosen, leaf(n_chars.cast("decimal(38,0)") + 1))
+    manifest = merkle.build(docs, F.col("doc_id"), F.col("lang"), leaf(n_chars), carried=tampered)
+    return merkle.verified(manifest, F.coalesce("carried", "leaf"))
+
+
 @query
 def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents")).drop("failed_rules")
 
 
+@query
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def _apportion(parties: str, party: str, votes: str) -> str:
     """SQL of the seats of each party of a group ``g``, all open quotients ranked outright."""
     return f"""(
@@ -277,3 +300,61 @@ def _rules_sql() -> str:
 
 
 ORACLES["op12_quality_rules"] = _rules_sql()
+
+
+def _merkle_sql() -> str:
+    """The trees level by level, the proofs by looking up every level's sibling."""
+    crc = f"""list_reduce(flatten([[ord(c), 0, 0, 0, 0, 0, 0, 0] for c in string_split(CAST(doc_id AS VARCHAR), '')]),
+               lambda a, b: xor(xor(a, b) >> 1, {0xEDB88320} * (xor(a, b) & 1)), {0xFFFFFFFF})"""
+
+    def leaf(chars: str) -> str:
+        fields = ("doc_id", "source", "lang", chars, "text")
+        parts = [f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields]
+        return f"sha256({' || '.join(parts)})"
+
+    def levels(name: str, leaves: str) -> str:
+        return f"""{name} AS (
+      SELECT g, 0 AS level, row_number() OVER (PARTITION BY g ORDER BY k NULLS FIRST, digest) - 1 AS pos, digest,
+             count(*) OVER (PARTITION BY g) AS n
+      FROM {leaves}
+      UNION ALL
+      SELECT g, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+      FROM {name} WHERE n > 1 GROUP BY g, level, pos // 2)"""
+
+    def ways(name: str, nodes: str) -> str:
+        return f"""{name} AS (
+      SELECT f.g, f.pos, list(CASE WHEN s.digest IS NULL THEN '' WHEN s.pos % 2 = 0 THEN 'L' || s.digest
+                                   ELSE 'R' || s.digest END ORDER BY l.level) AS steps
+      FROM {nodes} AS f JOIN (SELECT DISTINCT g, level FROM {nodes} WHERE n > 1) AS l ON f.g IS NOT DISTINCT FROM l.g
+      LEFT JOIN {nodes} AS s ON s.g IS NOT DISTINCT FROM f.g AND s.level = l.level AND s.pos = xor(f.pos >> l.level, 1)
+      WHERE f.level = 0 GROUP BY f.g, f.pos)"""
+
+    return f"""
+    WITH RECURSIVE leaves AS (
+      SELECT lang AS g, doc_id AS k, {leaf("n_chars")} AS digest,
+             CASE WHEN xor({crc}, {0xFFFFFFFF}) % {TAMPERED} = 0 THEN {leaf("(n_chars + 1)")} END AS changed
+      FROM documents),
+    {levels("nodes", "leaves")},
+    subroots AS (SELECT 1 AS g, lang_at AS k, digest, lang FROM (
+      SELECT g AS lang, digest, row_number() OVER (ORDER BY g NULLS FIRST) AS lang_at FROM nodes WHERE n = 1)),
+    {levels("tops", "subroots")},
+    {ways("inner_ways", "nodes")},
+    {ways("outer_ways", "tops")},
+    placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY k NULLS FIRST, digest) - 1 AS pos FROM leaves),
+    whole AS (
+      SELECT placed.k AS doc_id, placed.digest AS leaf, changed, subroots.digest AS subroot,
+             (SELECT digest FROM tops WHERE n = 1) AS root,
+             list_concat(coalesce(i.steps, []), coalesce(o.steps, [])) AS steps
+      FROM placed JOIN subroots ON placed.g IS NOT DISTINCT FROM subroots.lang
+           LEFT JOIN inner_ways AS i ON i.g IS NOT DISTINCT FROM placed.g AND i.pos = placed.pos
+           LEFT JOIN outer_ways AS o ON o.pos = subroots.k - 1),
+    folded AS (
+      SELECT *, list_reduce(steps, lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END),
+                            coalesce(changed, leaf)) AS folded_root
+      FROM whole)
+    SELECT doc_id, leaf, subroot, root, sha256(array_to_string([s[2:] for s in steps], '')) AS proof_sha256, folded_root,
+           folded_root = root AS verified
+    FROM folded"""
+
+
+ORACLES["op11_merkle_manifest"] = _merkle_sql()
