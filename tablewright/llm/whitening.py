@@ -63,24 +63,28 @@ def secular_roots(d: np.ndarray, z2: np.ndarray, rho: float) -> tuple[np.ndarray
     high = np.where(nearer_low, reach / 2, 0.0)
     high[-1] = reach[-1]
     mu = (low + high) / 2
-    below = rows[None, :] <= rows[:, None]
+    below = np.tril(np.ones((k, k)))
     upper = np.minimum(rows + 1, k - 1)
+    sides = np.stack([rows, upper])
     for _ in range(80):
         apart = gaps - mu[:, None]
         terms = w / apart
-        slopes = terms / apart
-        f = 1 + terms.sum(axis=1)
-        noise = 8 * _EPS * (1 + np.abs(terms).sum(axis=1))
+        # Sums over the poles up to a root, which are negative, and over all.
+        under, whole = np.einsum("ij,ij->i", terms, below), terms.sum(axis=1)
+        f = 1 + whole
+        noise = 8 * _EPS * (1 + whole - 2 * under)
         low, high = np.where(f <= 0, mu, low), np.where(f >= 0, mu, high)
         open_ = (np.abs(f) > noise) & (high - low > 2 * _EPS * np.maximum(np.abs(low), np.abs(high)))
         if not open_.any():
             break
-        psi = np.where(below, slopes, 0).sum(axis=1)
-        phi = slopes.sum(axis=1) - psi
-        left, right = apart[rows, rows], apart[rows, upper]
-        c = f - left * psi - right * phi
-        a = (left + right) * f - left * right * (psi + phi)
-        b = left * right * f
+        terms /= apart
+        psi = np.einsum("ij,ij->i", terms, below)
+        slope = terms.sum(axis=1)
+        left, right = apart[rows, sides]
+        c = f - left * psi - right * (slope - psi)
+        both = left * right
+        a = (left + right) * f - both * slope
+        b = both * f
         root = np.sqrt(np.maximum(a * a - 4 * b * c, 0))
         with np.errstate(divide="ignore", invalid="ignore"):
             step = np.where(a <= 0, (a - root) / (2 * c), 2 * b / (a + root))
