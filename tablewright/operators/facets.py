@@ -14,6 +14,7 @@ from tablewright.operators.ordering import Key, with_positions
 from tablewright.plans.compiler import Grid
 from tablewright.plans.spec import ColumnSpec
 from tablewright.sources.literals import small_frame
+from tablewright.sources.scratch import scratch_path
 from tablewright.streaming.guard import finished
 
 
@@ -56,7 +57,11 @@ def ordered_facets(grid: Grid) -> DataFrame:
     as first seen), or as first seen if the spec does not sort facets.
     """
     spec = grid.spec
-    facets = facet_values(grid)
+    spark = grid.source.sparkSession
+    # Aggregated once: numbering reads the values several times, and they are few beside the rows.
+    path = scratch_path(spark, "facets")
+    facet_values(grid).write.parquet(path)
+    facets = spark.read.parquet(path)
     text = F.coalesce("value", F.lit(""))
     keys = [Key(quoted("column"))]
     if spec.sort_facets:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import struct
 from functools import reduce
 from operator import and_, or_
 
@@ -40,6 +41,40 @@ def comparable(value, dtype: T.DataType) -> bool:
     return False
 
 
+def as_held(value, dtype: T.DataType):
+    """The value as a cell of this type would hold it; None where no cell can equal it.
+
+    A value that a cast would change equals no cell: 0.5 is no bigint, 12.345 no
+    ``decimal(10,2)``, and a number beyond a type's range is none of that type.
+    """
+    if value is None or not comparable(value, dtype):
+        return None
+    if isinstance(dtype, T.DateType):
+        return None if isinstance(value, dt.datetime) else value
+    if not isinstance(dtype, T.NumericType):
+        return value
+    if isinstance(value, (float, decimal.Decimal)) and not decimal.Decimal(value).is_finite():
+        return float(value) if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType) else None
+    exact = decimal.Decimal(value)
+    if isinstance(dtype, T.DecimalType):
+        with decimal.localcontext(prec=400):
+            held = exact.quantize(decimal.Decimal(1).scaleb(-dtype.scale), rounding=decimal.ROUND_HALF_EVEN)
+        # A double is meant by its shortest digits: 0.1 is a tenth.
+        shown = decimal.Decimal(repr(value)) if isinstance(value, float) else exact
+        return held if held == shown and abs(held) < decimal.Decimal(10) ** (dtype.precision - dtype.scale) else None
+    if isinstance(dtype, T.IntegralType):
+        bits = 8 * {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4}.get(type(dtype), 8)
+        return int(exact) if exact == int(exact) and -(1 << bits - 1) <= exact < 1 << bits - 1 else None
+    if isinstance(dtype, T.FloatType):
+        try:
+            held = struct.unpack("f", struct.pack("f", float(value)))[0]
+        except OverflowError:
+            return None
+    else:
+        held = float(value)
+    return held if decimal.Decimal(held) == exact else None
+
+
 def one_of(c: Column, values: tuple, dtype: T.DataType) -> Column:
     """The cell equals one of the chosen values; null matches a chosen null."""
     wanted = [v for v in values if v is not None and comparable(v, dtype)]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tablewright.functions.text import quoted
 from tablewright.operators.cells import code
 from tablewright.operators.paging import rows_at
+from tablewright.operators.predicates import as_held
 from tablewright.plans.compiler import Grid
 from tablewright.plans.spec import SpecError
 from tablewright.sources.literals import small_frame
@@ -49,7 +50,13 @@ def delete_rows(
 def _listed(df: DataFrame, key: str, keys: list) -> Column:
     """The key is one of these, as values of the key's own type; null is never selected."""
     dtype = df.schema[key].dataType
-    return quoted(key).isin(*[F.lit(k).cast(dtype) for k in keys]) if keys else F.lit(False)
+    held = _held(keys, dtype)
+    return quoted(key).isin(*[F.lit(k).cast(dtype) for k in held]) if held else F.lit(False)
+
+
+def _held(keys, dtype: T.DataType) -> list:
+    """The keys that a cell of this type can equal; a key that a cast would change equals none."""
+    return [k for k in dict.fromkeys(as_held(k, dtype) for k in keys) if k is not None]
 
 
 def _joined(df: DataFrame, key: str, keys, how: str) -> DataFrame:
@@ -132,7 +139,7 @@ def key_frame(df: DataFrame, key: str, keys) -> DataFrame:
         return keys.select(quoted(key)).distinct()
     wanted = df.schema[key].dataType
     return small_frame(
-        df.sparkSession, [(k,) for k in keys], T.StructType([T.StructField(key, wanted)])
+        df.sparkSession, [(k,) for k in _held(keys, wanted)], T.StructType([T.StructField(key, wanted)])
     )
 
 

@@ -105,15 +105,17 @@ class Grid:
 
     def filter_tests(self) -> list[Column]:
         """One test per filtered column, and one for the search."""
-        spec = self.spec
-        tests = []
+        tests = list(self.column_tests().values())
+        return [*tests, self.search_test()] if self.spec.search_text else tests
+
+    def column_tests(self) -> dict[str, Column]:
+        """The test of each filtered column, by its name."""
+        spec, tests = self.spec, {}
         for c in spec.columns:
             chosen = spec.filters.get(c.name, ())
             kind = spec.kind_of(c.name)
             if chosen or kind == "custom":
-                tests.append(self._column_test(c, chosen, kind))
-        if spec.search_text:
-            tests.append(self._search_test())
+                tests[c.name] = self._column_test(c, chosen, kind)
         return tests
 
     def _column_test(self, c: ColumnSpec, chosen: tuple, kind: str) -> Column:
@@ -128,7 +130,7 @@ class Grid:
             return predicates.array_has(cell, chosen, dtype, self.spec.array_match_all)
         return predicates.one_of(cell, chosen, dtype)
 
-    def _search_test(self) -> Column:
+    def search_test(self) -> Column:
         spec = self.spec
         if spec.custom_search is None:
             cells = [(self.shown(c), self.shown_type(c)) for c in spec.searched_columns]

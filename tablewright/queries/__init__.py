@@ -12,6 +12,7 @@ def load_all() -> None:
         edges,
         export,
         filters,
+        indexes,
         order,
         quality,
         rowsets,
