@@ -107,7 +107,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Logarithm of the gamma function for positive numbers, by Stirling's series from x + 8 on."""
     y = x + 8
-    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
+    z = 1 / (y * y)
+    # The series' first six terms.
+    series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z * (1 / 1680 - z * (1 / 1188 - z * 691 / 360360))))) / y
     shift = np.zeros_like(x)
     for i in range(8):
         shift += np.log(x + i)
