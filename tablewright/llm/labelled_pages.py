@@ -72,4 +72,47 @@ PAGES: list[list[tuple[bool, str]]] = [
         (True, f"<h1>Boats on the upper lake</h1><p>{_LONG}</p><p>{_LONG}{_LONG}</p><p>{_LONG}</p>"),
         (False, f"<footer><p>{_LONG}{_LONG}</p><p>{_LONG}</p><p>{_LONG}</p></footer></body>"),
     ],
+    # Wrappers whose names tell of the layout, and forms, around a whole article.
+    [
+        (False, f'<body class="has-sidebar"><div class="layout with-ads page-header-fixed"><form><nav>{_LINKS}</nav>'),
+        (True, f'<article class="post has-menu"><h1>Locks</h1><p>{_LONG}</p><div id="related-work"><p>{_MIDDLE}</p></div>'),
+        (True, f'<p>Let <math><mi>d</mi><mo>=</mo><mn>3</mn></math> be the depth.</p><p class="share-prices">{_LONG}</p></article>'),
+        (False, f'<div class="related-articles"><article><p>{_MIDDLE}</p></article></div></form></div></body>'),
+    ],
+    # An article alone, and one with nothing behind it.
+    [(True, "<article><p>Kept.</p></article>")],
+    [(True, f"<body><article><h1>Locks</h1><p>{_MIDDLE}</p><p>{_LONG}</p></article></body>")],
+    [
+        (False, f"<body><nav>{_LINKS}</nav>"),
+        (True, f"<main><h2>Sluices</h2><p>{_LONG}</p><p>So it was.</p></main></body>"),
+    ],
+    [
+        (True, f"<article><p>{_LONG}</p><p>One more.</p>"),
+        (False, "<footer><p>Filed under boats</p></footer>"),
+        (True, f"<p>{_MIDDLE}</p></article>"),
+    ],
+    [
+        (True, f"<article><p>{_MIDDLE}</p>"),
+        (False, "<footer><p>Filed under nets and ropes by the desk</p></footer></article></body>"),
+    ],
+    # Nothing but words.
+    [(True, "<p>Just words.</p>")],
+    [(True, f"<body><p>{_MIDDLE}</p></body>")],
+    [(True, f"<body><div>{_LONG}</div></body>")],
+    # No element tells: short lines belong to the text where long ones stand around them.
+    [
+        (False, "<body><div>Start</div><div>Our team</div><div>Find us</div>"),
+        (True, f"<div>{_LONG}{_MIDDLE}</div><div>Nobody spoke.</div><div>{_LONG}</div><div>Then it rained.</div><div>{_LONG}{_LONG}</div>"),
+        (False, "<div>Print</div><div>Send on</div><div>Top</div></body>"),
+    ],
+    [
+        (False, '<body><div><a href="/1">Boats</a> <a href="/2">Nets</a></div><div>Search</div><div>Your basket</div>'),
+        (True, f"<div>{_LONG}</div><div>So they went.</div><div>{_LONG}{_MIDDLE}</div><div>No answer.</div><div>{_LONG}</div>"),
+        (False, '<div>Rate this</div><div><a href="/m">More of the same</a></div><div><a href="/n">Older</a></div><div>Terms</div></body>'),
+    ],
+    [
+        (False, "<body><div>Open daily</div><div>Map</div>"),
+        (True, f"<div>{_LONG}{_LONG}</div><div>He laughed.</div><div>{_MIDDLE}{_LONG}</div>"),
+        (False, '<div><a href="/o">Order</a></div><div>Call us now</div><div><a href="/p">Partners</a></div></body>'),
+    ],
 ]

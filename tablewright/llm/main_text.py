@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -19,15 +20,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element names of HTML by what they mean here.
-RAW = frozenset("script style noscript template iframe object svg math canvas textarea select title".split())
+RAW = frozenset("script style template iframe object svg canvas textarea select title annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter output picture q "
-    "rp rt ruby s samp small source span strike strong sub sup time tt u var wbr br".split()
+    "rp rt ruby s samp small source span strike strong sub sup time tt u var wbr br "
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_PEERS = frozenset("p li dt dd tr td th option".split())
 
-# What class names, ids and roles say about an element, by their parts.
+# What class names, ids and roles say about an element. A name counts if one
+# of its parts is listed here and the others only say what kind of box it is: "ad-slot" is an
+# advert, "share-prices" and "has-sidebar" are not what one of their parts says.
+BOX_NAMES = frozenset(
+    "area articles block bottom box container content fixed global group holder inner item left links list main mobile outer "
+    "page panel posts stories "
+    "primary right row secondary section site slot sticky sub text top unit wrap wrapper".split()
+)
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner bar breadcrumb breadcrumbs comment comments "
     "consent cookie cookies copyright disqus footer form gdpr header login masthead menu menus modal nav navbar "
@@ -37,12 +47,14 @@ BOILERPLATE_NAMES = frozenset(
 )
 #: Those that an article or main element can be named, and those that name its own head.
 NOT_ARTICLES = frozenset("ad advert comment comments promo related replies reply sidebar sponsored".split())
+#: Those whose articles are not the page's own.
+HOLDERS = frozenset("comment comments disqus promo recommended related replies reply sidebar sponsored".split())
 HEADER_NAMES = frozenset("banner bar form header masthead".split())
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*+)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>|<[!?/a-zA-Z][^<]*+\Z",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>|<(?:[!?/a-zA-Z][^<]*+)?\Z",
     re.DOTALL,
 )
 _NAMING = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
@@ -64,37 +76,59 @@ class Block(NamedTuple):
 
 _ARTICLE_TAGS = frozenset(["article", "main"])
 _ASIDE_TAGS = frozenset(["nav", "aside", "form", "menu", "dialog", "button", "fieldset", "head"])
+_HOLDER_TAGS = frozenset(["nav", "aside", "menu", "dialog", "head"])
 _PART_TAGS = frozenset(["header", "footer"])
 
 
-def _names(attributes: str) -> set[str]:
-    found: set[str] = set()
+def _names(attributes: str) -> list[set[str]]:
+    """The parts of each class name, id and role."""
+    found = []
     for match in _NAMING.finditer(attributes):
         value = match[1] or match[2] or match[3] or ""
-        found.update(p.lower() for p in _PART.findall(value))
+        found += [{p.lower() for p in _PART.findall(name)} for name in value.split()]
     return found
 
 
-def _kind(tag: str, attributes: str, in_article: bool) -> tuple[int, int, int]:
-    """What an element makes of the blocks inside: article, aside, page part."""
-    names = _names(attributes) if "=" in attributes else set()
+class Kind(NamedTuple):
+    """What an element makes of the blocks inside."""
+
+    article: int = 0
+    aside: int = 0
+    part: int = 0
+    #: An aside that its articles belong to.
+    holder: int = 0
+
+
+@lru_cache(maxsize=1 << 12)
+def _kind(tag: str, attributes: str, in_article: bool) -> Kind:
     if tag in ("html", "body"):
-        return 0, 0, 0
-    told = names & (NOT_ARTICLES if tag in _ARTICLE_TAGS else BOILERPLATE_NAMES)
-    if in_article or names & CONTENT_NAMES:
+        return Kind()
+    names = _names(attributes) if "=" in attributes else []
+    listed = NOT_ARTICLES if tag in _ARTICLE_TAGS else BOILERPLATE_NAMES
+    told: set[str] = set()
+    for name in names:
+        if name & listed and name <= listed | BOX_NAMES | BOILERPLATE_NAMES:
+            told |= name & listed
+    content = any(name & CONTENT_NAMES for name in names)
+    if in_article or content:
         told -= HEADER_NAMES
-    aside = tag in _ASIDE_TAGS or bool(told)
-    aside = aside or bool(attributes) and bool(_HIDDEN.search(attributes))
-    article = not aside and (tag in _ARTICLE_TAGS or tag in ("div", "section") and bool(names & CONTENT_NAMES))
+    aside = tag in _ASIDE_TAGS or bool(told) or bool(attributes) and bool(_HIDDEN.search(attributes))
+    article = not aside and (tag in _ARTICLE_TAGS or tag in ("div", "section") and content)
     part = tag in _PART_TAGS and not in_article or tag == "footer"
-    return int(article), int(aside), int(part)
+    holder = aside and (tag in _HOLDER_TAGS or bool(told & HOLDERS))
+    return Kind(int(article), int(aside), int(part), int(holder))
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's blocks in order, references decoded and white space made single."""
+    """The page's blocks in order, references decoded and white space made single.
+
+    What stands around an article or a main element, a form or a wrapper with a name of
+    its layout, says nothing about what is inside; only that an article stands among
+    comments, teasers or the like does.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, tuple[int, int, int]]] = []
-    article = aside = part = heading = link = 0
+    stack: list[tuple[str, Kind, tuple[int, int]]] = []
+    article = aside = part = holder = heading = link = 0
     pieces: list[str] = []
     linked: list[str] = []
 
@@ -110,10 +144,10 @@ def blocks(page: str) -> list[Block]:
             linked.clear()
 
     def leave(depth: int) -> None:
-        nonlocal article, aside, part, heading
+        nonlocal article, aside, part, holder, heading
         while len(stack) > depth:
-            tag, kind = stack.pop()
-            article, aside, part = article - kind[0], aside - kind[1], part - kind[2]
+            tag, kind, (aside, part) = stack.pop()
+            article, holder = article - kind.article, holder - kind.holder
             heading -= tag in _HEADINGS
 
     at, size = 0, len(page)
@@ -145,7 +179,7 @@ def blocks(page: str) -> list[Block]:
             if "=" not in attributes or closing or tag in VOID:
                 continue
             # An inline element that is named or hidden counts as a block of its own.
-            if tag not in ("span", "small") or not _kind(tag, attributes, article > 0)[1]:
+            if tag not in ("span", "small") or not _kind(tag, attributes, article > 0).aside:
                 continue
         flush()
         if closing:
@@ -159,8 +193,11 @@ def blocks(page: str) -> list[Block]:
         if stack and tag in CLOSED_BY_PEERS and stack[-1][0] == tag or stack and stack[-1][0] == "p":
             leave(len(stack) - 1)
         kind = _kind(tag, attributes, article > 0)
-        stack.append((tag, kind))
-        article, aside, part = article + kind[0], aside + kind[1], part + kind[2]
+        stack.append((tag, kind, (aside, part)))
+        if kind.article and (tag == "main" or tag == "article" and not holder):
+            aside = part = 0
+        article, aside, part = article + kind.article, aside + kind.aside, part + kind.part
+        holder += kind.holder
         heading += tag in _HEADINGS
     flush()
     return found

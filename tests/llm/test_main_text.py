@@ -55,6 +55,48 @@ def test_unseen_page():
     assert text(page) == "Title <here>\nFirst bold and more text goes on.\nOne.\nTwo.\nA caption"
 
 
+def test_layout_wrappers_do_not_hide_an_article():
+    inside = "<h1>Title</h1><p>One paragraph of the article stands here.</p><p>Two.</p>"
+    want = "Title\nOne paragraph of the article stands here.\nTwo."
+    for name in ("has-sidebar", "content-with-menu", "layout-no-sidebar", "page-header-fixed", "social-wrapper", "site with-ads"):
+        for page in (f'<div class="{name}"><article>{inside}</article></div>', f'<body class="{name}"><main>{inside}</main></body>'):
+            assert text(page) == want, page
+    assert text(f"<form><article>{inside}</article></form>") == want
+    assert text(f"<header class='masthead'><article>{inside}</article></header>") == want
+
+
+def test_names_count_whole():
+    for name in ("id='related-work'", "class='share-prices'", "class='search-results'", "class='comment-free zone'", "id=noticeable"):
+        page = f"<article><p>A first paragraph.</p><div {name}><p>A paragraph that belongs here.</p></div></article>"
+        assert text(page) == "A first paragraph.\nA paragraph that belongs here.", name
+    for name in ("class='ad-slot'", "id='cookieNotice'", "class='x comment-list y'", "role=navigation", "class=site-footer", "class='sidebar-2'"):
+        page = f"<article><p>A first paragraph.</p><div {name}><p>A paragraph that does not belong.</p></div></article>"
+        assert text(page) == "A first paragraph.", name
+
+
+def test_articles_of_others_stay_out():
+    page = "<article><p>The text itself.</p></article><section class=comments><article><p>I say so too.</p></article></section>"
+    assert text(page + "<aside><article><p>A teaser.</p></article></aside>") == "The text itself."
+
+
+def test_formulas_and_plain_pages():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be.</p><noscript><p>Plain form.</p></noscript></article>"
+    assert text(page) == "Let x=2 be.\nPlain form."
+    assert text("<p>Just words.</p>") == "Just words."
+
+
+def splits(node):
+    return set() if isinstance(node, main_text.Leaf) else {main_text.FEATURES[node.feature]} | splits(node.low) | splits(node.high)
+
+
+def test_the_tree_asks_the_neighbours():
+    used = splits(TREE)
+    assert used & {"words before", "words after"} and used & {"link density before", "link density after", "words before", "words after"} >= {"words before"}
+    long = "Nobody in the town had ever seen so many boats on the lake as in the week before the great storm came. " * 2
+    page = f"<div>Opening hours</div><div>Jobs</div><div>{long}</div><div>It was late.</div><div>{long}</div><div>Save</div><div>Share it</div>"
+    assert "It was late." in text(page) and "Jobs" not in text(page) and "Share it" not in text(page)
+
+
 def test_odd_pages():
     assert text("") == "" and text("<") == "" and text("   ") == ""
     assert text("<article><p>a < b and c</article>") == "a < b and c"
