@@ -33,6 +33,8 @@ DEPTH = 5
 COMMON_STRINGS, COMMON_WORDS = 1 << 21, 1 << 20
 #: Bytes of text whose strings are counted at a time, and strings weighted at a time.
 COUNT_BYTES, WEIGHT_ROWS = 4 << 20, 1 << 19
+#: Bytes of texts, of one or of many documents, whose strings are looked up at a time.
+SCORE_BYTES = 1 << 20
 
 # Fixed values of the base score and of the held-out part.
 BASE_PRIOR = 0.1
@@ -259,6 +261,29 @@ def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[
     return values[at], keys[at] == wanted
 
 
+def _add_strings(
+    waiting: list[tuple[int, np.ndarray]], keys: np.ndarray, values: np.ndarray, scores: np.ndarray, rests: list[list[tuple]]
+) -> None:
+    """Add the values of some texts' strings to their rows' scores, and what is not there to their rests.
+
+    The texts' strings are made distinct together, so one that many documents share is
+    looked up once.
+    """
+    if not waiting:
+        return
+    of = np.repeat([i for i, _ in waiting], [len(part) for _, part in waiting])
+    found, at = np.unique(np.concatenate([part for _, part in waiting]), return_inverse=True)
+    value, here = _look_up(keys, values, found)
+    scores += np.bincount(of, np.where(here, value, 0.0)[at], len(scores))
+    if not here.all():
+        missing = ~here[at]
+        pairs, times = np.unique(of[missing] * len(found) + at[missing], return_counts=True)
+        rows, strings_of = pairs // len(found), found[pairs % len(found)]
+        firsts = np.append(np.flatnonzero(np.diff(rows, prepend=-1)), len(rows))
+        for first, last in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+            rests[rows[first]].append((STRING, strings_of[first:last], times[first:last]))
+
+
 def _score(words: tuple, tree: tuple):
     """A row for each text: sums over its common words and strings, and what is left to join."""
 
@@ -269,7 +294,9 @@ def _score(words: tuple, tree: tuple):
         rest_kind = pa.struct([("kind", pa.int8()), ("key", pa.int64()), ("times", pa.int64())])
         kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2]
         for batch in batches:
-            texts, rows, rests, bounds = batch.column(2).cast(pa.binary()), [], [], [0]
+            texts, rows = batch.column(2).cast(pa.binary()), []
+            rests: list[list[tuple]] = [[] for _ in range(batch.num_rows)]
+            scores, waiting, size = np.zeros(batch.num_rows), [], 0
             for i in range(batch.num_rows):
                 data = texts[i].as_py() or b""
                 counted: Counter[bytes] = Counter()
@@ -278,17 +305,20 @@ def _score(words: tuple, tree: tuple):
                 hashes, times = _word_hashes(counted), np.fromiter(counted.values(), np.int64, len(counted))
                 count, there = _look_up(word_keys, word_counts, hashes)
                 base = float(np.log10(count[there] + BASE_PRIOR) @ times[there])
-                left = [(WORD, hashes[~there], times[~there])]
-                score = 0.0
+                rests[i].append((WORD, hashes[~there], times[~there]))
                 for part in _parts(data):
-                    found, repeats = np.unique(part, return_counts=True)
-                    value, here = _look_up(keys, values, found)
-                    score += float(value[here] @ repeats[here])
-                    left.append((STRING, found[~here], repeats[~here]))
-                rests += [(k, x, t) for k, x, t in left if len(x)]
-                bounds.append(bounds[-1] + sum(len(x) for _, x, _ in left))
-                rows.append((row, None, None, len(data), int(times.sum()), int(times[there].sum()), base, score))
+                    waiting.append((i, part))
+                    size += len(part)
+                    if size >= SCORE_BYTES:
+                        _add_strings(waiting, keys, values, scores, rests)
+                        waiting, size = [], 0
+                rows.append([row, None, None, len(data), int(times.sum()), int(times[there].sum()), base, 0.0])
                 row += 1
+            _add_strings(waiting, keys, values, scores, rests)
+            for r, score in zip(rows, scores.tolist(), strict=True):
+                r[-1] = score
+            bounds = np.append(0, np.cumsum([sum(len(x) for _, x, _ in of_row) for of_row in rests]))
+            rests = [r for of_row in rests for r in of_row if len(r[1])]
             columns = [list(c) for c in zip(*rows, strict=True)] or [[] for _ in kinds]
             flat = [
                 np.concatenate([np.zeros(0, np.int8), *[np.full(len(x), k, np.int8) for k, x, _ in rests]]),
