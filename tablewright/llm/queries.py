@@ -142,6 +142,7 @@ def _mix_sql() -> str:
     """The mix in SQL, with every window over whole tables."""
     seeded = f"md5(concat_ws('/', '{mixing.SEED}', CAST(doc_id AS VARCHAR)))"
     started = f"md5(concat_ws('/', '{mixing.SEED}', source, CAST(shard AS VARCHAR)))"
+    whole_started = f"md5(concat_ws('/', '{mixing.SEED}', source))"
 
     def overlap(first: str, last: str) -> str:
         return f"greatest(0, least(high, {last}) - greatest(low, {first}))"
@@ -185,13 +186,24 @@ def _mix_sql() -> str:
     runs AS (
       SELECT g AS source, shard, ring, source_size, target, least(quota * block, ring * {mixing.MOST_PASSES}) AS run, block
       FROM {shards}, scale),
+    judged AS (
+      SELECT *, abs(sum(run) OVER (PARTITION BY source) - target) * 100 > target * {mixing.MOST_MISSED_PERCENT} AS one_ring,
+             CAST(coalesce(sum(ring) OVER (PARTITION BY source ORDER BY shard
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+      FROM runs),
     started AS (
-      SELECT *, CAST('0x' || substr({started}, 1, 8) AS BIGINT) % greatest(1, ring // block) * block AS start FROM runs),
+      SELECT source, shard, source_size, target,
+             CASE WHEN one_ring THEN source_size ELSE ring END AS ring,
+             CASE WHEN one_ring THEN CAST(round(target) AS BIGINT) ELSE run END AS run,
+             CASE WHEN one_ring THEN CAST('0x' || substr({whole_started}, 1, 8) AS BIGINT) % greatest(1, source_size)
+                  ELSE CAST('0x' || substr({started}, 1, 8) AS BIGINT) % greatest(1, ring // block) * block END AS start,
+             CASE WHEN one_ring THEN before ELSE 0 END AS behind
+      FROM judged),
     placed AS (
       SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY seeded, doc_id, size ROWS UNBOUNDED PRECEDING) AS high
       FROM keyed),
     joined AS (
-      SELECT p.doc_id, p.source, p.size, s.source_size, s.target, p.high - p.size AS low, p.high, s.ring, s.start,
+      SELECT p.doc_id, p.source, p.size, s.source_size, s.target, behind + p.high - p.size AS low, behind + p.high AS high, s.ring, s.start,
              s.run // greatest(s.ring, 1) AS passes, s.run % greatest(s.ring, 1) AS rest
       FROM placed AS p JOIN started AS s ON p.source IS NOT DISTINCT FROM s.source AND p.shard = s.shard)
     SELECT doc_id, size, source_size, target, source,

@@ -3,6 +3,8 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import duckdb
+import oracle
 from pyspark.sql import functions as F
 
 from tablewright.llm import mixing, queries
@@ -57,6 +59,18 @@ def test_query(spark, tables):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, queries.op5_source_mix(spark, tables).collect()))
 
 
+def test_query_equals_its_sql_where_blocks_do_not_fit(spark, folder):
+    """Sources of five short documents, of one, and of none with words, beside large ones."""
+    docs = [(i, "a b c d e f g h i j " * 40, f"s{i % 3}") for i in range(2000)]
+    docs += [(5000 + i, "x y z " * 9, "five") for i in range(5)] + [(6000, "one", "one"), (6001, "", "none"), (6002, "p q", None)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    got = queries.op5_source_mix(spark, folder)
+    assert oracle.difference(got, db, queries.ORACLES["op5_source_mix"]) is None
+    check_mix(got.collect(), docs)
+
+
 def test_seats_by_highest_quotients(spark):
     cases = [({0: 53, 1: 24, 2: 23}, 7), ({i: (i * 37) % 101 + 1 for i in range(30)}, 50), ({0: 10**6, **{i: 1 for i in range(1, 9)}}, 5), ({0: 0, 1: 5}, 4)]
     rows = [(g, p, v, n) for g, (votes, n) in enumerate(cases) for p, v in votes.items()]
