@@ -30,7 +30,8 @@ def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
 
     Numbers rise in file order and are unique, but have gaps.  They depend on how
     the files are split and keep filters from reaching the scan, so write the
-    numbered table and work on that.
+    numbered table and work on that. Parquet tables can be numbered without gaps
+    (:func:`tablewright.sources.tables.numbered_table`).
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 

@@ -279,11 +279,15 @@ def select_range_added(spark: SparkSession, folder: str) -> DataFrame:
     return rowset.add_range(Grid(orders, spec), chosen, 40, 11, "o_orderstatus <> 'O'")
 
 
-@query("SELECT * FROM customer WHERE FALSE")
+@query("SELECT c_custkey, c_name, FALSE AS selected FROM customer")
 def select_none_mode(spark: SparkSession, folder: str) -> DataFrame:
-    """A table whose rows cannot be selected has no selected rows."""
+    """A table whose rows cannot be selected has no selected rows, whatever is listed."""
     spec = GridSpec(columns=CUSTOMER.columns, row_id="c_custkey", selectable_rows="none")
-    return rowset.selected_rows(Grid(named_table(spark, folder, "customer"), spec), [1, 2])
+    customer = named_table(spark, folder, "customer")
+    listed = customer.where("c_custkey % 2 = 0")
+    chosen = rowset.selected_rows(Grid(customer, spec), listed).select(F.col("c_custkey").alias("chosen"))
+    marked = customer.join(chosen, F.col("c_custkey") == F.col("chosen"), "left")
+    return marked.select("c_custkey", "c_name", F.col("chosen").isNotNull().alias("selected"))
 
 
 # -- rules -------------------------------------------------------------------------
@@ -332,64 +336,66 @@ def dq_type_lossy(spark: SparkSession, folder: str) -> DataFrame:
     return checked.select("l_orderkey", "l_linenumber", F.col(VALID).alias("ok"))
 
 
-_NATIONS = "SELECT n_nationkey, CASE WHEN n_regionkey = 2 THEN NULL ELSE n_name END AS n_name, n_regionkey FROM nation"
+_SEGMENTS = """SELECT c_custkey, CASE WHEN c_nationkey % 5 <> 2 THEN c_mktsegment END AS c_mktsegment,
+       c_nationkey % 5 AS region FROM customer"""
 
 
-def _nations(spark: SparkSession, folder: str) -> DataFrame:
-    name = F.when(F.col("n_regionkey") != 2, F.col("n_name"))
-    return named_table(spark, folder, "nation").withColumn("n_name", name)
+def _segments(spark: SparkSession, folder: str) -> DataFrame:
+    region = F.col("c_nationkey") % 5
+    segment = F.when(region != 2, F.col("c_mktsegment")).alias("c_mktsegment")
+    return named_table(spark, folder, "customer").select("c_custkey", segment, region.alias("region"))
 
 
 @query(
-    f"""SELECT n_nationkey, array_to_string(list_filter([
-          CASE WHEN length(n_name) > 7 THEN 'n_name:max' END,
-          CASE WHEN n_regionkey NOT IN (1, 2) THEN 'n_regionkey:one_of' END
-        ], lambda x: x IS NOT NULL), ',') AS found FROM ({_NATIONS})"""
+    f"""SELECT c_custkey, array_to_string(list_filter([
+          CASE WHEN length(c_mktsegment) > 8 THEN 'c_mktsegment:max' END,
+          CASE WHEN region NOT IN (1, 2) THEN 'region:one_of' END
+        ], lambda x: x IS NOT NULL), ',') AS found FROM ({_SEGMENTS})"""
 )
 def dq_concat_partial(spark: SparkSession, folder: str) -> DataFrame:
     """Two rule sets joined, the later one's field winning, and none of them required."""
-    one = RecordRules((Field("n_name").max(7).required(), Field("n_regionkey", "int").one_of([9])))
-    other = RecordRules((Field("n_regionkey", "int").one_of([1, 2]).non_nullable(),))
+    one = RecordRules((Field("c_mktsegment").max(8).required(), Field("region", "int").one_of([9])))
+    other = RecordRules((Field("region", "int").one_of([1, 2]).non_nullable(),))
     rules = one.concat(other)
-    rules = RecordRules((rules["n_name"].not_required(), rules["n_regionkey"])).partial()
-    return _found(_nations(spark, folder), rules, "n_nationkey")
+    rules = RecordRules((rules["c_mktsegment"].not_required(), rules["region"])).partial()
+    return _found(_segments(spark, folder), rules, "c_custkey")
 
 
-@query("SELECT n_nationkey, n_regionkey, CAST(NULL AS VARCHAR) AS n_comment FROM nation WHERE n_regionkey < 3")
+@query("SELECT c_custkey, region, CAST(NULL AS VARCHAR) AS remark FROM (" + _SEGMENTS + ") WHERE region < 2")
 def dq_shape_strip(spark: SparkSession, folder: str) -> DataFrame:
     """A shape replaces and adds fields; a stripped field is checked and left out."""
-    rules = RecordRules((Field("n_regionkey", "int"), Field("n_name").required()))
+    rules = RecordRules((Field("region", "int"), Field("c_mktsegment").required()))
     rules = rules.shape(
-        Field("n_regionkey", "int").test("low", "${path}", lambda s: s.value < 3),
-        Field("n_name").required().strip(),
-        Field("n_comment").nullable(),
+        Field("region", "int").test("low", "${path}", lambda s: s.value < 3),
+        Field("c_mktsegment").required().strip(),
+        Field("remark").nullable(),
     )
-    nation = named_table(spark, folder, "nation").withColumn("n_comment", F.lit(None).cast("string"))
-    return valid_rows(nation, rules)
+    return valid_rows(_segments(spark, folder).withColumn("remark", F.lit(None).cast("string")), rules)
 
 
 @query(
-    """SELECT n_nationkey, upper(n_name) AS n_name, CASE WHEN n_regionkey = 2 THEN '' ELSE 'seen' END AS note
-       FROM nation"""
+    f"""SELECT c_custkey, upper(c_mktsegment) AS c_mktsegment, coalesce(note, '') AS note
+        FROM (SELECT c_custkey, lower(coalesce(c_mktsegment, 'none')) AS c_mktsegment,
+                     CASE WHEN c_mktsegment IS NOT NULL THEN 'seen' END AS note FROM ({_SEGMENTS}))"""
 )
 def dq_uppercase_ensure(spark: SparkSession, folder: str) -> DataFrame:
     """Capitals as a transform, and an empty text for an absent one."""
-    note = F.when(F.col("n_regionkey") != 2, F.lit("seen"))
-    lower = named_table(spark, folder, "nation").select(
-        "n_nationkey", F.lower("n_name").alias("n_name"), note.alias("note")
+    note = F.when(F.col("c_mktsegment").isNotNull(), F.lit("seen"))
+    lower = _segments(spark, folder).select(
+        "c_custkey", F.lower(F.coalesce("c_mktsegment", F.lit("none"))).alias("c_mktsegment"), note.alias("note")
     )
-    return valid_rows(lower, RecordRules((Field("n_name").uppercase(), Field("note").ensure())))
+    return valid_rows(lower, RecordRules((Field("c_mktsegment").uppercase(), Field("note").ensure())))
 
 
 @query(
-    f"""SELECT n_nationkey, n_name IS NOT NULL AS strict, TRUE AS loose, 'n_regionkey' AS unknown FROM ({_NATIONS})"""
+    f"""SELECT c_custkey, c_mktsegment IS NOT NULL AS strict, TRUE AS loose, 'region' AS unknown FROM ({_SEGMENTS})"""
 )
 def dq_optional(spark: SparkSession, folder: str) -> DataFrame:
     """A rule of presence, taken back by nullable and optional; columns that no rule names."""
-    strict = RecordRules((Field("n_name").defined(), Field("n_nationkey", "int")))
-    loose = RecordRules((Field("n_name").defined().nullable(), Field("n_nationkey", "int").optional()))
-    nations = _nations(spark, folder)
-    unknown = F.lit(",".join(strict.unknown_columns(nations)))
-    first = annotate(nations, strict).withColumnRenamed(VALID, "strict").drop(VIOLATIONS)
+    strict = RecordRules((Field("c_mktsegment").defined(), Field("c_custkey", "int")))
+    loose = RecordRules((Field("c_mktsegment").defined().nullable(), Field("c_custkey", "int").optional()))
+    segments = _segments(spark, folder)
+    unknown = F.lit(",".join(strict.unknown_columns(segments)))
+    first = annotate(segments, strict).withColumnRenamed(VALID, "strict").drop(VIOLATIONS)
     both = annotate(first, loose)
-    return both.select("n_nationkey", "strict", F.col(VALID).alias("loose"), unknown.alias("unknown"))
+    return both.select("c_custkey", "strict", F.col(VALID).alias("loose"), unknown.alias("unknown"))

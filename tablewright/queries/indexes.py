@@ -1,10 +1,11 @@
-"""Views read through what was stored for them: text index, stored order, bitmaps, kept facets."""
+"""Views read through what was stored for them, row numbers, comparators and JSON of any shape."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.operators.comparators import with_comparator_rank
 from tablewright.operators.facet_counts import (
     build_facet_bitmaps,
     counted_by_bitmaps,
@@ -18,8 +19,9 @@ from tablewright.queries.filters import _ANY_CUSTOMER, CUSTOMER, ORDERS
 from tablewright.queries.registry import query
 from tablewright.sources.order_index import build_order_index, indexed_page, indexed_page_info
 from tablewright.sources.scratch import scratch_path
-from tablewright.sources.tables import named_table
+from tablewright.sources.tables import named_table, numbered_table
 from tablewright.sources.text_index import build_text_index, indexed_grid
+from tablewright.sources.variants import variant_columns
 
 #: Files that a table is dealt to before it is indexed.
 FILES = 16
@@ -213,3 +215,76 @@ def cell_update_facets(spark: SparkSession, folder: str) -> DataFrame:
     fresh = F.when(moved, F.concat(F.lit("SEGMENT "), F.col("c_nationkey") % 3))
     updates = customer.where(moved | ended).select("c_custkey", fresh.alias("c_mktsegment"))
     return update_with_facets(grid, spark.read.parquet(path), "c_mktsegment", updates)[1]
+
+
+@query("SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) - 1 AS place FROM customer")
+def scan_row_ordinal(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows numbered by file and place in it, files in key order."""
+    path = scratch_path(spark, "customer")
+    customer = named_table(spark, folder, "customer")
+    customer.repartitionByRange(FILES, "c_custkey").sortWithinPartitions("c_custkey").write.parquet(path)
+    return numbered_table(spark, path, "place").select("c_custkey", "c_name", "place")
+
+
+@query(
+    """WITH texts AS (
+         SELECT event_id, CASE WHEN event_id % 9 = 0 THEN '{broken ' || props
+                               ELSE '{"in": {"a b": [' || CAST(user_id AS VARCHAR) || ', "' || event_type || '"]}, "props": ' || props || '}' END AS text
+         FROM events)
+       SELECT event_id,
+              CASE WHEN event_id % 9 <> 0 THEN json_extract_string(text, '$.props.k') END AS k,
+              CASE WHEN event_id % 9 <> 0 THEN json_extract_string(text, '$.in."a b"[1]') END AS kind,
+              CASE WHEN event_id % 9 <> 0 THEN CAST(json_extract_string(text, '$.in."a b"[0]') AS VARCHAR) END AS who,
+              CAST(NULL AS VARCHAR) AS none,
+              CASE WHEN event_id % 9 = 0 THEN text END AS unparsed
+       FROM texts"""
+)
+def json_any_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths into JSON of no known shape, through objects and arrays; what is no JSON stays a text."""
+    whole = F.concat(
+        F.lit('{"in": {"a b": ['), F.col("user_id").cast("string"), F.lit(', "'), "event_type", F.lit('"]}, "props": '), "props", F.lit("}")
+    )
+    broken = F.concat(F.lit("{broken "), "props")
+    texts = named_table(spark, folder, "events").select("event_id", F.when(F.col("event_id") % 9 == 0, broken).otherwise(whole).alias("text"))
+    paths = {"k": "props.k", "kind": "in.a b.1", "who": "in.a b.0", "none": "in.c"}
+    return variant_columns(texts, "text", paths, unparsed="unparsed")
+
+
+def _version_order(a: str, b: str) -> int:
+    """Releases by their numbers; a release in the making stands before the release."""
+    (a_number, _, a_early), (b_number, _, b_early) = a.partition("-"), b.partition("-")
+    left, right = ([int(x) for x in t.split(".")] for t in (a_number, b_number))
+    if left != right:
+        return -1 if left < right else 1
+    if a_early == b_early:
+        return 0
+    if not a_early or not b_early:
+        return -1 if a_early else 1
+    return -1 if a_early < b_early else 1
+
+
+_VERSIONS = """SELECT p_partkey, CASE WHEN p_partkey % 13 <> 0 THEN
+         CAST(p_size % 12 AS VARCHAR) || '.' || CAST(p_partkey % 11 AS VARCHAR) ||
+         CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN '-beta' ELSE '-alpha' END END AS version FROM part"""
+
+
+@query(
+    f"""SELECT p_partkey, version, row_number() OVER (ORDER BY
+          CAST(split_part(version, '.', 1) AS INTEGER) DESC NULLS LAST,
+          CAST(split_part(split_part(version, '-', 1), '.', 2) AS INTEGER) DESC NULLS LAST,
+          CASE WHEN version IS NULL THEN NULL WHEN contains(version, '-') THEN split_part(version, '-', 2) ELSE 'zz' END DESC NULLS LAST,
+          p_partkey) AS pos
+        FROM ({_VERSIONS})"""
+)
+def sort_comparator(spark: SparkSession, folder: str) -> DataFrame:
+    """Version order with pre-releases, by a comparator that is code; descending, ties by key."""
+    early = F.element_at(F.array(F.lit(""), F.lit("-beta"), F.lit("-alpha")), (F.col("p_partkey") % 3 + 1).cast("int"))
+    version = F.concat((F.col("p_size") % 12).cast("string"), F.lit("."), (F.col("p_partkey") % 11).cast("string"), early)
+    part = named_table(spark, folder, "part").select("p_partkey", F.when(F.col("p_partkey") % 13 != 0, version).alias("version"))
+    ranked = with_comparator_rank(part, "version", _version_order, "rank")
+    spec = GridSpec(
+        columns=("p_partkey", ColumnSpec("version", sort_key="rank"), ColumnSpec("rank", display="false")),
+        row_id="p_partkey",
+        sorts=(SortKey("version", "desc"),),
+    )
+    return Grid(ranked, spec).with_positions().select("p_partkey", "version", "pos")
