@@ -9,10 +9,12 @@ numbers like any other: rows of a hot value never meet in one task.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from functools import cmp_to_key
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +92,9 @@ def comparator_ranks(df: DataFrame, column: str, compare: Comparator, range_valu
     also where the comparator holds many of them equal.
     """
     spark = df.sparkSession
+    # The comparator goes to the tasks with its code, so executors need no copy of its module.
+    for module in {__name__, getattr(compare, "__module__", None)} - {"__main__", "builtins", None}:
+        cloudpickle.register_pickle_by_value(sys.modules[module])
     dtype = df.schema[column].dataType.simpleString()
     path = scratch_path(spark, "values")
     df.select(quoted(column).alias("value")).where("value is not null").distinct().write.parquet(path)

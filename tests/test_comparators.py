@@ -84,7 +84,7 @@ def test_paths_into_json_of_any_shape(spark):
 def test_the_text_is_parsed_once(spark):
     frame = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
     plan = variant_columns(frame, "text", {"a": "a", "b": "a.b", "c": "c"})._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parse_json(") == 1
+    assert plan.count("parseJson(") == 1
     typed = parsed(frame, "text").select(variant_cell(F.col("parsed"), "a", "int").alias("n"))
     assert [r.n for r in typed.collect()] == [None, 7, None, None, None, None, None, None, None]
 
