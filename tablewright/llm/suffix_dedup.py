@@ -26,6 +26,8 @@ from tablewright.llm.shared import written
 #: Bytes of a window, and of the short strings it is assigned by.
 LENGTH = 200
 SHORT = 32
+#: Windows that one stretch holds at most; only texts that repeat themselves have longer runs.
+RUN_WINDOWS = 4096
 #: Occurrences of one short string that a shard takes.
 SHARD_STRETCHES = 4000
 #: Bytes of different stretches that are sorted at a time (a shard more at most), bytes
@@ -83,7 +85,9 @@ def short_hashes(data: np.ndarray) -> np.ndarray:
 def _assign(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of windows with one short string, of texts laid end to end at ``bounds``.
 
-    Returns the text, the first and last window start in it, and the string's hash.
+    A text that repeats itself may hold the string at several places of one run, which
+    stays a run then (in pieces, if it is long). Returns the text, the first and last
+    window start in it, the string's hash, and whether it has several places there.
     """
     hashes = short_hashes(data)
     least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
@@ -98,33 +102,46 @@ def _assign(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     np.add.at(valid, starts, 1)
     np.add.at(valid, ends, -1)
     valid = np.cumsum(valid[:-1], dtype=np.int8) > 0
-    change = np.empty(len(chosen), bool)
+    short = hashes[chosen]
+    change, moved = np.empty(len(chosen), bool), np.zeros(len(chosen), np.int64)
     change[0] = True
-    np.not_equal(chosen[1:], chosen[:-1], out=change[1:])
+    np.not_equal(short[1:], short[:-1], out=change[1:])
     change[starts] = True
+    np.cumsum(chosen[1:] != chosen[:-1], out=moved[1:])
+
+    def bounded(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        text = np.searchsorted(starts, first, "right") - 1
+        return text, np.minimum(np.append(first[1:], len(chosen)), ends[text]) - 1
+
     first = np.flatnonzero(change & valid)
-    text = np.searchsorted(starts, first, "right") - 1
-    last = np.minimum(np.append(first[1:], len(chosen)), ends[text]) - 1
-    return text, first - starts[text], last - starts[text], hashes[chosen[first]]
+    text, last = bounded(first)
+    long = last - first >= RUN_WINDOWS
+    if long.any():
+        pieces = [np.arange(a, b + 1, RUN_WINDOWS) for a, b in zip(first[long].tolist(), last[long].tolist(), strict=True)]
+        first = np.sort(np.concatenate([first[~long], *pieces]))
+        text, last = bounded(first)
+    return text, first - starts[text], last - starts[text], short[first], moved[last] > moved[first]
 
 
 def _runs_of(batch: pa.RecordBatch, column: int) -> Iterator[tuple[list[bytes], np.ndarray, ...]]:
-    """The texts of a batch, and of each run of windows the text, first and last start, hash."""
+    """The texts of a batch, and of each run of windows the text, first and last start, hash, several places."""
     texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
     for docs, first, last in _pieces(np.array([len(t) for t in texts], np.int64)):
         joined = b"".join(texts[d][a:b] for d, a, b in zip(docs, first, last, strict=True))
         sizes = np.array(last) - np.array(first)
-        text, low, high, hashes = _assign(
+        text, low, high, hashes, several = _assign(
             np.frombuffer(joined, np.uint8), np.concatenate([[0], np.cumsum(sizes)])
         )
         base = np.array(first)[text]
-        yield texts, np.array(docs)[text], low + base, high + base, hashes
+        yield texts, np.array(docs)[text], low + base, high + base, hashes, several
 
 
 def _short_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for *_, hashes in _runs_of(batch, 0):
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["short"])
+        for *_, hashes, several in _runs_of(batch, 0):
+            # A string with several places in one run occurs twice there already.
+            found = np.repeat(hashes, 1 + several)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["short"])
 
 
 def _filter(shorts: DataFrame) -> np.ndarray:
@@ -138,8 +155,8 @@ def _filter(shorts: DataFrame) -> np.ndarray:
 
 
 def _stretches(table):
-    names = ["short", "stretch", "id_key", "text_key", "low"]
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["short", "stretch", "id_key", "text_key", "low", "several"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)
@@ -151,12 +168,12 @@ def _stretches(table):
         bits = table.value
         for batch in batches:
             ids, keys, rows, held = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], 0
-            for texts, of, low, high, hashes in _runs_of(batch, 2):
+            for texts, of, low, high, hashes, several in _runs_of(batch, 2):
                 at = hashes & np.uint64((1 << FILTER_BITS) - 1)
                 again = (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
-                found = (x[again].tolist() for x in (of, low, high, hashes.view(np.int64)))
-                for i, a, b, short in zip(*found, strict=True):
-                    rows.append((short, texts[i][a : b + LENGTH], ids[i], keys[i], a))
+                found = (x[again].tolist() for x in (of, low, high, hashes.view(np.int64), several))
+                for i, a, b, short, more in zip(*found, strict=True):
+                    rows.append((short, texts[i][a : b + LENGTH], ids[i], keys[i], a, more))
                     held += b + LENGTH - a
                 if held >= PASS_BYTES:
                     yield out(rows)
@@ -278,11 +295,13 @@ def common_prefixes(words: np.ndarray, starts: np.ndarray, counts: np.ndarray, o
     return shared[order]
 
 
-def repeated_windows(stretches: list[bytes], shorts: list[int]) -> tuple[np.ndarray, list[np.ndarray]]:
+def repeated_windows(
+    stretches: list[bytes], shorts: list[int], several: list[bool] | None = None
+) -> tuple[np.ndarray, list[np.ndarray]]:
     """The different stretches' number for each, and which of their windows occur twice among all.
 
-    Equal stretches speak for each other. Only where a stretch stands alone beside
-    others of its short string are suffixes sorted.
+    Equal stretches speak for each other. Suffixes are sorted where a stretch stands
+    alone beside others of its short string, or holds it at several places.
     """
     known: dict[bytes, int] = {}
     of = np.array([known.setdefault(s, len(known)) for s in stretches])
@@ -291,7 +310,9 @@ def repeated_windows(stretches: list[bytes], shorts: list[int]) -> tuple[np.ndar
     short[of] = shorts
     _, group = np.unique(short, return_inverse=True)
     alone = np.bincount(group, times == 1)
-    open_ = np.flatnonzero((alone > 0)[group] & (np.bincount(group) > 1)[group])
+    itself = np.zeros(len(known), bool)
+    itself[of] = False if several is None else several
+    open_ = np.flatnonzero((alone > 0)[group] & (np.bincount(group) > 1)[group] | itself & (times == 1))
     masks = [np.full(len(s) - LENGTH + 1, t > 1) for s, t in zip(known, times.tolist(), strict=True)]
     if len(open_):
         texts = list(known)
@@ -346,7 +367,8 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def resolve(rows: dict[str, list]) -> pa.RecordBatch:
         out: list[tuple] = []
         told: set[tuple[int, int, bytes]] = set()
-        of, masks = repeated_windows(rows["stretch"], rows["short"])
+        whole: set[tuple[int, int, int]] = set()  # stretches all of whose windows are told
+        of, masks = repeated_windows(rows["stretch"], rows["short"], rows["several"])
         spans = [
             [(0, len(m))] if m.all() else list(zip(*(x.tolist() for x in _runs(m)), strict=True)) for m in masks
         ]
@@ -354,8 +376,10 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, low = (rows["id_key"][i], rows["text_key"][i]), rows["low"][i]
             for a, b in spans[number]:
                 out.append((*key, low + a, low + b - 1 + LENGTH, None, None))
-            if rows["part"][i] < 0:
+            if rows["part"][i] < 0 or (rows["short"][i], rows["part"][i], number) in whole:
                 continue
+            if masks[number].all():
+                whole.add((rows["short"][i], rows["part"][i], number))
             # One digest for every distinct window of this shard; where it stands if it is single.
             data = rows["stretch"][i]
             for start, again in enumerate(masks[number].tolist()):
@@ -371,7 +395,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names
         )
 
-    fields = ["short", "part", "stretch", "id_key", "text_key", "low"]
+    fields = ["short", "part", "stretch", "id_key", "text_key", "low", "several"]
     held: dict[str, list] = {f: [] for f in fields}
     known: set[bytes] = set()
     size = 0
@@ -466,14 +490,14 @@ def remove_repeats(
     again = written(again, "short").table
     table = docs.sparkSession.sparkContext.broadcast(_filter(again))  # of fixed size
     stretches = long_enough.select("id_key", "text_key", "text").mapInArrow(
-        _stretches(table), "short long, stretch binary, id_key long, text_key long, low long"
+        _stretches(table), "short long, stretch binary, id_key long, text_key long, low long, several boolean"
     )
     # Strings for more than one shard; written, so that Spark knows how few they are.
     crowded = written(again.where(F.col("times") > shard_stretches).withColumnRenamed("short", "crowd"), "crowded").table
     parts = F.ceil(F.col("times") / shard_stretches)
     part = F.when(F.col("crowd").isNull(), -1).otherwise(F.pmod(F.xxhash64("id_key", "text_key"), parts))
     stretches = stretches.join(crowded, F.col("short") == F.col("crowd"), "left").select(
-        "short", part.cast("int").alias("part"), "stretch", "id_key", "text_key", "low"
+        "short", part.cast("int").alias("part"), "stretch", "id_key", "text_key", "low", "several"
     )
     found = (
         stretches.repartition("short", "part")

@@ -93,6 +93,46 @@ def test_long_texts_in_parts(spark):
     assert got[2].n_removed == 320 and bytes(got[2].kept) == b"START||END" and got[3].n_removed == 250
 
 
+def test_long_texts_that_repeat_themselves(spark):
+    n = 5 << 20
+    period = "".join(random.Random(1).choice("abcdefgh ") for _ in range(50))
+    docs = [(1, "x" * n), (2, period * (n // 50)), (3, "q" * 301 + "START" + period[7:] * 3), (4, "only once " + "y" * 200)]
+    got = {r.doc_id: r for r in sd.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).drop("kept").collect()}
+    assert got[1].n_removed == n and got[2].n_removed == n // 50 * 50
+    assert got[3].n_removed == 301 and got[4].n_removed == 0
+    data = np.frombuffer(docs[0][1].encode(), np.uint8)[: 1 << 17]
+    text, low, high, _, several = sd._assign(data, np.array([0, len(data)]))
+    assert len(text) == 32 and several.all() and (high - low).max() < sd.RUN_WINDOWS
+
+
+@pytest.mark.parametrize("run", [7, 4096])
+def test_runs_in_pieces(spark, monkeypatch, run):
+    monkeypatch.setattr(sd, "RUN_WINDOWS", run)
+    rng = random.Random(3)
+    docs = []
+    for i in range(60):
+        period = "".join(rng.choice("ab") for _ in range(rng.choice([1, 2, 3, 40, 90, 190, 250])))
+        docs.append((i, "".join(rng.choice("abc") for _ in range(rng.randrange(50))) + (period * 500)[: rng.randrange(150, 700)]))
+    found = sd.repeated_windows([d.encode() for _, d in docs if len(d) >= 200], [1] * sum(len(d) >= 200 for _, d in docs))
+    assert len(found[1]) <= 60
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    if run == 4096:  # pieces of other lengths are not known to tasks
+        assert rows_of(sd.remove_repeats(frame).drop("kept")) == brute(docs)
+    data = np.frombuffer("".join(d for _, d in docs).encode(), np.uint8)
+    bounds = np.cumsum([0] + [len(d) for _, d in docs])
+    keep = [k for k in range(60) if bounds[k + 1] - bounds[k] >= 200]
+    sizes = np.cumsum([0] + [bounds[k + 1] - bounds[k] for k in keep])
+    joined = np.concatenate([data[bounds[k] : bounds[k + 1]] for k in keep])
+    text, low, high, short, _ = sd._assign(joined, sizes)
+    starts = sorted((t, s) for t, a, b in zip(text, low, high) for s in range(a, b + 1))
+    assert starts == [(t, s) for t in range(len(keep)) for s in range(sizes[t + 1] - sizes[t] - 199)]
+    by_window = {}
+    for t, a, b, h in zip(text, low, high, short):
+        for at in range(a, b + 1):
+            window = joined[sizes[t] + at : sizes[t] + at + 200].tobytes()
+            assert by_window.setdefault(window, h) == h  # equal windows, equal short strings
+
+
 def test_edges(spark):
     docs = [(None, None), (1, ""), (None, "z" * 300), (2, "q " * 400), (2, "q " * 400), (3, "short")]
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"runs": F.lit(1), "short": F.lit("x")})
