@@ -97,8 +97,22 @@ PAGES: list[list[tuple[bool, str]]] = [
     ],
     # Nothing but words.
     [(True, "<p>Just words.</p>")],
+    [(True, "<p>Yes.</p>")],
+    [(True, "Word")],
+    [(True, "Three more words")],
     [(True, f"<body><p>{_MIDDLE}</p></body>")],
     [(True, f"<body><div>{_LONG}</div></body>")],
+    # Nothing but what is no text.
+    [(False, "<nav>Menu</nav>")],
+    [(False, f"<nav><ul>{_LINKS}</ul></nav>")],
+    [(False, f"<body><aside><p>{_LONG}</p></aside></body>")],
+    [(False, "<form><label>Name</label></form>")],
+    [(False, "<form>Name and address</form>")],
+    [(False, "<nav>Back to start</nav>")],
+    [(False, "<aside>See also</aside>")],
+    [(False, '<div class="cookie-banner">Agree</div>')],
+    [(False, "<footer>Imprint</footer>")],
+    [(False, f"<footer><p>{_MIDDLE}</p></footer>")],
     # No element tells: short lines belong to the text where long ones stand around them.
     [
         (False, "<body><div>Start</div><div>Our team</div><div>Find us</div>"),
