@@ -15,7 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tablewright.llm.merkle import numbered
 from tablewright.llm.shared import written
 
 SHARDS = 16
@@ -45,7 +47,7 @@ def _place(value: Column, low: Column, high: Column) -> Column:
 def points(
     docs: DataFrame, dimensions: dict[str, Column], id_col: str, text_col: str
 ) -> DataFrame:
-    """Rows ``doc_id``, ``size``, ``crc``, ``tie`` and one place per dimension.
+    """Rows ``doc_id``, ``size``, ``crc`` and one column per dimension, a number or a name.
 
     A null in a dimension is the lowest place, below all values.
     """
@@ -54,16 +56,37 @@ def points(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         text_crc(text).alias("crc"),
-        *[value.cast("double").alias(name) for name, value in dimensions.items()],
+        *[_plain(docs, value).alias(name) for name, value in dimensions.items()],
     )
 
 
+def _plain(docs: DataFrame, value: Column) -> Column:
+    """Numbers as doubles, anything else as text."""
+    kind = docs.select(value).schema[0].dataType
+    return value.cast("double") if isinstance(kind, T.NumericType) else value.cast("string")
+
+
+def _ranked(raw: DataFrame, name: str) -> DataFrame:
+    """Names become their rank among the distinct ones, so that as many as there are stand apart.
+
+    Names are made distinct per task first; ranks are written, so that Spark knows
+    their size and sends them to the tasks where they are few.
+    """
+    names = raw.select(F.col(name).alias("_name")).where("_name is not null").distinct()
+    ranks = written(numbered(names, "_name"), "ranks").table
+    joined = raw.join(ranks, F.col(name) == F.col("_name"), "left")
+    return joined.select(*[F.col("place").cast("double").alias(name) if c == name else c for c in raw.columns])
+
+
 def _placed(raw: DataFrame, names: Sequence[str], heavy: float) -> DataFrame:
-    """Numbers become places; equal texts get one point, unless they weigh too much together.
+    """Numbers and the ranks of names become places; equal texts get one point, unless they weigh too much together.
 
     Texts are held equal by length and checksum: two texts that agree in both are
     merely kept together. Only groups of more than one row are joined back.
     """
+    for n in names:
+        if isinstance(raw.schema[n].dataType, T.StringType):
+            raw = _ranked(raw, n)
     bounds = raw.agg(
         *[F.min(n).alias(f"low_{n}") for n in names], *[F.max(n).alias(f"high_{n}") for n in names]
     ).first()
@@ -184,14 +207,14 @@ def split(table: DataFrame, names: Sequence[str], shards: int) -> DataFrame:
     return cells.withColumnRenamed("cell", "shard")
 
 
-def number(sharded: DataFrame) -> DataFrame:
+def number(sharded: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Adds ``slot``, 0, 1, 2 and so on within each shard.
 
     Rows are numbered within buckets of a bounded number of rows and shifted by the
     sizes of the buckets before, so no task holds a shard.
     """
     rows = sharded.count()
-    buckets = max(1, -(-rows // (SLOT_ROWS * SHARDS)) * 4)
+    buckets = max(1, -(-rows // (SLOT_ROWS * shards)) * 4)
     bucket = F.pmod(F.xxhash64("doc_id", "crc", "size"), F.lit(buckets))
     dealt = sharded.withColumn("bucket", bucket)
     sizes = dealt.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
@@ -225,7 +248,7 @@ def shard_documents(
     raw = written(points(docs, dimensions, id_col, text_col), "points").table
     total = raw.agg(F.sum("size")).first()[0] or 0
     placed = written(_placed(raw, names, total / shards / GROUP_PARTS), "placed").table
-    return number(split(placed, names, shards)).select(
+    return number(split(placed, names, shards), shards).select(
         "doc_id",
         "size",
         F.col("crc").alias("text_crc32"),
@@ -237,16 +260,9 @@ def shard_documents(
 
 
 def text_dimensions(docs: DataFrame, source_col: str = "source", lang_col: str = "lang", text_col: str = "text") -> dict[str, Column]:
-    """The metadata of a documents table: where a source and a language stand, and the text's length.
+    """The metadata of a documents table: its source and language, by name, and the text's length.
 
-    Names are placed by their first characters, the length by its logarithm, so
-    nothing needs a pass over the data.
+    Names stand by their rank among the distinct ones, the length by its logarithm.
     """
-
-    def name_place(column: str) -> Column:
-        # The first six bytes as digits to the base 256.
-        head = F.rpad(F.substring(F.hex(F.encode(F.col(column).cast("string"), "UTF-8")), 1, 12), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-
     length = F.log2(F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)) + 1.0)
-    return {"source": name_place(source_col), "lang": name_place(lang_col), "length": length}
+    return {"source": F.col(source_col).cast("string"), "lang": F.col(lang_col).cast("string"), "length": length}

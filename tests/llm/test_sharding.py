@@ -84,6 +84,22 @@ def test_equal_texts_stay_together_and_heavy_groups_do_not(spark):
     assert all(abs(w - mean) < 0.1 * mean for w in weight.values())
 
 
+def test_sources_that_begin_alike_are_told_apart(spark):
+    """Of 99 sources with one language and one length, each lies in one shard or in two that touch."""
+    rows = [(i, f"{i:06d} " * 30, f"source_{i % 99:02d}", "en") for i in range(99 * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    raw = sharding.points(docs, sharding.text_dimensions(docs), "doc_id", "text")
+    placed = sharding._placed(raw, ["source", "lang", "length"], 1e9)
+    assert len({r.source for r in placed.select("source").distinct().collect()}) == 99
+    got = {r.doc_id: r.shard for r in sharding.shard_documents(docs, sharding.text_dimensions(docs)).collect()}
+    shards = defaultdict(set)
+    for i, _, source, _ in rows:
+        shards[source].add(got[i])
+    assert all(max(s) - min(s) <= 1 for s in shards.values())
+    firsts = [min(shards[s]) for s in sorted(shards)]
+    assert firsts == sorted(firsts) and len(set(got.values())) == 16
+
+
 def test_edges(spark):
     rows = [(1, None, None, None), (None, "", "s", "en"), (2, "é" * 5000, "s", None), (2, "é" * 5000, "s", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
