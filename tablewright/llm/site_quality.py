@@ -129,7 +129,7 @@ def _g2(hits: Column, rows: Column, of_kind: float, total: float) -> Column:
 def _emit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(0).cast(pa.binary()).to_pylist()
-        sets = [sorted(w for w in _vocabulary(t or b"") if 0 < len(w) <= 64) for t in texts]
+        sets = [sorted(_vocabulary(t or b"") - {b""}) for t in texts]
         words = [w for s in sets for w in s]
         sizes = [len(s) for s in sets]
         kinds = [np.repeat(batch.column(i).to_numpy(zero_copy_only=False), sizes) for i in (1, 2)]

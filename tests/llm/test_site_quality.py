@@ -111,3 +111,25 @@ def test_training_rows_are_bounded_where_an_id_repeats(spark, monkeypatch):
     seen.clear()
     model = sq.fit(docs, labels.where("doc_id IN (7, 500)"), train_rows=20)
     assert [n for n, _ in seen] == [20, 20] and abs(model.base - 19 / 20) < 1e-9
+
+
+def test_query_against_plain_python(spark, tables):
+    """Every number of the query from the fitted classifier's evidence, text by text."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    model = sq.fit(docs, spark.read.parquet(f"{tables}/labels.parquet"))
+    rows = docs.select("doc_id", "text", "source", "lang").collect()
+    evidence = [float(model.bad([r.text.encode() if r.text else None])[0]) for r in rows]
+    host_rate, path_rate = brute_rates([(r.source, r.lang, e) for r, e in zip(rows, evidence)])
+
+    def logit(p):
+        p = min(max(p, 1e-9), 1 - 1e-9)
+        return math.log(p / (1 - p))
+
+    got = {r.doc_id: r for r in queries.op8_site_quality(spark, tables).collect()}
+    assert len(got) == len(rows)
+    for r, e in zip(rows, evidence):
+        odds = logit(e) - logit(model.base) + logit(path_rate[r.source, r.lang])
+        bad, found = 1 / (1 + math.exp(-odds)), got[r.doc_id]
+        wanted = (e, host_rate[r.source], path_rate[r.source, r.lang], bad)
+        assert all(abs(a - b) < 1e-9 for a, b in zip((found.evidence, found.host_rate, found.path_rate, found.bad), wanted))
+        assert found.keep == (bad < sq.REJECT_FROM)
