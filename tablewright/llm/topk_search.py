@@ -35,8 +35,9 @@ SHARD_DOCS, SHARD_BYTES = 8192, 24 << 20
 QUERY_TERMS = 1 << 20
 #: Bits of the hash that index the filter of query terms: a fixed two megabytes.
 FILTER_BITS = 24
-#: Blocks that are scored before the first look at the bounds of the others.
-FIRST_BLOCKS = 4
+#: Blocks that are scored before the first look at the bounds of the others, and between
+#: two looks at most, so that the postings held at a time are few.
+FIRST_BLOCKS, MOST_BLOCKS = 4, 32
 #: One shard in so many is searched first.
 PILOT_PARTS = 8
 
@@ -106,7 +107,10 @@ def load(row: dict[str, bytes], mean_length: float) -> Shard:
     kinds = (np.int64, np.int64, np.uint64, np.int64, np.int32, np.int32)
     ids, lengths, terms, starts, docs, times = (np.frombuffer(row[f], k) for f, k in zip(_FIELDS, kinds, strict=True))
     share = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
-    gains = times * (K1 + 1) / (times + share[docs])
+    gains = share[docs]
+    gains += times
+    np.divide(times, gains, out=gains)
+    gains *= K1 + 1
     blocks = docs // BLOCK
     new = np.ones(len(docs), bool)
     new[1:] = blocks[1:] != blocks[:-1]
@@ -156,7 +160,7 @@ def best(
     queue = np.argsort(-bounds, kind="stable")
     queue = queue[bounds[queue] > 0]
     # Where a floor is known the first look need not be a small one.
-    ids, scores, scored, take = none[0], none[1], 0, FIRST_BLOCKS if not floor else len(queue)
+    ids, scores, scored, take = none[0], none[1], 0, FIRST_BLOCKS if not floor else MOST_BLOCKS
     while scored < len(queue):
         level = max(floor, scores[top - 1] if len(scores) >= top else 0.0)
         turn = queue[scored : scored + take]
@@ -175,7 +179,7 @@ def best(
         order = np.lexsort((ids, -scores))[:top]
         ids, scores = ids[order], scores[order]
         scored += len(turn)
-        take *= 4
+        take = min(4 * take, MOST_BLOCKS)
     return ids, scores, scored
 
 
