@@ -353,6 +353,8 @@ def score_documents(
     words and one end. A null text is an empty one: one token, a score of zero. A row
     without an id is held out. Repeated rows count and are scored each. With nothing
     to train on every bit is even. An empty table gives an empty result.
+    Texts are read whole, however long, and other
+    columns are not read, whatever they are called.
 
     Counts cover all training texts. How many strings and words are common enough to
     be sent to the tasks changes where a value comes from, never what it is.

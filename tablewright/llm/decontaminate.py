@@ -188,7 +188,8 @@ def contaminated(
     wordless items and documents match nothing; documents and items without an id
     are left out, as no row could name them. Repeated rows of a document (same
     id, same text) give one row; texts that share an id are judged each and give
-    the row of the best. Empty tables give an empty result.
+    the row of the best. Empty tables give an empty result. Texts are
+    read whole, however long, and other columns are not read, whatever they are called.
     """
     known = written(item_shingles(items, item_id_col, item_text_col, size), "items").table
     most = known.agg(F.max("count")).first()[0] or 1

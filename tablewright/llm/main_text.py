@@ -314,8 +314,8 @@ def main_texts(
 
     A null or empty page, or one without main text, has an empty text. Repeated rows
     stay; ids and urls pass through, nulls too; an empty table gives an empty result.
-    The whole page is read, however long; a page is handled by itself, so nothing is
-    shuffled.
+    The whole page is read, however long, and other columns are not, whatever they are
+    called; a page is handled by itself, so nothing is shuffled.
     """
     tree = train(labelled)
 

@@ -148,7 +148,7 @@ def mix(
     counted) and ``copies`` (how often the run covers its first word). A document
     at an end of its ring's run is taken in part; none is taken more than twice. Null sources are one source, rows without an id are
     placed by their size alone, repeated rows are separate documents, and texts
-    without words take part with nothing. No seed but the given one enters, so
+    without words take part with nothing, and texts count whole, however long. Other columns are not read, whatever they are called; an empty table gives an empty result. No seed but the given one enters, so
     reruns agree.
 
     A hot source lies in as many shards as any other, each of a bounded number of

@@ -243,6 +243,8 @@ def shard_documents(
     Rows without an id are placed like others; repeated rows are separate rows and
     get slots of their own. A shard is empty only where there are fewer rows than
     shards or equal rows outweigh it; an empty table gives an empty result.
+    Texts are read whole, however long, and other
+    columns are not read, whatever they are called.
     """
     names = list(dimensions)
     raw = written(points(docs, dimensions, id_col, text_col), "points").table

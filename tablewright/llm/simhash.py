@@ -199,7 +199,8 @@ def near_duplicates(
     id among the documents reachable. Null, empty and blank texts have fingerprint
     zero, which is linked like any other. Rows without an id get a component but
     name none; a component of such rows only has a null ``component_id``. Repeated
-    rows stay. An empty table gives an empty result.
+    rows stay. An empty table gives an empty result. Texts are read whole, however long, and other
+    columns are not read, whatever they are called.
 
     Equal fingerprints are one point, whatever the number of copies. The grid join
     has at most 33 rows per distinct fingerprint; a crowded grid point is resolved

@@ -362,6 +362,7 @@ def score(
     the rates are the posteriors of its host and path, ``bad`` joins them:
     odds(evidence) / odds(base rate) * odds(path rate). ``keep`` is false from
     ``REJECT_FROM`` on.
+    Texts are judged whole, however long; other columns are not read, whatever they are called.
     A null host or path is a site like any other. A null or empty text is judged by
     its form like any text. Repeated rows count each, and get a row each; an empty
     table gives an empty result.

@@ -475,7 +475,8 @@ def remove_repeats(
     break a character in two and so is binary. A null text is an empty one; texts
     shorter than a window stay whole; repeated rows are documents of their own and so
     remove each other; rows without an id are treated like others. An empty table
-    gives an empty result.
+    gives an empty result. Texts are read whole, however long, in parts that overlap;
+    other columns are not read, whatever they are called.
 
     Nothing is sampled or capped: strings with many occurrences are spread over
     shards by document and merged by the digests of their windows.

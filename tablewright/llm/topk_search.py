@@ -260,7 +260,8 @@ def search(
     document has, gives no rows. Null texts are empty; rows and queries without an id
     are left out, as no result could name them; a repeated row is a document of its
     own, a repeated query is asked once for each text. Empty tables give an empty
-    result. Words are told apart by 64-bit hashes.
+    result. Words are told apart by 64-bit hashes. Texts are read whole, however long,
+    and other columns are not read, whatever they are called.
 
     Queries go to the tasks in lots of a bounded number of terms, each lot against
     all shards: the work is queries times shards, as the task is.
