@@ -77,7 +77,7 @@ def as_held(value, dtype: T.DataType):
 
 def one_of(c: Column, values: tuple, dtype: T.DataType) -> Column:
     """The cell equals one of the chosen values; null matches a chosen null."""
-    wanted = [v for v in values if v is not None and comparable(v, dtype)]
+    wanted = [v for v in (as_held(v, dtype) for v in values) if v is not None]
     found = c.isin(*wanted) if wanted else F.lit(False)
     return found | c.isNull() if None in values else found
 
@@ -92,9 +92,10 @@ def array_has(c: Column, values: tuple, dtype: T.ArrayType, match_all: bool) ->
     def has(v) -> Column:
         if v is None:
             return F.exists(c, lambda x: x.isNull())
-        if not comparable(v, element):
+        held = as_held(v, element)
+        if held is None:
             return F.lit(False)
-        return F.coalesce(F.array_contains(c, F.lit(v)), F.lit(False))
+        return F.coalesce(F.array_contains(c, F.lit(held).cast(element)), F.lit(False))
 
     held = reduce(and_ if match_all else or_, [has(v) for v in values])
     return F.when(c.isNull(), F.lit(None in values)).otherwise(held)

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field, fields, replace
 from decimal import Decimal
 from typing import Any
 
+# The names of options and modes.
 DISPLAY_MODES = ("true", "false", "excluded", "always")
 FILTER_KINDS = ("dropdown", "checkbox", "multiselect", "textField", "custom")
 DIRECTIONS = ("asc", "desc", "none")
