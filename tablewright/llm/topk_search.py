@@ -1,12 +1,14 @@
 """Exact top-k search by BM25 with block-max WAND pruning.
 
 The rows searched are cut into shards, each an inverted index written as one row.
-In a shard, documents stand in blocks of ``BLOCK`` and every term has its highest
-contribution in each block. For a query the maxima add up to a bound for each
-block; blocks are visited from the highest bound down, and those whose bound does
-not reach the k-th best score so far are never scored. Statistics (number of
-documents, mean length, document frequencies) are global, so scores of all shards
-compare and their best merge exactly.
+In a shard, documents stand in blocks of ``BLOCK`` and every frequent term has its
+highest contribution in each block. For a query the maxima add up to a bound of what
+its frequent terms give to a block's documents, and the postings of its rare terms,
+which are few, tell exactly what these add. Documents whose bound does not reach the
+k-th best score so far, and so whole blocks, are never scored; where too many are left,
+sums in single precision bound them closer first. Statistics (number of documents, mean
+length, document frequencies) are global, so scores of all shards compare and their
+best merge exactly.
 """
 
 from __future__ import annotations
@@ -33,13 +35,14 @@ BLOCK = 32
 SHARD_DOCS, SHARD_BYTES = 8192, 24 << 20
 #: Terms of queries that are sent to the tasks at a time: 16 bytes each.
 QUERY_TERMS = 1 << 20
-#: Bits of the hash that index the filter of query terms: a fixed two megabytes.
-FILTER_BITS = 24
-#: Blocks that are scored before the first look at the bounds of the others, and between
-#: two looks at most, so that the postings held at a time are few.
-FIRST_BLOCKS, MOST_BLOCKS = 4, 32
-#: One shard in so many is searched first.
-PILOT_PARTS = 8
+#: A term is frequent that one in so many of a shard's documents has; their contributions
+#: stand in tables of so many bytes at most, the most frequent first.
+FREQUENT, TABLE_BYTES = 16, 32 << 20
+#: Documents that are scored before the first look at the bounds of the others, between two
+#: looks at most, and so many that closer bounds are worth their while.
+FIRST_DOCS, MOST_DOCS, MANY_DOCS = 32, 512, 64
+#: Shards are searched in parts, so many at most first, and then so many times those before.
+PILOT_SHARDS, PILOT_PARTS = 8, 8
 
 
 def terms_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -53,41 +56,57 @@ def terms_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _build(ids: list[int], texts: list[bytes]) -> tuple:
-    """One shard's postings, by term and then document, as bytes of arrays."""
-    found = [terms_of(t) for t in texts]
+    """One shard's postings, by term and then document, as arrays."""
+    return _postings(ids, [terms_of(t) for t in texts])
+
+
+def _postings(ids: list[int], found: list[tuple[np.ndarray, np.ndarray]]) -> tuple:
+    """The same from each text's terms, a list that is emptied, as it is held twice otherwise."""
     sizes = [len(h) for h, _ in found]
+    lengths = np.array([int(t.sum()) for _, t in found], np.int64)
     hashes = np.concatenate([np.zeros(0, np.uint64), *[h for h, _ in found]])
     times = np.concatenate([np.zeros(0, np.int32), *[t for _, t in found]])
-    docs = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-    order = np.lexsort((docs, hashes))
-    hashes = hashes[order]
-    terms, starts = np.unique(hashes, return_index=True)
-    lengths = np.array([int(t.sum()) for _, t in found], np.int64)
-    arrays = (np.array(ids, np.int64), lengths, terms, starts.astype(np.int64), docs[order], times[order])
-    return tuple(a.tobytes() for a in arrays)
+    found.clear()
+    # Documents ascend as they stand.
+    order = np.argsort(hashes, kind="stable")
+    hashes, times = hashes[order], times[order]
+    docs = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    starts = np.flatnonzero(new)
+    return np.array(ids, np.int64), lengths, hashes[starts], starts.astype(np.int64), docs, times
 
 
 _FIELDS = ("ids", "lengths", "terms", "starts", "docs", "times")
 _INDEX = ", ".join(f"{f} binary" for f in _FIELDS)
 
 
+def _cell(values: np.ndarray) -> pa.Array:
+    """One binary value: the bytes of an array, not copied."""
+    ends = pa.py_buffer(np.array([0, values.nbytes], np.int32))
+    return pa.Array.from_buffers(pa.binary(), 1, [None, ends, pa.py_buffer(values)])
+
+
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in _build(ids, texts)], names=list(_FIELDS))
+    def out(ids: list[int], found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        # Texts of about as many words share blocks, so that maxima are close to contributions.
+        order = sorted(range(len(ids)), key=[int(t.sum()) for _, t in found].__getitem__)
+        ids, found[:] = [ids[i] for i in order], [found[i] for i in order]
+        return pa.RecordBatch.from_arrays([_cell(x) for x in _postings(ids, found)], names=list(_FIELDS))
 
-    ids, texts, held = [], [], 0
+    ids, found, held = [], [], 0
     for batch in batches:
         column = batch.column(1).cast(pa.binary())
         for i, doc in enumerate(batch.column(0).to_pylist()):
             data = column[i].as_py() or b""
             ids.append(doc)
-            texts.append(data)
+            found.append(terms_of(data))
             held += len(data)
             if len(ids) == SHARD_DOCS or held >= SHARD_BYTES:
-                yield out(ids, texts)
-                ids, texts, held = [], [], 0
+                yield out(ids, found)
+                ids, found, held = [], [], 0
     if ids:
-        yield out(ids, texts)
+        yield out(ids, found)
 
 
 class Shard(NamedTuple):
@@ -98,12 +117,14 @@ class Shard(NamedTuple):
     docs: np.ndarray
     gains: np.ndarray
     spans: np.ndarray  # of each term among the maxima
-    blocks: np.ndarray
-    peaks: np.ndarray
     firsts: np.ndarray  # of each maximum among the postings
+    columns: np.ndarray  # of each frequent term in the tables, -1 for others
+    table: np.ndarray  # of each frequent term the contributions to all documents
+    coarse: np.ndarray  # the same in single precision
+    maxima: np.ndarray  # of each frequent term the highest contribution in each block
 
 
-def load(row: dict[str, bytes], mean_length: float) -> Shard:
+def load(row: dict[str, bytes | pa.Buffer | np.ndarray], mean_length: float) -> Shard:
     kinds = (np.int64, np.int64, np.uint64, np.int64, np.int32, np.int32)
     ids, lengths, terms, starts, docs, times = (np.frombuffer(row[f], k) for f, k in zip(_FIELDS, kinds, strict=True))
     share = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
@@ -116,24 +137,34 @@ def load(row: dict[str, bytes], mean_length: float) -> Shard:
     new[1:] = blocks[1:] != blocks[:-1]
     new[starts] = True
     firsts = np.flatnonzero(new)
-    peaks = np.maximum.reduceat(gains, firsts) if len(firsts) else gains
+    edges = np.append(starts, len(docs))
+    spans = np.append(np.searchsorted(firsts, starts), len(firsts))
+    df = np.diff(edges)
+    frequent = np.flatnonzero(df * FREQUENT >= len(ids))
+    frequent = frequent[np.argsort(-df[frequent], kind="stable")[: TABLE_BYTES // (12 * max(1, len(ids)))]]
+    columns = np.full(len(terms), -1, np.int32)
+    columns[frequent] = np.arange(len(frequent))
+    table = np.zeros((len(frequent), len(ids)))
+    for row_of, term in zip(table, frequent):
+        span = slice(edges[term], edges[term + 1])
+        row_of[docs[span]] = gains[span]
+    corners = np.arange(0, len(ids), BLOCK)
+    maxima = np.maximum.reduceat(table, corners, axis=1) if len(ids) else table
     return Shard(
-        ids,
-        terms,
-        docs,
-        gains,
-        np.append(np.searchsorted(firsts, starts), len(firsts)),
-        blocks[firsts],
-        peaks,
-        np.append(firsts, len(docs)),
+        ids, terms, docs, gains, spans, np.append(firsts, len(docs)), columns, table, table.astype(np.float32), maxima
     )
 
 
-def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the ranges, one after the other, and which range each is from."""
-    sizes = ends - starts
-    of = np.repeat(np.arange(len(starts)), sizes)
-    return np.arange(len(of)) + np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes), of
+def _partial(shard: Shard, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """What some terms contribute to each document."""
+    starts = shard.firsts[shard.spans[at]]
+    sizes = shard.firsts[shard.spans[at + 1]] - starts
+    ends = np.cumsum(sizes)
+    postings = np.repeat(starts - (ends - sizes), sizes)
+    postings += np.arange(len(postings))
+    gains = np.repeat(weights, sizes)
+    gains *= shard.gains[postings]
+    return np.bincount(shard.docs[postings], gains, len(shard.ids))
 
 
 def best(
@@ -144,58 +175,87 @@ def best(
     Only documents that share a term with the query count, and none below ``floor``;
     of equal scores the smaller id comes first.
     """
-    none = np.zeros(0, np.int64), np.zeros(0), 0
-    if not len(shard.terms) or not len(terms):
-        return none
+    return best_at(shard, places(shard, terms), weights, top, floor)
+
+
+def places(shard: Shard, terms: np.ndarray) -> np.ndarray:
+    """Where terms stand among the shard's, -1 for those it does not have."""
+    if not len(shard.terms):
+        return np.full(len(terms), -1)
     at = np.minimum(np.searchsorted(shard.terms, terms), len(shard.terms) - 1)
-    here = shard.terms[at] == terms
+    return np.where(shard.terms[at] == terms, at, -1)
+
+
+def best_at(
+    shard: Shard, at: np.ndarray, weights: np.ndarray, top: int, floor: float = 0.0
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """As ``best``, of a query whose terms have been placed."""
+    here = at >= 0
     at, weights = at[here], weights[here]
-    entries, of = _ranges(shard.spans[at], shard.spans[at + 1])
-    if not len(entries):
-        return none
-    of_block = shard.blocks[entries]
-    bounds = np.bincount(of_block, weights[of] * shard.peaks[entries])
+    ids, scores = np.zeros(0, np.int64), np.zeros(0)
+    if not len(at):
+        return ids, scores, 0
+    column = shard.columns[at]
+    common = column >= 0
+    column, wide = column[common], weights[common]
+    # A rare term has about one posting in a block, which says as much as its maximum.
+    partial = _partial(shard, at[~common], weights[~common])
+    bounds = np.repeat(wide @ shard.maxima[column], BLOCK)[: len(partial)]
     # Sums in another order may differ in the last digits.
-    bounds *= 1 + 1e-9
-    queue = np.argsort(-bounds, kind="stable")
-    queue = queue[bounds[queue] > 0]
-    # Where a floor is known the first look need not be a small one.
-    ids, scores, scored, take = none[0], none[1], 0, FIRST_BLOCKS if not floor else MOST_BLOCKS
-    while scored < len(queue):
-        level = max(floor, scores[top - 1] if len(scores) >= top else 0.0)
-        turn = queue[scored : scored + take]
-        turn = turn[bounds[turn] >= level]
-        if not len(turn):
-            break
-        wanted = np.zeros(len(bounds), bool)
-        wanted[turn] = True
-        chosen = wanted[of_block]
-        picked = entries[chosen]
-        postings, of_entry = _ranges(shard.firsts[picked], shard.firsts[picked + 1])
-        docs = shard.docs[postings]
-        sums = np.bincount(docs, weights[of[chosen]][of_entry] * shard.gains[postings])
-        new = np.flatnonzero((sums > 0) & (sums >= floor))
-        ids, scores = np.concatenate([ids, shard.ids[new]]), np.concatenate([scores, sums[new]])
+    upper = (partial + bounds) * (1 + 1e-9)
+    level, scored = floor, np.zeros(len(partial), bool)
+
+    def score(turn: np.ndarray) -> None:
+        nonlocal ids, scores, level
+        scored[turn] = True
+        sums = partial[turn] + wide @ shard.table[np.ix_(column, turn)]
+        good = (sums > 0) & (sums >= level)
+        ids, scores = np.concatenate([ids, shard.ids[turn[good]]]), np.concatenate([scores, sums[good]])
         order = np.lexsort((ids, -scores))[:top]
         ids, scores = ids[order], scores[order]
-        scored += len(turn)
-        take = min(4 * take, MOST_BLOCKS)
-    return ids, scores, scored
+        if len(scores) >= top:
+            level = max(level, scores[top - 1] * (1 - 1e-9))
+
+    if not floor and len(upper) > FIRST_DOCS:
+        # The most promising documents tell how good the others must be.
+        first = np.argpartition(-upper, FIRST_DOCS)[:FIRST_DOCS]
+        score(first[upper[first] > 0])
+    queue = np.flatnonzero((upper > 0) & (upper >= level) & ~scored)
+    if len(queue) > MANY_DOCS and len(column):
+        # Closer bounds: single precision loses a part in 2 ** 24 with each sum and product.
+        closer = partial + wide.astype(np.float32) @ shard.coarse[column]
+        closer *= 1 + (len(column) + 4) * 2.0**-22
+        queue = queue[closer[queue] >= level]
+        upper = closer
+    queue = queue[np.argsort(-upper[queue])]
+    take = FIRST_DOCS
+    while len(queue) and upper[queue[0]] >= level:
+        turn, queue = queue[:take], queue[take:]
+        score(turn[upper[turn] >= level])
+        take = min(4 * take, MOST_DOCS)
+    return ids, scores, len(np.unique(np.flatnonzero(scored) // BLOCK))
 
 
 def _search(queries, mean_length: float, top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, offsets, terms, weights, floors = queries.value
+        numbers, offsets, vocabulary, terms, weights, floors = queries.value
+        floors = floors.copy()
         for batch in batches:
             for i in range(batch.num_rows):
-                shard = load({f: batch.column(j)[i].as_py() for j, f in enumerate(_FIELDS)}, mean_length)
+                shard = load({f: batch.column(j)[i].as_buffer() for j, f in enumerate(_FIELDS)}, mean_length)
+                at = places(shard, vocabulary)
                 of, ids, scores = [], [], []
                 for q, number in enumerate(numbers.tolist()):
                     a, b = offsets[q], offsets[q + 1]
-                    found, values, _ = best(shard, terms[a:b], weights[a:b], top, floors[q])
+                    found, values, _ = best_at(shard, at[terms[a:b]], weights[a:b], top, floors[q])
+                    if len(found) >= top:
+                        # The same sum in another shard may differ in its last digits.
+                        floors[q] = max(floors[q], values[top - 1] * (1 - 1e-9))
                     of.append(np.full(len(found), number, np.int64))
                     ids.append(found)
                     scores.append(values)
+                # Before the next one is loaded.
+                del shard, at
                 if of:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(x)) for x in (of, ids, scores)], names=["query", "doc_id", "score"]
@@ -215,32 +275,14 @@ def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _frequencies(table):
-    """Document frequencies within each shard of terms that pass the filter."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = table.value
-        for batch in batches:
-            for terms, starts, size in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                terms, starts = np.frombuffer(terms, np.uint64), np.frombuffer(starts, np.int64)
-                df = np.diff(np.append(starts, size // 4))
-                at = terms >> np.uint64(64 - FILTER_BITS)
-                passed = (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms[passed].view(np.int64)), pa.array(df[passed])], names=["term", "df"]
-                )
-
-    return run
-
-
-def _filter(terms: DataFrame) -> np.ndarray:
-    lead = F.shiftrightunsigned("term", 64 - FILTER_BITS)
-    bit = f"bit_or(shiftleft(1L, cast(shiftrightunsigned(term, {64 - FILTER_BITS}) & 63 as int)))"
-    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    rows = terms.groupBy(F.shiftright(lead, 6).alias("word")).agg(F.expr(bit).alias("bits"))
-    for row in rows.collect():  # 2**18 rows at most
-        table[row["word"]] = row["bits"]
-    return table.view(np.uint64)
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Document frequencies within each shard of all its terms, whether queries ask for them or not."""
+    for batch in batches:
+        for terms, starts, size in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            df = np.diff(np.append(np.frombuffer(starts, np.int64), size // 4))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.frombuffer(terms, np.int64)), pa.array(df)], names=["term", "df"]
+            )
 
 
 def search(
@@ -277,13 +319,13 @@ def search(
     terms = written(asked.select("query", "text").mapInArrow(_query_terms, "query long, term long, times int").distinct(), "asked").table
     context = docs.sparkSession.sparkContext
     frequencies = index.select("terms", "starts", F.octet_length("docs").alias("size")).mapInArrow(
-        _frequencies(context.broadcast(_filter(terms))), "term long, df long"
+        _frequencies, "term long, df long"
     )
     # Lengths and ids are arrays of eight-byte numbers.
-    count, length = (
+    count, length, shards = (
         index.select(F.octet_length("ids").alias("n"), "lengths")
         .mapInArrow(_lengths, "n long, length long")
-        .agg(F.sum("n"), F.sum("length"))
+        .agg(F.sum("n"), F.sum("length"), F.count("*"))
         .first()
     )
     count, length = count or 0, length or 0
@@ -296,7 +338,10 @@ def search(
     lots = max(1, -(-total * 5 // (query_terms * 4)))
     weighted = written(weighted.withColumn("lot", F.pmod(F.xxhash64("query"), F.lit(lots))), "weights").table
     mean = length / count if count else 0.0
-    pilot = F.pmod(F.xxhash64("shard"), F.lit(PILOT_PARTS)) == 0
+    ends = [1]
+    while shards > PILOT_SHARDS * ends[-1]:
+        ends.append(ends[-1] * PILOT_PARTS)
+    place = F.pmod(F.xxhash64("shard"), F.lit(ends[-1]))
     found: list[DataFrame] = []
 
     def ask(shards: DataFrame, asked_now: tuple) -> DataFrame:
@@ -309,15 +354,18 @@ def search(
         columns = [rows.column(i).to_numpy() for i in range(3)]
         order = np.lexsort((columns[1].view(np.uint64), columns[0]))
         numbers, starts = np.unique(columns[0][order], return_index=True)
-        lot_terms = (numbers, np.append(starts, len(order)), columns[1][order].view(np.uint64), columns[2][order])
-        # A part of the shards tells how good a document must be to be worth a row elsewhere.
-        first = ask(index.where(pilot), (*lot_terms, np.zeros(len(numbers))))
-        ranked = first.withColumn("rank", F.row_number().over(by_score))
-        known = ranked.where(F.col("rank") == top).select("query", "score").toArrow()
-        floors = np.zeros(len(numbers))
-        floors[np.searchsorted(numbers, known.column(0).to_numpy())] = known.column(1).to_numpy()
-        # The same sum in another shard may differ in its last digits.
-        found += [first, ask(index.where(~pilot), (*lot_terms, floors * (1 - 1e-9)))]
+        vocabulary, term = np.unique(columns[1][order].view(np.uint64), return_inverse=True)
+        lot_terms = (numbers, np.append(starts, len(order)), vocabulary, term.astype(np.int32), columns[2][order])
+        floors, hits = np.zeros(len(numbers)), []
+        for begin, end in zip([0, *ends], ends):
+            if hits:
+                # The shards so far tell how good a document must be to be worth a row elsewhere.
+                ranked = reduce(DataFrame.unionByName, hits).withColumn("rank", F.row_number().over(by_score))
+                kept = ranked.where(F.col("rank") == top).select("query", "score").toArrow()
+                # The same sum in another shard may differ in its last digits.
+                floors[np.searchsorted(numbers, kept.column(0).to_numpy())] = kept.column(1).to_numpy() * (1 - 1e-9)
+            hits.append(ask(index.where((place >= begin) & (place < end)), (*lot_terms, floors)))
+        found += hits
     results = reduce(DataFrame.unionByName, found)
     ranked = results.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top)
     return ranked.join(asked.select("query", "query_id").distinct(), "query").select("query_id", "rank", "doc_id", "score")

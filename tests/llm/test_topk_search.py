@@ -97,3 +97,53 @@ def test_edges(spark):
     assert ts.search(docs, docs.where("false")).collect() == []
     assert ts.search(docs.where("false"), docs).collect() == []
     assert [(r.query_id, r.doc_id) for r in ts.search(docs, docs).collect()] == [(1, 1)]
+
+
+def test_few_documents_of_a_long_query_are_scored():
+    rng = np.random.default_rng(6)
+    share = 1 / np.arange(1, 2001)
+    texts = [b" ".join(b"w%d" % x for x in rng.choice(2000, 200, p=share / share.sum())) for _ in range(1600)]
+    shard = ts.load(dict(zip(ts._FIELDS, ts._build(list(range(1600)), texts))), 200.0)
+    assert (shard.columns >= 0).any()
+    edges = shard.firsts[shard.spans]
+    df = np.diff(edges)
+    blocks = 0
+    for q in range(0, 1600, 50):
+        terms, times = ts.terms_of(texts[q])
+        at = np.searchsorted(shard.terms, terms)
+        weights = times * np.log1p((1600 - df[at] + 0.5) / (df[at] + 0.5))
+        exact = np.zeros(1600)
+        for t, w in zip(at, weights):
+            span = slice(edges[t], edges[t + 1])
+            exact[shard.docs[span]] += w * shard.gains[span]
+        want = np.lexsort((np.arange(1600), -exact))[:10]
+        for floor in (0.0, exact[want[-1]] * (1 - 1e-9)):
+            ids, scores, scored = ts.best(shard, terms, weights, 10, floor)
+            assert np.allclose(scores, exact[want], rtol=1e-12) and ids.tolist() == want.tolist()
+        blocks += scored
+    # Ten documents stand in as many blocks of the fifty; blocks' maxima alone rule out hardly one.
+    assert blocks < 32 * 25
+
+
+def test_every_term_of_a_shard_is_a_row_of_document_frequencies(spark):
+    docs = [(1, "a b"), (2, "b c"), (3, None), (4, "a a b")]
+    index = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).mapInArrow(ts._index, ts._INDEX)
+    rows = (
+        index.select("terms", "starts", F.octet_length("docs").alias("size"))
+        .mapInArrow(ts._frequencies, "term long, df long")
+        .collect()
+    )
+    hashes = ts.terms_of(b"a b c")[0].view(np.int64).tolist()
+    want = {h: {b"a": 2, b"b": 3, b"c": 1}[w] for w in (b"a", b"b", b"c") for h in ts.terms_of(w)[0].view(np.int64).tolist()}
+    assert sorted(hashes) == sorted(r.term for r in rows) and {r.term: r.df for r in rows} == want
+
+
+def test_parts_of_the_shards_follow_each_other(spark, monkeypatch):
+    monkeypatch.setattr(ts, "PILOT_SHARDS", 1)
+    monkeypatch.setattr(ts, "PILOT_PARTS", 2)
+    rng = np.random.default_rng(5)
+    docs = [(i, " ".join(f"w{x}" for x in rng.zipf(1.4, 20) % 90)) for i in range(300)]
+    asked = [d for d in docs if d[0] % 20 == 0]
+    kind = "doc_id long, text string"
+    got = ts.search(spark.createDataFrame(docs, kind).repartition(9), spark.createDataFrame(asked, kind)).collect()
+    check(got, brute(docs, asked))
