@@ -3,7 +3,7 @@
 Every header says what its cells look like. A row is aligned to the headers at the least
 cost: a cell under a header that it does not fit, a header whose cell was lost, and a
 cell too many each cost something, an empty cell nothing. Rows that fit as they stand,
-the bulk of a table, are told by column expressions and never reach Python.
+the bulk of a table, are told first and go through no alignment.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,26 +93,88 @@ def _stands(cells: Column, headers: Sequence[Header]) -> Column:
     return (F.size(cells) == len(headers)) & reduce(and_, tests, F.lit(True))
 
 
+def _costs(cells: Column, fits: Column, headers: int) -> Column:
+    """As ``ahead`` of :func:`align`: for each header, and one beyond, the least cost from each cell on."""
+    size = F.size(cells)
+
+    def extra(j: Column, empty: int) -> Column:
+        return F.when(F.get(cells, j) != "", F.lit(EXTRA)).otherwise(F.lit(empty))
+
+    def backwards(first: Column, step) -> Column:
+        """A row of costs, from the end on: ``first`` beyond the last cell, ``step`` at each other."""
+
+        def put(row: Column, j: Column) -> Column:
+            return F.when(j == size, F.array(first)).otherwise(F.array_prepend(row, step(row, j)))
+
+        places = F.sequence(size, F.lit(0), F.lit(-1))
+        return F.aggregate(places, F.array().cast("array<int>"), put)
+
+    def header(rows: Column, i: Column) -> Column:
+        after = F.get(rows, F.lit(0))
+
+        def cheapest(row: Column, j: Column) -> Column:
+            misfit = F.when(F.get(F.get(fits, i), j), F.lit(0)).otherwise(F.lit(MISFIT))
+            return F.least(F.get(after, j + 1) + misfit, F.get(after, j) + LOST, F.get(row, F.lit(0)) + extra(j, 1))
+
+        return F.array_prepend(rows, backwards(F.get(after, size) + ENDED, cheapest))
+
+    last = backwards(F.lit(0), lambda row, j: F.get(row, F.lit(0)) + extra(j, 0))
+    order = F.array(*[F.lit(i) for i in reversed(range(headers))]).cast("array<int>")
+    return F.aggregate(order, F.array(last), header)
+
+
+_STATE = "struct<i:int,j:int,cells:array<string>,extra:array<string>>"
+
+
+def _placed(cells: Column, fits: Column, costs: Column, headers: int) -> Column:
+    """The way of :func:`align`, a step at a time: the cell of each header, and the cells too many."""
+    size = F.size(cells)
+
+    def step(state: Column, _: Column) -> Column:
+        i, j = state["i"], state["j"]
+        cell, here = F.get(cells, j), F.get(F.get(costs, i), j)
+        misfit = F.when(F.get(F.get(fits, i), j), F.lit(0)).otherwise(F.lit(MISFIT))
+        below = F.get(costs, i + 1)
+
+        def now(di: int, dj: int, placed: Column, extra: Column) -> Column:
+            return F.struct(i + di, j + dj, placed, extra).cast(_STATE)
+
+        stays = (i < headers) & (j < size) & (here == F.get(below, j + 1) + misfit)
+        lost = (i < headers) & ((j >= size) | (here == F.get(below, j) + LOST))
+        kept = F.when(cell != "", F.array_append(state["extra"], cell)).otherwise(state["extra"])
+        return (
+            F.when((i >= headers) & (j >= size), state)
+            .when(stays, now(1, 1, F.array_append(state["cells"], F.nullif(cell, F.lit(""))), state["extra"]))
+            .when(lost, now(1, 0, F.array_append(state["cells"], F.lit(None).cast("string")), state["extra"]))
+            .otherwise(now(0, 1, state["cells"], kept))
+        )
+
+    none = F.array().cast("array<string>")
+    start = F.struct(F.lit(0), F.lit(0), none, none).cast(_STATE)
+    return F.aggregate(F.sequence(F.lit(0), size + headers), start, step)
+
+
 def aligned(df: DataFrame, array: str, headers: Sequence[Header], cost: str = "_shift", extra: str = "_extra") -> DataFrame:
     """One text column per header in place of an array of cells, with the cost and the cells too many.
 
     ``cost`` is 0 where the row stood as it should; ``extra`` holds cells that found no
-    header. A null array is a row without cells. Empty cells are null.
+    header. A null array is a row without cells. Empty cells are null. Rows are put
+    right as :func:`align` does it, by column expressions, those that stand by none.
     """
-    patterns = [h.shape for h in headers]
-
-    @F.pandas_udf("cells array<string>, cost int, extra array<string>")
-    def mend(rows: pd.Series) -> pd.DataFrame:
-        shapes = [re.compile(p) for p in patterns]
-        found = [(None, None, None) if r is None else align(list(r), shapes) for r in rows]
-        return pd.DataFrame(found, columns=["cells", "cost", "extra"])
-
     kept = [quoted(c) for c in df.columns if c != array]
     cells = F.coalesce(quoted(array), F.array().cast("array<string>"))
     held = df.select(*kept, cells.alias("_tw_cells")).withColumn("_tw_stands", _stands(F.col("_tw_cells"), headers))
-    # A row that stands goes to Python as a null.
-    held = held.withColumn("_tw_mended", mend(F.when(~F.col("_tw_stands"), F.col("_tw_cells"))))
-    stands = F.col("_tw_stands")
+    stands, cells = F.col("_tw_stands"), F.col("_tw_cells")
+
+    def fitting(header: Header) -> Column:
+        shape = rf"\A(?:{header.shape})?\z"
+        return F.transform(cells, lambda c: F.coalesce(c, F.lit("")).rlike(shape))
+
+    fits = F.array(*[fitting(h) for h in headers]).cast("array<array<boolean>>")
+    held = held.withColumn("_tw_fits", F.when(~stands, fits))
+    held = held.withColumn("_tw_costs", F.when(~stands, _costs(cells, F.col("_tw_fits"), len(headers))))
+    mended = _placed(cells, F.col("_tw_fits"), F.col("_tw_costs"), len(headers))
+    held = held.withColumn("_tw_mended", F.when(~stands, mended))
 
     def cell(i: int) -> Column:
         own = F.nullif(F.get("_tw_cells", F.lit(i)), F.lit(""))
@@ -122,6 +183,6 @@ def aligned(df: DataFrame, array: str, headers: Sequence[Header], cost: str = "_
     return held.select(
         *kept,
         *[cell(i).alias(h.name) for i, h in enumerate(headers)],
-        F.when(stands, 0).otherwise(F.col("_tw_mended.cost")).alias(cost),
+        F.when(stands, 0).otherwise(F.get(F.get("_tw_costs", F.lit(0)), F.lit(0))).alias(cost),
         F.when(stands, F.array().cast("array<string>")).otherwise(F.col("_tw_mended.extra")).alias(extra),
     )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,15 +44,16 @@ def numbered_table(spark: SparkSession, path: str, name: str = "_row_id") -> Dat
 
     A number is the row's place in its file, which Parquet knows, behind the rows of
     the files before. So numbers have no gaps and are the same however files are split
-    among tasks. Rows are not shuffled: each file's start, one number, is joined to them.
+    among tasks. Rows are not shuffled: each file's length, one number, comes to the
+    driver, and its start is joined to them.
     """
     file, place = "_tw_file", "_tw_place"
     held = spark.read.parquet(path)
     rows = held.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place))
-    sizes = rows.groupBy(file).agg((F.max(place) + 1).alias("_tw_rows"))
-    before = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col(file).alias("_tw_of"), F.coalesce(F.sum("_tw_rows").over(before), F.lit(0)).alias("_tw_before"))
-    joined = rows.join(starts, F.col(file) == F.col("_tw_of"))
+    sizes = sorted(tuple(r) for r in rows.groupBy(file).agg(F.max(place) + 1).collect())
+    before = accumulate((size for _, size in sizes), initial=0)
+    starts = small_frame(spark, [(of, start) for (of, _), start in zip(sizes, before)], "_tw_of string, _tw_before long")
+    joined = rows.join(F.broadcast(starts), F.col(file) == F.col("_tw_of"))
     return joined.select(*[quoted(c) for c in held.columns], (F.col("_tw_before") + F.col(place)).alias(name))
 
 

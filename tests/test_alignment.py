@@ -63,3 +63,16 @@ def test_types_have_shapes():
     assert all(shape["double"].fullmatch(x) for x in ("1", "-1.5", ".5", "2.", "1e9", "+3E-2")) and not shape["double"].fullmatch("1.2.3")
     assert shape["int"].fullmatch("-12") and not shape["int"].fullmatch("1.0")
     assert shape["date"].fullmatch("2020-01-02") and shape["boolean"].fullmatch("True") and shape["string"].fullmatch("any\nthing")
+
+
+def test_columns_align_as_python_does(spark):
+    random.seed(8)
+    texts = ["1", "22", "ab", "C", "", None, "?", "é"]
+    rows = [(i, [random.choice(texts) for _ in range(random.randrange(8))]) for i in range(300)]
+    headers = [Header("a", "int"), Header("b", pattern="[a-z]+"), Header("c", "int"), Header("d", pattern="[A-Z]+")]
+    found = aligned(spark.createDataFrame(rows, "id int, cells array<string>"), "cells", headers)
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: r for r in found.collect()}
+    for i, cells in rows:
+        placed, cost, extra = align(cells, SHAPES)
+        assert ([got[i][h.name] for h in headers], got[i]._shift, got[i]._extra) == (placed, cost, extra), cells
