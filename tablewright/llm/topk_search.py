@@ -5,8 +5,8 @@ In a shard, documents stand in blocks of ``BLOCK`` and every frequent term has i
 highest contribution in each block. For a query the maxima add up to a bound of what
 its frequent terms give to a block's documents, and the postings of its rare terms,
 which are few, tell exactly what these add. Documents whose bound does not reach the
-k-th best score so far, and so whole blocks, are never scored; where too many are left,
-sums in single precision bound them closer first. Statistics (number of documents, mean
+k-th best score so far, and so whole blocks, are never scored; queries that leave too
+many get closer bounds first, some queries together in single precision. Statistics (number of documents, mean
 length, document frequencies) are global, so scores of all shards compare and their
 best merge exactly.
 """
@@ -39,8 +39,9 @@ QUERY_TERMS = 1 << 20
 #: stand in tables of so many bytes at most, the most frequent first.
 FREQUENT, TABLE_BYTES = 16, 32 << 20
 #: Documents that are scored before the first look at the bounds of the others, between two
-#: looks at most, and so many that closer bounds are worth their while.
-FIRST_DOCS, MOST_DOCS, MANY_DOCS = 32, 512, 64
+#: looks at most, and so many that closer bounds are worth their while, which are found for
+#: so many queries together.
+FIRST_DOCS, MOST_DOCS, MANY_DOCS, LOOKS = 32, 512, 64, 64
 #: Shards are searched in parts, so many at most first, and then so many times those before.
 PILOT_SHARDS, PILOT_PARTS = 8, 8
 
@@ -175,7 +176,9 @@ def best(
     Only documents that share a term with the query count, and none below ``floor``;
     of equal scores the smaller id comes first.
     """
-    return best_at(shard, places(shard, terms), weights, top, floor)
+    looks = [look(shard, places(shard, terms), weights)]
+    look_closer(shard, looks, [floor])
+    return pick(shard, looks[0], top, floor)
 
 
 def places(shard: Shard, terms: np.ndarray) -> np.ndarray:
@@ -186,23 +189,53 @@ def places(shard: Shard, terms: np.ndarray) -> np.ndarray:
     return np.where(shard.terms[at] == terms, at, -1)
 
 
-def best_at(
-    shard: Shard, at: np.ndarray, weights: np.ndarray, top: int, floor: float = 0.0
-) -> tuple[np.ndarray, np.ndarray, int]:
-    """As ``best``, of a query whose terms have been placed."""
+class Look(NamedTuple):
+    """A query in a shard: its frequent terms, and what is known of each document's score."""
+
+    column: np.ndarray  # of each frequent term
+    wide: np.ndarray  # and its weight
+    partial: np.ndarray  # what the rare terms give
+    upper: np.ndarray  # the score at most
+
+
+def look(shard: Shard, at: np.ndarray, weights: np.ndarray) -> Look:
+    """Bounds of all documents for placed terms: blocks' maxima of the frequent, postings of the rare."""
     here = at >= 0
     at, weights = at[here], weights[here]
-    ids, scores = np.zeros(0, np.int64), np.zeros(0)
-    if not len(at):
-        return ids, scores, 0
     column = shard.columns[at]
     common = column >= 0
     column, wide = column[common], weights[common]
     # A rare term has about one posting in a block, which says as much as its maximum.
     partial = _partial(shard, at[~common], weights[~common])
-    bounds = np.repeat(wide @ shard.maxima[column], BLOCK)[: len(partial)]
+    upper = np.repeat(wide @ shard.maxima[column], BLOCK)[: len(partial)]
+    upper += partial
     # Sums in another order may differ in the last digits.
-    upper = (partial + bounds) * (1 + 1e-9)
+    upper *= 1 + 1e-9
+    return Look(column, wide, partial, upper)
+
+
+def look_closer(shard: Shard, looks: list[Look], floors: list[float]) -> None:
+    """Lower the bounds of queries that leave many documents, by sums in single precision."""
+    many = [
+        one
+        for one, floor in zip(looks, floors, strict=True)
+        if len(one.column) and np.count_nonzero(one.upper >= floor) > MANY_DOCS
+    ]
+    if not many:
+        return
+    spread = np.zeros((len(many), len(shard.coarse)), np.float32)
+    for row, one in zip(spread, many):
+        row[one.column] = one.wide
+    for sums, one in zip(spread @ shard.coarse, many):
+        # A part in 2 ** 24 is lost with each sum and product.
+        np.add(one.partial, sums, out=one.upper)
+        one.upper[:] *= 1 + (len(one.column) + 4) * 2.0**-22
+
+
+def pick(shard: Shard, asked: Look, top: int, floor: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Ids and scores of the best documents, and the blocks scored."""
+    column, wide, partial, upper = asked
+    ids, scores = np.zeros(0, np.int64), np.zeros(0)
     level, scored = floor, np.zeros(len(partial), bool)
 
     def score(turn: np.ndarray) -> None:
@@ -221,12 +254,6 @@ def best_at(
         first = np.argpartition(-upper, FIRST_DOCS)[:FIRST_DOCS]
         score(first[upper[first] > 0])
     queue = np.flatnonzero((upper > 0) & (upper >= level) & ~scored)
-    if len(queue) > MANY_DOCS and len(column):
-        # Closer bounds: single precision loses a part in 2 ** 24 with each sum and product.
-        closer = partial + wide.astype(np.float32) @ shard.coarse[column]
-        closer *= 1 + (len(column) + 4) * 2.0**-22
-        queue = queue[closer[queue] >= level]
-        upper = closer
     queue = queue[np.argsort(-upper[queue])]
     take = FIRST_DOCS
     while len(queue) and upper[queue[0]] >= level:
@@ -244,18 +271,22 @@ def _search(queries, mean_length: float, top: int):
             for i in range(batch.num_rows):
                 shard = load({f: batch.column(j)[i].as_buffer() for j, f in enumerate(_FIELDS)}, mean_length)
                 at = places(shard, vocabulary)
-                of, ids, scores = [], [], []
-                for q, number in enumerate(numbers.tolist()):
-                    a, b = offsets[q], offsets[q + 1]
-                    found, values, _ = best_at(shard, at[terms[a:b]], weights[a:b], top, floors[q])
-                    if len(found) >= top:
-                        # The same sum in another shard may differ in its last digits.
-                        floors[q] = max(floors[q], values[top - 1] * (1 - 1e-9))
-                    of.append(np.full(len(found), number, np.int64))
-                    ids.append(found)
-                    scores.append(values)
+                of, ids, scores, looks = [], [], [], []
+                for begin in range(0, len(numbers), LOOKS):
+                    turn = range(begin, min(begin + LOOKS, len(numbers)))
+                    spans = [slice(offsets[q], offsets[q + 1]) for q in turn]
+                    looks = [look(shard, at[terms[span]], weights[span]) for span in spans]
+                    look_closer(shard, looks, [floors[q] for q in turn])
+                    for q, one in zip(turn, looks):
+                        found, values, _ = pick(shard, one, top, floors[q])
+                        if len(found) >= top:
+                            # The same sum in another shard may differ in its last digits.
+                            floors[q] = max(floors[q], values[top - 1] * (1 - 1e-9))
+                        of.append(np.full(len(found), numbers[q], np.int64))
+                        ids.append(found)
+                        scores.append(values)
                 # Before the next one is loaded.
-                del shard, at
+                del shard, at, looks
                 if of:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(x)) for x in (of, ids, scores)], names=["query", "doc_id", "score"]
