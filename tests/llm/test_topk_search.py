@@ -4,6 +4,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +148,87 @@ def test_parts_of_the_shards_follow_each_other(spark, monkeypatch):
     kind = "doc_id long, text string"
     got = ts.search(spark.createDataFrame(docs, kind).repartition(9), spark.createDataFrame(asked, kind)).collect()
     check(got, brute(docs, asked))
+
+
+def two_languages(n, seed):
+    """Texts whose words are those of one of two languages, one for another, some long and some short."""
+    rng = np.random.default_rng(seed)
+    share = 1 / np.arange(1, 901)
+    share /= share.sum()
+    return [" ".join(f"{'ab'[i % 2]}{x}" for x in rng.choice(900, rng.integers(3, 150), p=share)) for i in range(n)]
+
+
+def test_queries_asked_together_get_what_each_gets_alone(monkeypatch):
+    monkeypatch.setattr(ts, "GROUP_ROWS", 128)
+    texts = two_languages(900, 2) + ["a1 " * 300 + "b7", "", "b3 " * 70000]
+    ids = list(range(len(texts)))
+    (row,) = ts._index(iter([pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts)], names=["doc_id", "text"])]))
+    row = {f: row.column(j)[0].as_buffer() for j, f in enumerate(ts._FIELDS)}
+    mean = sum(len(t.split()) for t in texts) / len(texts)
+    shard = ts.load(row, mean)
+    assert len(shard.groups) > 1
+    # A language's words have no rows in tables of documents of the other one.
+    assert sum(g.coarse.size for g in shard.groups) < 0.7 * len(ids) * shard.rows.shape[1]
+    want = brute(list(zip(ids, texts)), [(i, texts[i]) for i in ids[::7]])
+    df = dict(zip(shard.terms.tolist(), np.diff(shard.firsts).tolist()))
+    at, weights, query = [], [], []
+    for number, i in enumerate(ids[::7]):
+        terms, times = ts.terms_of(texts[i].encode())
+        idf = np.array([math.log1p((len(ids) - df[t] + 0.5) / (df[t] + 0.5)) for t in terms.tolist()])
+        at.append(ts.places(shard, terms))
+        weights.append(times * idf)
+        query.append(np.full(len(terms), number))
+    for floor in (0.0, 1.0):
+        floors = np.array([floor * want[i][-1][3] * (1 - 1e-9) if want[i] else 0.0 for i in ids[::7]])
+        got = ts.answers(shard, np.concatenate(at), np.concatenate(weights), np.concatenate(query), floors, 10)
+        for number, i in enumerate(ids[::7]):
+            mine = got[0] == number
+            assert got[1][mine].tolist() == [w[2] for w in want[i]]
+            assert got[2][mine].tolist() == pytest.approx([w[3] for w in want[i]], rel=1e-12)
+
+
+class Sent:
+    """What a task sees of a broadcast value."""
+
+    def __init__(self, value):
+        self.stored = value
+
+    @property
+    def value(self):
+        self._value = self.stored
+        return self._value
+
+
+def test_a_shard_is_loaded_once_for_all_lots(monkeypatch):
+    texts = two_languages(200, 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts)], names=["doc_id", "text"])
+    (row,) = ts._index(iter([batch]))
+    loads, load = [], ts.load
+    monkeypatch.setattr(ts, "load", lambda *x: loads.append(1) or load(*x))
+    lots = []
+    for i in range(0, 200, 20):
+        terms, times = ts.terms_of(texts[i].encode())
+        lots.append(Sent(tuple(ts._lot(np.full(len(terms), i), terms, times.astype(float)))))
+    rows = list(ts._search(lots, Sent(np.zeros(10)), 70.0, 10)(iter([row])))
+    assert loads == [1] and len(rows) == 10
+    # No lot is held once the next one is asked.
+    assert not any("_value" in vars(x) for x in lots)
+    for i, found in zip(range(0, 200, 20), rows):
+        assert found.column(0).to_pylist() == [i] * 10 and found.column(1).to_pylist()[0] == i
+
+
+def test_a_task_leaves_no_small_shard(monkeypatch):
+    monkeypatch.setattr(ts, "SHARD_DOCS", 100)
+    for n, want in ((149, [149]), (150, [100, 50]), (260, [100, 100, 60]), (1, [1]), (249, [100, 149])):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(two_languages(n, 4))], names=["doc_id", "text"])
+        shards = [np.frombuffer(row.column(0)[0].as_py(), np.int64) for row in ts._index(iter([batch]))]
+        assert [len(x) for x in shards] == want
+        assert sorted(np.concatenate(shards).tolist()) == list(range(n))
+
+
+def test_equal_documents_of_many_shards_stand_by_their_ids(spark):
+    text = " ".join(f"w{i % 37}" for i in range(500))
+    docs = [(i, text) for i in range(60)] + [(100 + i, f"w{i} other") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    got = ts.search(frame, spark.createDataFrame([docs[7]], "doc_id long, text string")).collect()
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.rank)] == list(range(10))
